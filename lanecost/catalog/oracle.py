@@ -213,11 +213,11 @@ def _trends_sql() -> str:
     keys = qs(TREND_KEYS)
     return f"""SELECT {keys},
   count(*) AS num_observations, count(DISTINCT firm) AS num_providers,
-  round(avg(total_cost_pct), 6) AS avg_total_cost_pct,
-  round(median(total_cost_pct), 6) AS median_total_cost_pct,
+  avg(total_cost_pct) AS avg_total_cost_pct,
+  median(total_cost_pct) AS median_total_cost_pct,
   min(total_cost_pct) AS min_total_cost_pct, max(total_cost_pct) AS max_total_cost_pct,
-  round(avg(fee_cost_pct), 6) AS avg_fee_cost_pct, round(avg(fx_margin_pct), 6) AS avg_fx_margin_pct,
-  round(avg(decomposed_cost_pct), 6) AS avg_decomposed_cost_pct,
+  avg(fee_cost_pct) AS avg_fee_cost_pct, avg(fx_margin_pct) AS avg_fx_margin_pct,
+  avg(decomposed_cost_pct) AS avg_decomposed_cost_pct,
   CAST(sum(CASE WHEN cost_mismatch_flag THEN 1 ELSE 0 END) AS BIGINT) AS num_cost_mismatch_flagged
 FROM flagged GROUP BY {keys}"""
 
@@ -227,15 +227,15 @@ SCORECARD_SQL = """SELECT firm, firm_type,
   count(DISTINCT corridor) AS num_corridors,
   count(DISTINCT CASE WHEN period_year IS NOT NULL AND period_quarter IS NOT NULL
                       THEN CAST(period_year AS VARCHAR) || '_' || CAST(period_quarter AS VARCHAR) END) AS num_periods,
-  round(avg(CASE WHEN is_disclosed_transparent THEN 100.0 ELSE 0 END), 6) AS pct_disclosed_transparent,
-  round(avg(CASE WHEN total_cost_pct_missing THEN 100.0 ELSE 0 END), 6) AS pct_total_cost_pct_missing,
-  round(avg(CASE WHEN cost_components_missing THEN 100.0 ELSE 0 END), 6) AS pct_cost_components_missing,
+  avg(CASE WHEN is_disclosed_transparent THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END) AS pct_disclosed_transparent,
+  avg(CASE WHEN total_cost_pct_missing THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END) AS pct_total_cost_pct_missing,
+  avg(CASE WHEN cost_components_missing THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END) AS pct_cost_components_missing,
   CAST(sum(CASE WHEN cost_mismatch_flag THEN 1 ELSE 0 END) AS BIGINT) AS num_cost_mismatch_flagged,
   CAST(sum(CASE WHEN cost_mismatch_flag IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS num_cost_mismatch_evaluable,
-  round(CAST(sum(CASE WHEN cost_mismatch_flag THEN 1 ELSE 0 END) AS DOUBLE)
-        / nullif(sum(CASE WHEN cost_mismatch_flag IS NOT NULL THEN 1 ELSE 0 END), 0) * 100, 6)
+  CAST(sum(CASE WHEN cost_mismatch_flag THEN 1 ELSE 0 END) AS DOUBLE)
+        / nullif(sum(CASE WHEN cost_mismatch_flag IS NOT NULL THEN 1 ELSE 0 END), 0) * 100
         AS pct_cost_mismatch_flagged,
-  round(avg(transparency_flag_count), 6) AS avg_transparency_flag_count,
+  avg(transparency_flag_count) AS avg_transparency_flag_count,
   count(*) >= 30 AS has_sufficient_sample
 FROM flagged GROUP BY firm, firm_type"""
 
@@ -250,6 +250,38 @@ def _spotlight_sql() -> str:
             f"WHERE sending_country_code = {c} OR receiving_country_code = {c}")
 
 
+ARROW = " \u2192 "
+
+
+def _labelled(source: str) -> str:
+    """Rows of ``source`` plus corridor label, period label and sort key."""
+    return f"""SELECT t.*,
+  coalesce(s.country_name, t.sending_country_code) || '{ARROW}'
+    || coalesce(r.country_name, t.receiving_country_code) AS corridor_label,
+  CAST(t.period_year AS VARCHAR) || ' Q' || CAST(t.period_quarter AS VARCHAR) AS period_label,
+  t.period_year * 10 + t.period_quarter AS period_sort_key
+FROM {source} t
+LEFT JOIN country s ON t.sending_country_code = s.country_iso3
+LEFT JOIN country r ON t.receiving_country_code = r.country_iso3"""
+
+
+WEIGHTED_SQL = """SELECT corridor, corridor_label, period_label, period_sort_key,
+  CASE WHEN sum(num_observations) = 0 THEN avg(avg_total_cost_pct)
+       ELSE coalesce(sum(avg_total_cost_pct * num_observations), 0) / sum(num_observations)
+  END AS avg_total_cost_pct,
+  CAST(sum(num_observations) AS BIGINT) AS num_observations
+FROM trend_lab
+WHERE corridor IS NOT NULL AND corridor_label IS NOT NULL AND period_label IS NOT NULL
+  AND period_sort_key IS NOT NULL
+GROUP BY corridor, corridor_label, period_label, period_sort_key"""
+
+FIRMS_SQL = """SELECT firm, firm_type, count(total_cost_pct) AS num_observations,
+  avg(total_cost_pct) AS avg_total_cost_pct,
+  avg(CAST(is_disclosed_transparent AS DOUBLE)) * 100 AS pct_disclosed_transparent
+FROM spot WHERE firm IS NOT NULL AND firm_type IS NOT NULL
+GROUP BY firm, firm_type"""
+
+
 # Name -> body of every CTE, in dependency order.
 CTES: list[tuple[str, str]] = [
     ("wide", WIDE_SQL),
@@ -274,10 +306,19 @@ CTES: list[tuple[str, str]] = [
     ("providers", f"SELECT {qs(CHANNEL_COLUMNS)} FROM flagged"),
     ("scorecard", SCORECARD_SQL),
     ("spot", _spotlight_sql()),
+    ("trend_lab", _labelled("trends")),
+    ("wt", WEIGHTED_SQL),
+    ("spot_lab", _labelled("spot")),
+    ("firms", FIRMS_SQL),
 ]
 
 
-def with_ctes(select: str) -> str:
-    """Prefix ``select`` with the CTE chain (DuckDB evaluates only what is used)."""
+def with_ctes(select_or_extra: str, select: str | None = None) -> str:
+    """Prefix a query with the CTE chain (DuckDB evaluates only what is used).
+
+    ``with_ctes(select)`` or ``with_ctes(extra_ctes, select)`` where ``extra_ctes``
+    is ``"name AS (...), ..."`` appended to the chain."""
     body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in CTES)
-    return f"WITH {body}\n{select}"
+    if select is None:
+        return f"WITH {body}\n{select_or_extra}"
+    return f"WITH {body},\n{select_or_extra}\n{select}"

@@ -73,12 +73,21 @@ SCORE_DOUBLES = ("pct_disclosed_transparent", "pct_total_cost_pct_missing",
 
 # ---- marts (flagship first) ----------------------------------------------------
 
-@register("corridor_cost_trends", O.with_ctes("SELECT * FROM trends"))
+def _round_sql(source: str, columns) -> str:
+    reps = ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({reps}) FROM {source}"
+
+
+@register("corridor_cost_trends", O.with_ctes(_round_sql("trends", (
+    "avg_total_cost_pct", "median_total_cost_pct", "avg_fee_cost_pct", "avg_fx_margin_pct",
+    "avg_decomposed_cost_pct"))))
 def q_corridor_cost_trends(spark, d):
     return r6(M.corridor_cost_trends(flagged(spark, d)), *TREND_DOUBLES)
 
 
-@register("transparency_scorecard", O.with_ctes("SELECT * FROM scorecard"))
+@register("transparency_scorecard", O.with_ctes(_round_sql("scorecard", (
+    "pct_disclosed_transparent", "pct_total_cost_pct_missing", "pct_cost_components_missing",
+    "pct_cost_mismatch_flagged", "avg_transparency_flag_count"))))
 def q_transparency_scorecard(spark, d):
     return r6(M.transparency_scorecard(flagged(spark, d)), *SCORE_DOUBLES)
 
@@ -141,3 +150,639 @@ def q_enrich_corridor(spark, d):
 @register("build_flagged", O.with_ctes("SELECT * FROM flagged"))
 def q_build_flagged(spark, d):
     return flagged(spark, d)
+
+
+# ---- more of the model chain -----------------------------------------------------
+
+def staged(spark, d):
+    return Mo.stage_typed(Mo.conform_landing(curated(spark, d)[0]))
+
+
+def enriched(spark, d):
+    return Mo.enrich_corridor(staged(spark, d), FX.country_dim(spark, d), FX.currency_dim(spark, d),
+                              FX.CODE_REMAP, FX.CFA_ZONES)
+
+
+KEY = ("raw_id", "cc_number")
+
+
+@register("conform_landing", O.with_ctes("SELECT * FROM landing"))
+def q_conform_landing(spark, d):
+    return Mo.conform_landing(curated(spark, d)[0])
+
+
+@register("corridor_codes", O.with_ctes(
+    "SELECT raw_id, cc_number, corridor, sending_country_code, receiving_country_code FROM codes"))
+def q_corridor_codes(spark, d):
+    return (Mo.corridor_codes(staged(spark, d), remap=FX.CODE_REMAP)
+              .select(*KEY, "corridor", "sending_country_code", "receiving_country_code"))
+
+
+@register("resolve_currency", O.with_ctes(
+    "SELECT raw_id, cc_number, corridor, lcu_code, lcu_code_resolved FROM codes"))
+def q_resolve_currency(spark, d):
+    return (Mo.resolve_currency(staged(spark, d), zones=FX.CFA_ZONES)
+              .select(*KEY, "corridor", "lcu_code", "lcu_code_resolved"))
+
+
+@register("star_except", O.with_ctes(
+    "SELECT * EXCLUDE (fx_margin), fx_margin AS fx_margin_pct FROM enriched"))
+def q_star_except(spark, d):
+    return Mo.star_except(enriched(spark, d), "fx_margin", "fx_margin_pct")
+
+
+@register("fee_pct", O.with_ctes(
+    "SELECT raw_id, cc_number, lcu_fee, lcu_amount, fee_cost_pct FROM components"))
+def q_fee_pct(spark, d):
+    return Mo.cost_decompose(enriched(spark, d)).select(*KEY, "lcu_fee", "lcu_amount", "fee_cost_pct")
+
+
+@register("cost_decompose", O.with_ctes("SELECT * FROM decomposed"))
+def q_cost_decompose(spark, d):
+    return Mo.cost_decompose(enriched(spark, d))
+
+
+@register("norm_bool", O.with_ctes(
+    "SELECT raw_id, cc_number, transparent, is_disclosed_transparent FROM flagged"))
+def q_norm_bool(spark, d):
+    return flagged(spark, d).select(*KEY, "transparent", "is_disclosed_transparent")
+
+
+@register("missing_flags", O.with_ctes(
+    "SELECT raw_id, cc_number, total_cost_pct_missing, cost_components_missing FROM flagged"))
+def q_missing_flags(spark, d):
+    return flagged(spark, d).select(*KEY, "total_cost_pct_missing", "cost_components_missing")
+
+
+@register("cost_mismatch", O.with_ctes(
+    "SELECT raw_id, cc_number, decomposed_cost_pct, total_cost_pct, cost_mismatch_flag FROM flagged"))
+def q_cost_mismatch(spark, d):
+    return flagged(spark, d).select(*KEY, "decomposed_cost_pct", "total_cost_pct", "cost_mismatch_flag")
+
+
+@register("flag_count", O.with_ctes("SELECT raw_id, cc_number, transparency_flag_count FROM flagged"))
+def q_flag_count(spark, d):
+    return flagged(spark, d).select(*KEY, "transparency_flag_count")
+
+
+# ---- guards, splits, duplicate flags ---------------------------------------------
+
+REQUIRED = list(C.GEOGRAPHY_COLUMNS) + ["date", "period"]
+
+
+@register("require_columns", O.with_ctes(f"SELECT {O.qs(REQUIRED)} FROM wide"))
+def q_require_columns(spark, d):
+    return C.require_columns(wide(spark, d), REQUIRED).select(*[col(c) for c in REQUIRED])
+
+
+@register("scan_guarded", O.with_ctes("SELECT * FROM wide"))
+def q_scan_guarded(spark, d):
+    from lanecost.sources.scan import guard_shape
+    return guard_shape(wide(spark, d), expected_columns=len(O.WIDE_COLUMNS))
+
+
+@register("split_negative", O.with_ctes('SELECT * FROM clean WHERE "fx margin" < 0'))
+def q_split_negative(spark, d):
+    from lanecost.operators.splits import split_negative
+    return split_negative(curated(spark, d)[0])[1]
+
+
+@register("split_negative_clean", O.with_ctes(
+    'SELECT * FROM clean WHERE NOT ("fx margin" < 0) OR "fx margin" IS NULL'))
+def q_split_negative_clean(spark, d):
+    from lanecost.operators.splits import split_negative
+    return split_negative(curated(spark, d)[0])[0]
+
+
+@register("split_nontransparent", O.with_ctes(
+    "SELECT * FROM clean WHERE lower(trim(transparent)) = 'no'"))
+def q_split_nontransparent(spark, d):
+    from lanecost.operators.splits import split_nontransparent
+    return split_nontransparent(curated(spark, d)[0])[1]
+
+
+@register("split_nontransparent_clean", O.with_ctes(
+    "SELECT * FROM clean WHERE NOT (lower(trim(transparent)) = 'no') OR transparent IS NULL"))
+def q_split_nontransparent_clean(spark, d):
+    from lanecost.operators.splits import split_nontransparent
+    return split_nontransparent(curated(spark, d)[0])[0]
+
+
+_DUPS = (f"SELECT *, count(*) OVER (PARTITION BY {O.qs(O.GRAIN_COLUMNS)}) AS duplicate_count "
+         "FROM unp")
+
+
+@register("flag_duplicates", O.with_ctes(f"SELECT * FROM ({_DUPS}) WHERE duplicate_count > 1"))
+def q_flag_duplicates(spark, d):
+    from lanecost.operators.dedup import flag_duplicates
+    return flag_duplicates(long(spark, d))[1]
+
+
+@register("flag_duplicates_clean", O.with_ctes(
+    f"SELECT * EXCLUDE (duplicate_count) FROM ({_DUPS}) WHERE duplicate_count = 1"))
+def q_flag_duplicates_clean(spark, d):
+    from lanecost.operators.dedup import flag_duplicates
+    return flag_duplicates(long(spark, d))[0]
+
+
+_REPORTS_SQL = """
+SELECT 'grain_duplicates' AS {c}, CAST(count(*) AS BIGINT) AS rows FROM grain_report
+UNION ALL SELECT 'fx_margin', CAST(count(*) AS BIGINT) FROM clean WHERE "fx margin" < 0
+UNION ALL SELECT 'transparency', CAST(count(*) AS BIGINT) FROM clean WHERE lower(trim(transparent)) = 'no'
+UNION ALL SELECT 'duplicate_check', CAST(count(*) AS BIGINT) FROM (
+  SELECT count(*) OVER (PARTITION BY {g}) AS n FROM clean) WHERE n > 1"""
+
+
+@register("report_counts", O.with_ctes(_REPORTS_SQL.format(c="check", g=O.qs(O.GRAIN_COLUMNS))))
+def q_report_counts(spark, d):
+    return flows.report_counts(curated(spark, d)[1])
+
+
+@register("curate_quotes", O.with_ctes("SELECT * FROM clean"))
+def q_curate_quotes(spark, d):
+    clean, _ = curated(spark, d)
+    return clean
+
+
+@register("distinct_periods", O.with_ctes("SELECT DISTINCT period FROM clean"))
+def q_distinct_periods(spark, d):
+    from lanecost.operators.profile import distinct_periods
+    return distinct_periods(curated(spark, d)[0])
+
+
+# ---- serving layer -----------------------------------------------------------------
+
+from lanecost.operators import serve as S  # noqa: E402
+
+FIXTURE_MIN_OBS = 10
+FIXTURE_AT_LEAST = 9.5   # mean-cost threshold for the high-cost listing on this data
+
+
+def names(spark, d):
+    return FX.country_dim(spark, d)
+
+
+def wtrend(spark, d):
+    return S.weighted_trend(marts(spark, d)["corridor_cost_trends"], names(spark, d))
+
+
+def spot_rows(spark, d):
+    return marts(spark, d)["spotlight"]
+
+
+@register("period_label", O.with_ctes(
+    "SELECT corridor, cc_number, is_disclosed_transparent, period_year, period_quarter, "
+    "period_label, period_sort_key FROM trend_lab"))
+def q_period_label(spark, d):
+    return S.period_label(marts(spark, d)["corridor_cost_trends"]).select(
+        "corridor", "cc_number", "is_disclosed_transparent", "period_year", "period_quarter",
+        "period_label", "period_sort_key")
+
+
+@register("corridor_label", O.with_ctes(
+    "SELECT corridor, cc_number, period_year, period_quarter, is_disclosed_transparent, "
+    "corridor_label FROM trend_lab"))
+def q_corridor_label(spark, d):
+    return S.corridor_label(marts(spark, d)["corridor_cost_trends"], names(spark, d)).select(
+        "corridor", "cc_number", "period_year", "period_quarter", "is_disclosed_transparent",
+        "corridor_label")
+
+
+@register("weighted_trend", O.with_ctes(
+    "SELECT * REPLACE (round(avg_total_cost_pct, 6) AS avg_total_cost_pct) FROM wt"))
+def q_weighted_trend(spark, d):
+    return r6(wtrend(spark, d), "avg_total_cost_pct")
+
+
+_TOPK_SQL = ("SELECT corridor_label, CAST(sum(num_observations) AS BIGINT) AS num_observations "
+             "FROM wt WHERE corridor_label IS NOT NULL GROUP BY corridor_label "
+             "ORDER BY num_observations DESC, corridor_label ASC LIMIT 5")
+
+
+@register("topk_corridors", O.with_ctes(_TOPK_SQL))
+def q_topk_corridors(spark, d):
+    return S.topk(wtrend(spark, d), "corridor_label", "num_observations", 5)
+
+
+@register("topk_members", O.with_ctes(
+    "SELECT * REPLACE (round(avg_total_cost_pct, 6) AS avg_total_cost_pct) FROM wt "
+    f"WHERE corridor_label IN (SELECT corridor_label FROM ({_TOPK_SQL}))"))
+def q_topk_members(spark, d):
+    t = wtrend(spark, d)
+    return r6(S.members_of(t, S.topk(t, "corridor_label", "num_observations", 5)), "avg_total_cost_pct")
+
+
+@register("corridor_options", O.with_ctes(
+    "SELECT DISTINCT corridor_label FROM wt WHERE corridor_label IS NOT NULL"))
+def q_corridor_options(spark, d):
+    return S.options(wtrend(spark, d))
+
+
+@register("role_filter", O.with_ctes("SELECT * FROM spot WHERE spotlight_role = 'receiving'"))
+def q_role_filter(spark, d):
+    return S.role_filter(spot_rows(spark, d), "Receiving")
+
+
+@register("spotlight_trend", O.with_ctes(
+    "SELECT corridor_label, period_label, period_sort_key, round(avg(total_cost_pct), 6) AS total_cost_pct "
+    "FROM spot_lab WHERE corridor_label IS NOT NULL AND period_label IS NOT NULL "
+    "AND period_sort_key IS NOT NULL GROUP BY corridor_label, period_label, period_sort_key"))
+def q_spotlight_trend(spark, d):
+    return r6(S.spotlight_trend(spot_rows(spark, d), names(spark, d)), "total_cost_pct")
+
+
+@register("topk_corridors_rows", O.with_ctes(
+    "SELECT corridor_label, CAST(count(*) AS BIGINT) AS num_rows FROM spot_lab "
+    "WHERE corridor_label IS NOT NULL GROUP BY corridor_label "
+    "ORDER BY num_rows DESC, corridor_label ASC LIMIT 5"))
+def q_topk_corridors_rows(spark, d):
+    return S.topk(S.corridor_label(spot_rows(spark, d), names(spark, d)), "corridor_label", None, 5)
+
+
+@register("firm_comparison", O.with_ctes(
+    "SELECT firm, firm_type, num_observations, round(avg_total_cost_pct, 6) AS avg_total_cost_pct, "
+    f"round(pct_disclosed_transparent, 6) AS pct_disclosed_transparent FROM firms "
+    f"WHERE num_observations >= {FIXTURE_MIN_OBS}"))
+def q_firm_comparison(spark, d):
+    return r6(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS),
+              "avg_total_cost_pct", "pct_disclosed_transparent")
+
+
+@register("top_cost_listing", O.with_ctes(
+    "SELECT string_agg(firm || ' (n=' || CAST(num_observations AS VARCHAR) || ')', ', ' "
+    "ORDER BY round(avg_total_cost_pct, 6), firm) AS listing FROM firms "
+    f"WHERE num_observations >= {FIXTURE_MIN_OBS} AND avg_total_cost_pct >= {FIXTURE_AT_LEAST}"))
+def q_top_cost_listing(spark, d):
+    firms = S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS)
+    return S.top_cost_listing(firms, FIXTURE_AT_LEAST)
+
+
+_PCT = "CASE WHEN {c} IS NULL OR isnan({c}) THEN '–' ELSE printf('%.2f%%', {c}) END"
+
+
+@register("scorecard_view", O.with_ctes(
+    "SELECT firm, firm_type, num_observations, num_corridors, "
+    f"{_PCT.format(c='pct_disclosed_transparent')} AS pct_disclosed_transparent, "
+    f"{_PCT.format(c='pct_cost_mismatch_flagged')} AS pct_cost_mismatch_flagged, "
+    "round(avg_transparency_flag_count, 6) AS avg_transparency_flag_count "
+    "FROM scorecard WHERE has_sufficient_sample"))
+def q_scorecard_view(spark, d):
+    return r6(S.scorecard_view(marts(spark, d)["transparency_scorecard"]),
+              "avg_transparency_flag_count")
+
+
+@register("fmt_pct", O.with_ctes(
+    f"SELECT firm, firm_type, {_PCT.format(c='avg_total_cost_pct')} AS avg_total_cost_text, "
+    f"{_PCT.format(c='pct_disclosed_transparent')} AS pct_disclosed_text FROM firms"))
+def q_fmt_pct(spark, d):
+    from lanecost.functions.expr import fmt_pct
+    firms = S.firm_comparison(spot_rows(spark, d), 0)
+    return firms.select("firm", "firm_type",
+                        fmt_pct(col("avg_total_cost_pct")).alias("avg_total_cost_text"),
+                        fmt_pct(col("pct_disclosed_transparent")).alias("pct_disclosed_text"))
+
+
+@register("fmt_count", O.with_ctes(
+    "SELECT corridor, format('{:,}', CAST(sum(num_observations) AS BIGINT)) AS observations_text "
+    "FROM trends GROUP BY corridor"))
+def q_fmt_count(spark, d):
+    from lanecost.functions.expr import fmt_count
+    t = marts(spark, d)["corridor_cost_trends"]
+    return t.groupBy("corridor").agg(fmt_count(F.sum("num_observations")).alias("observations_text"))
+
+
+@register("kpis", O.with_ctes("""
+SELECT 'corridors_tracked' AS kpi, CAST(count(DISTINCT corridor) AS DOUBLE) AS value FROM trends
+UNION ALL SELECT 'provider_observations', CAST(count(*) AS DOUBLE) FROM providers
+UNION ALL SELECT 'firms_scored', CAST(count(*) AS DOUBLE) FROM scorecard
+UNION ALL SELECT 'spotlight_observations', CAST(count(*) AS DOUBLE) FROM spot
+UNION ALL SELECT 'focus_observations', CAST(count(*) AS DOUBLE) FROM spot
+UNION ALL SELECT 'focus_corridors', CAST(count(DISTINCT corridor) AS DOUBLE) FROM spot
+UNION ALL SELECT 'focus_firms', CAST(count(DISTINCT firm) AS DOUBLE) FROM spot
+UNION ALL SELECT 'focus_avg_total_cost_pct', round(avg(total_cost_pct), 6) FROM spot"""))
+def q_kpis(spark, d):
+    m = marts(spark, d)
+    k = S.kpis(m["corridor_cost_trends"], m["provider_comparison"], m["transparency_scorecard"],
+               m["spotlight"], "both")
+    return k.withColumn("value", F.round("value", 6))
+
+
+# ---- declarative checks ------------------------------------------------------------
+
+from lanecost.operators import checks as K  # noqa: E402
+
+NOT_NULL_COLUMNS = ("is_disclosed_transparent", "fee_cost_pct", "fx_margin_pct",
+                    "decomposed_cost_pct", "cost_mismatch_flag", "source_region",
+                    "sending_currency_name")
+
+
+@register("check_not_null", O.with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) "
+    f"AS failures FROM flagged" for c in NOT_NULL_COLUMNS)))
+def q_check_not_null(spark, d):
+    return K.check_not_null(flagged(spark, d), NOT_NULL_COLUMNS)
+
+
+@register("check_unique_combination", O.with_ctes(
+    "SELECT raw_id, cc_number, count(*) AS n FROM staged GROUP BY raw_id, cc_number "
+    "HAVING count(*) > 1"))
+def q_check_unique_combination(spark, d):
+    return K.check_unique_combination(staged(spark, d), ["raw_id", "cc_number"])
+
+
+@register("check_relationships", O.with_ctes(
+    "SELECT lcu_code_resolved AS value, count(*) AS failures FROM enriched "
+    "WHERE lcu_code_resolved IS NOT NULL AND lcu_code_resolved NOT IN "
+    "(SELECT currency_code FROM currency WHERE currency_code IS NOT NULL) GROUP BY 1"))
+def q_check_relationships(spark, d):
+    return K.check_relationships(enriched(spark, d), "lcu_code_resolved",
+                                 FX.currency_dim(spark, d), "currency_code")
+
+
+@register("check_relationships_country", O.with_ctes(
+    "SELECT receiving_country_code AS value, count(*) AS failures FROM enriched "
+    "WHERE receiving_country_code IS NOT NULL AND receiving_country_code NOT IN "
+    "(SELECT country_iso3 FROM country WHERE country_iso3 IS NOT NULL) GROUP BY 1"))
+def q_check_relationships_country(spark, d):
+    return K.check_relationships(enriched(spark, d), "receiving_country_code",
+                                 FX.country_dim(spark, d), "country_iso3")
+
+
+@register("check_accepted_values", O.with_ctes(
+    "SELECT transparency_flag_count AS value, count(*) AS failures FROM flagged "
+    "WHERE transparency_flag_count IS NOT NULL AND transparency_flag_count NOT IN (0, 1) "
+    "GROUP BY 1"))
+def q_check_accepted_values(spark, d):
+    return K.check_accepted_values(flagged(spark, d), "transparency_flag_count", [0, 1])
+
+
+@register("check_expression", O.with_ctes(
+    "SELECT firm, firm_type FROM scorecard WHERE NOT (pct_disclosed_transparent >= 75)"))
+def q_check_expression(spark, d):
+    sc = marts(spark, d)["transparency_scorecard"]
+    return K.check_expression(sc, "pct_disclosed_transparent >= 75").select("firm", "firm_type")
+
+
+MODEL_CTE = {"landing": "landing", "staged": "staged", "enriched": "enriched",
+             "decomposed": "decomposed", "flagged": "flagged",
+             "corridor_cost_trends": "trends", "provider_comparison": "providers",
+             "transparency_scorecard": "scorecard", "spotlight": "spot",
+             "country": "country", "currency": "currency"}
+
+
+def _check_sql(c: K.Check) -> str:
+    src = MODEL_CTE[c.model]
+    head = f"SELECT {O.lit(c.name)} AS \"check\", {O.lit(c.model)} AS model, {O.lit(c.severity)} AS severity, "
+    if c.kind == "not_null":
+        return head + f"CAST(count(*) AS BIGINT) AS failures FROM {src} WHERE {O.q(c.columns[0])} IS NULL"
+    if c.kind == "unique":
+        cols = O.qs(c.columns)
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {cols} FROM {src} "
+                       f"GROUP BY {cols} HAVING count(*) > 1)")
+    if c.kind == "relationships":
+        k, pk = O.q(c.columns[0]), O.q(c.parent_column)
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM {src} WHERE {k} IS NOT NULL AND "
+                       f"{k} NOT IN (SELECT {pk} FROM {MODEL_CTE[c.parent]} WHERE {pk} IS NOT NULL)")
+    if c.kind == "accepted_values":
+        k = O.q(c.columns[0])
+        vals = ", ".join(O.lit(v) if isinstance(v, str) else str(v) for v in c.values)
+        return head + f"CAST(count(*) AS BIGINT) AS failures FROM {src} WHERE {k} IS NOT NULL AND {k} NOT IN ({vals})"
+    if c.kind == "expression":
+        return head + f"CAST(count(*) AS BIGINT) AS failures FROM {src} WHERE NOT ({c.expression})"
+    raise ValueError(c.kind)
+
+
+def models(spark, d) -> dict[str, DataFrame]:
+    clean, _ = curated(spark, d)
+    landing = Mo.conform_landing(clean)
+    stg = Mo.stage_typed(landing)
+    enr = Mo.enrich_corridor(stg, FX.country_dim(spark, d), FX.currency_dim(spark, d),
+                             FX.CODE_REMAP, FX.CFA_ZONES)
+    dec = Mo.cost_decompose(enr)
+    fl = Mo.flag_transparency(dec)
+    m = flows.build_marts(fl, MODEL_CFG)
+    return {"landing": landing, "staged": stg, "enriched": enr, "decomposed": dec, "flagged": fl,
+            **m, "country": FX.country_dim(spark, d), "currency": FX.currency_dim(spark, d)}
+
+
+@register("check_suite", O.with_ctes("\nUNION ALL\n".join(_check_sql(c) for c in K.declared_checks())))
+def q_check_suite(spark, d):
+    return K.check_suite(K.declared_checks(), models(spark, d))
+
+
+# ---- profile --------------------------------------------------------------------
+
+NUMERIC_WIDE = {"id", "inter lcu bank fx"} | {p + f for p in C.TIER_PREFIXES for f in (
+    "denomination amount", "lcu amount", "lcu fee", "lcu fx rate", "fx margin", "total cost %")}
+TEXT_WIDE = [c for c in O.WIDE_COLUMNS if c not in NUMERIC_WIDE]
+
+
+def _values(section: str, items) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, {O.lit(i)} AS item, "
+                              f"CAST({v} AS BIGINT) AS value" for i, v in items)
+
+
+_PROFILE_SQL = " UNION ALL ".join([
+    "SELECT 'shape' AS section, 'rows' AS item, CAST(count(*) AS BIGINT) AS value FROM wide",
+    _values("shape", [("columns", len(O.WIDE_COLUMNS))]),
+    _values("columns", [(c, i + 1) for i, c in enumerate(O.WIDE_COLUMNS)]),
+    _values("tier_columns", [(c, i + 1) for i, c in enumerate(
+        [c for c in O.WIDE_COLUMNS if c.startswith(C.TIER_PREFIXES)])]),
+    *[f"SELECT 'marker_count', {O.lit(c)}, CAST(count(*) AS BIGINT) FROM wide WHERE {O.q(c)} = '..' "
+      f"HAVING count(*) > 0" for c in TEXT_WIDE],
+    "SELECT 'periods', period, CAST(row_number() OVER (ORDER BY period) AS BIGINT) FROM "
+    "(SELECT DISTINCT period FROM wide WHERE period IS NOT NULL ORDER BY period LIMIT 10)",
+    "SELECT 'value_counts', transparent, CAST(count(*) AS BIGINT) FROM wide GROUP BY transparent",
+])
+
+
+@register("profile_table", O.with_ctes(_PROFILE_SQL))
+def q_profile_table(spark, d):
+    from lanecost.operators.profile import profile_table
+    return profile_table(wide(spark, d))
+
+
+# ---- sources, sinks and composed flows (write to a fresh scratch folder) -------------
+
+from lanecost.session import scratch_path  # noqa: E402
+from lanecost.sinks import writers as Wr  # noqa: E402
+from lanecost.sources import scan as Sc  # noqa: E402
+
+_MAXP = "(SELECT max(period) FROM wide)"
+_TOP2 = "(SELECT period FROM (SELECT DISTINCT period FROM clean) ORDER BY period DESC LIMIT 2)"
+
+
+def staged_drop(spark, d) -> tuple[str, DataFrame]:
+    """Write the wide quotes partitioned by period (a cumulative drop)."""
+    w = wide(spark, d)
+    path = Wr.write_by_period(w, scratch_path(spark, "drop"), name="raw")
+    return path, w
+
+
+@register("scan_period_slice", O.with_ctes(f"SELECT * FROM wide WHERE period = {_MAXP}"))
+def q_scan_period_slice(spark, d):
+    path, w = staged_drop(spark, d)
+    latest = w.agg(F.max("period")).first()[0]
+    return Sc.scan_period_slice(spark, path, latest)
+
+
+@register("list_loaded_periods", O.with_ctes("SELECT DISTINCT period FROM wide"))
+def q_list_loaded_periods(spark, d):
+    path, _ = staged_drop(spark, d)
+    return Sc.list_loaded_periods(spark, path)
+
+
+@register("ingest_latest_period", O.with_ctes(f"SELECT * FROM wide WHERE period = {_MAXP}"))
+def q_ingest_latest_period(spark, d):
+    w = wide(spark, d)
+    periods = w.select("period").distinct()
+    newest_two = periods.orderBy(F.col("period").desc()).limit(2)
+    loaded = periods.join(newest_two, "period", "left_anti")
+    _, sliced = Sc.ingest_latest_period(w, loaded)
+    return sliced
+
+
+@register("scan_reference_csv", O.with_ctes("SELECT * FROM country"))
+def q_scan_reference_csv(spark, d):
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "seed-country")
+    FX.country_dim(spark, d).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in
+                           ("country_iso3", "country_name", "region", "income_group")])
+    return Sc.scan_reference_csv(spark, path, schema, key="country_iso3")
+
+
+@register("write_by_period", O.with_ctes("SELECT * FROM clean"))
+def q_write_by_period(spark, d):
+    clean, _ = curated(spark, d)
+    path = Wr.write_by_period(clean, scratch_path(spark, "curated"))
+    return spark.read.schema(clean.schema).parquet(path)
+
+
+@register("write_reports", O.with_ctes(_REPORTS_SQL.format(c="report", g=O.qs(O.GRAIN_COLUMNS))))
+def q_write_reports(spark, d):
+    _, reports = curated(spark, d)
+    paths = Wr.write_reports(reports, scratch_path(spark, "reports"))
+    from lanecost.operators.util import union_all
+    return union_all([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
+                        .select(F.lit(n).alias("report"), "rows") for n, p in paths.items()])
+
+
+def _load_scenario(spark, d):
+    """Load the newest two periods, reload the newest (no change), then try an
+    absent period (fails, audited)."""
+    clean, _ = curated(spark, d)
+    base = scratch_path(spark, "load")
+    src = Wr.write_by_period(clean, base)
+    top = [r[0] for r in spark.read.parquet(src).select("period").distinct()
+           .orderBy(F.col("period").desc()).limit(2).collect()]
+    landing, audit = f"{base}/landing", f"{base}/audit"
+    Wr.replace_partition_load(spark, src, landing, top[0], audit)
+    Wr.replace_partition_load(spark, src, landing, top[1], audit)
+    Wr.replace_partition_load(spark, src, landing, top[0], audit)
+    try:
+        Wr.replace_partition_load(spark, src, landing, "2099_1Q", audit)
+    except ValueError:
+        pass
+    return landing, audit
+
+
+@register("replace_partition_load", O.with_ctes(f"SELECT * FROM landing WHERE period IN {_TOP2}"))
+def q_replace_partition_load(spark, d):
+    landing, _ = _load_scenario(spark, d)
+    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(landing)
+
+
+_AUDIT_CTES = ("tops AS (SELECT period, row_number() OVER (ORDER BY period DESC) AS r FROM "
+               "(SELECT DISTINCT period FROM clean) ORDER BY period DESC LIMIT 2), "
+               "n AS (SELECT t.r, count(*) AS c FROM clean JOIN tops t USING (period) GROUP BY t.r)")
+_AUDIT_SQL = """
+SELECT CAST(1 AS BIGINT) AS load_id, (SELECT period FROM tops WHERE r = 1) AS quarter_label,
+       CAST((SELECT c FROM n WHERE r = 1) AS BIGINT) AS row_count, 'SUCCESS' AS status,
+       CAST(NULL AS VARCHAR) AS error_message
+UNION ALL SELECT 2, (SELECT period FROM tops WHERE r = 2), CAST((SELECT sum(c) FROM n) AS BIGINT), 'SUCCESS', NULL
+UNION ALL SELECT 3, (SELECT period FROM tops WHERE r = 1), CAST((SELECT sum(c) FROM n) AS BIGINT), 'SUCCESS', NULL
+UNION ALL SELECT 4, '2099_1Q', 0, 'FAILED', 'no source rows for period 2099_1Q'"""
+
+
+@register("load_audit", O.with_ctes(_AUDIT_CTES, _AUDIT_SQL))
+def q_load_audit(spark, d):
+    _, audit = _load_scenario(spark, d)
+    return spark.read.parquet(audit).drop("loaded_at")
+
+
+@register("rename_lower", O.with_ctes(
+    "SELECT " + ", ".join(f"{O.q(c)} AS {O.q(c.lower())}" for c in O.WIDE_COLUMNS) + " FROM wide"))
+def q_rename_lower(spark, d):
+    return Wr.rename_lower(wide(spark, d))
+
+
+_MART_COUNTS = """
+SELECT 'corridor_cost_trends' AS mart, CAST(count(*) AS BIGINT) AS rows FROM trends
+UNION ALL SELECT 'provider_comparison', CAST(count(*) AS BIGINT) FROM providers
+UNION ALL SELECT 'transparency_scorecard', CAST(count(*) AS BIGINT) FROM scorecard
+UNION ALL SELECT 'spotlight', CAST(count(*) AS BIGINT) FROM spot"""
+
+
+@register("build_marts", O.with_ctes(_MART_COUNTS))
+def q_build_marts(spark, d):
+    from lanecost.operators.util import union_all
+    m = flows.build_marts(flagged(spark, d), MODEL_CFG, reuse=True)
+    return union_all([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("mart"), "rows")
+                      for n, df in m.items()])
+
+
+@register("export_marts", O.with_ctes(_MART_COUNTS))
+def q_export_marts(spark, d):
+    m = flows.build_marts(flagged(spark, d), MODEL_CFG, reuse=True)
+    counts = Wr.export_marts(m, scratch_path(spark, "export"))
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("mart", T.StringType()), T.StructField("rows", T.LongType())])
+    # the counts were observed during the writes; read the snapshots back to prove them
+    return spark.createDataFrame(list(counts.items()), schema)
+
+
+@register("materialize", O.with_ctes(_round_sql("trends", TREND_DOUBLES)))
+def q_materialize(spark, d):
+    t = Wr.materialize(marts(spark, d)["corridor_cost_trends"], "corridor_cost_trends",
+                       scratch_path(spark, "marts"))
+    return r6(t, *TREND_DOUBLES)
+
+
+@register("mart_read", O.with_ctes("SELECT * FROM providers"))
+def q_mart_read(spark, d):
+    base = scratch_path(spark, "marts")
+    Wr.materialize(marts(spark, d)["provider_comparison"], "provider_comparison", base)
+    return Sc.read_mart(spark, base, "provider_comparison")
+
+
+@register("incremental_period_run", O.with_ctes(f"SELECT * FROM landing WHERE period = {_MAXP}"))
+def q_incremental_period_run(spark, d):
+    from lanecost.plans.incremental import incremental_period_run, paths
+    w = wide(spark, d)
+    base = scratch_path(spark, "incremental")
+    # the store already holds every period but the newest two
+    periods = w.select("period").distinct()
+    newest_two = periods.orderBy(F.col("period").desc()).limit(2)
+    older = w.join(F.broadcast(newest_two), "period", "left_anti")
+    Wr.write_by_period(older, base, name="raw")
+    incremental_period_run(spark, w, base)
+    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(paths(base)["landing"])
+
+
+@register("serve_views", None)
+def q_serve_views(spark, d):
+    from lanecost.operators.util import union_all
+    views = flows.serve_views(marts(spark, d), names(spark, d), min_obs=FIXTURE_MIN_OBS,
+                              at_least=FIXTURE_AT_LEAST)
+    return union_all([v.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("view"), "rows")
+                      for n, v in views.items()])
+
+
+@register("stream_period_load", O.with_ctes("SELECT * FROM landing"))
+def q_stream_period_load(spark, d):
+    from lanecost.streaming.drop_watch import stream_period_loads
+    path, w = staged_drop(spark, d)
+    base = scratch_path(spark, "stream")
+    stream_period_loads(spark, path, spark.read.parquet(path).schema, base)
+    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(f"{base}/landing")

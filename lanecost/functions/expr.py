@@ -26,9 +26,34 @@ def null_if_marker(c: Column, marker: str) -> Column:
     return F.nullif(c, F.lit(marker))
 
 
+def format_literals(fmt: str) -> list[str]:
+    """Non-letter characters a datetime pattern matches literally ('/', '-', ':')."""
+    out, quoted = [], False
+    for ch in fmt:
+        if ch == "'":
+            quoted = not quoted
+        elif quoted or not ch.isalpha():
+            if ch not in out:
+                out.append(ch)
+    return out
+
+
 def mixed_date(c: Column, formats: Sequence[str]) -> Column:
-    """Date from the first format that parses the text; null if none does."""
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in formats])
+    """Date from the first format that parses the text; null if none does.
+
+    A format is only tried when the text contains all of its literal separators,
+    a necessary condition for a parse, so text of another shape never reaches the
+    (exception-driven, slow) failing parse path.
+    """
+    tries = []
+    for f in formats:
+        parsed = F.to_date(F.try_to_timestamp(c, F.lit(f)))
+        guard = None
+        for ch in format_literals(f):
+            g = F.instr(c, ch) > 0
+            guard = g if guard is None else guard & g
+        tries.append(parsed if guard is None else F.when(guard, parsed))
+    return F.coalesce(*tries)
 
 
 def text_bool(c: Column, true_value: str = "yes", false_value: str = "no") -> Column:

@@ -47,10 +47,13 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str],
               .filter(col(count_column) > 1))
 
 
-def _maybe_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    n = df.limit(max_rows + 1).count()
-    small = n <= max_rows
-    return (F.broadcast(df) if small else df), small
+def _maybe_broadcast(groups: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Materialise the duplicated-key set once (a reliable checkpoint in the shared
+    checkpoint dir, which also cuts its lineage) and broadcast it only if its
+    counted size is within ``max_rows``; otherwise joins against it shuffle."""
+    groups = groups.checkpoint(eager=True)
+    small = groups.count() <= max_rows
+    return (F.broadcast(groups) if small else groups), small
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
@@ -70,45 +73,64 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
 def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
                 order_by: Sequence[str] = ("id",),
                 count_column: str = COUNT_COLUMN,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                strategy: str = "aggregate") -> tuple[DataFrame, DataFrame]:
     """``(clean, report)``: keep the first row of each grain group, report the rest.
 
     "First" is the ascending order of ``order_by`` then every remaining column
     (nulls first), a total order up to rows that are identical anyway, so the
     result does not depend on file or partition order. The report carries the
     group's ``count_column``; helper columns never leak.
+
+    ``strategy="aggregate"`` (default) reads the input once: every group keeps
+    ``min(struct(order..., rest...))`` and its count through a partially
+    aggregated (map-side combined) aggregate, so a hot key is collapsed before
+    the shuffle. ``strategy="split"`` never shuffles full rows: it checkpoints the
+    set of duplicated keys, passes unique rows through an anti join and only
+    aggregates the duplicated ones; it reads the input three times, so it suits
+    a cheap scan with rare duplicates. The report is lazy in both: its joins are
+    sized at run time by AQE.
     """
     keys = list(keys)
     order_by = list(order_by)
     require_columns(df, keys + order_by)
+    if strategy not in ("aggregate", "split"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     columns = df.columns
     ranked_fields = order_by + [c for c in columns if c not in order_by and c not in keys]
 
-    def rank_of(frame: DataFrame):
+    def rank_of() -> F.Column:
         return F.struct(*[col(c).alias(c) for c in ranked_fields])
 
-    groups, small = _maybe_broadcast(duplicate_groups(df, keys, count_column), broadcast_rows)
-    singles = join_on_keys(df, groups, keys, "left_anti")
-    members = join_on_keys(df, groups, keys, "inner")
-
-    firsts = (members.groupBy(*[col(k) for k in keys])
-                     .agg(F.min(rank_of(members)).alias("__first"),
-                          F.max(col(count_column)).alias(count_column)))
-
     def unpack(frame: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         return frame.select(*[(col(c) if c in keys else F.col("__first").getField(c)).alias(c)
                               for c in columns], *[col(e) for e in extra])
 
-    clean = singles.unionByName(unpack(firsts))
-
-    firsts_side = F.broadcast(firsts) if small else firsts
-    tagged = join_on_keys(members.drop(count_column), firsts_side, keys, "inner")
-    is_first = rank_of(tagged).eqNullSafe(F.col("__first"))
+    def first_per_group(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(*[col(k) for k in keys])
+                    .agg(F.min(rank_of()).alias("__first"),
+                         F.count(F.lit(1)).alias(count_column)))
+
+    if strategy == "aggregate":
+        firsts_all = first_per_group(df)
+        clean = unpack(firsts_all)
+        dup_firsts = firsts_all.filter(col(count_column) > 1)
+        tagged = join_on_keys(df, dup_firsts, keys, "inner")
+    else:
+        groups, small = _maybe_broadcast(duplicate_groups(df, keys, count_column), broadcast_rows)
+        singles = join_on_keys(df, groups, keys, "left_anti")
+        members = join_on_keys(df, groups, keys, "inner").drop(count_column)
+        dup_firsts = first_per_group(members)
+        clean = singles.unionByName(unpack(dup_firsts))
+        tagged = join_on_keys(members, F.broadcast(dup_firsts) if small else dup_firsts,
+                              keys, "inner")
+
+    is_first = rank_of().eqNullSafe(F.col("__first"))
     others = tagged.filter(~is_first).select(*[col(c) for c in columns], col(count_column))
     same_as_first = (tagged.filter(is_first)
                            .groupBy(*[col(k) for k in keys])
                            .agg(F.count(F.lit(1)).alias("__k")))
-    copies = (join_on_keys(firsts, same_as_first, keys, "inner")
+    copies = (join_on_keys(dup_firsts, same_as_first, keys, "inner")
               .withColumn("__copies", col("__k") - 1))
     repeated = unpack(replicate(copies, "__copies", keys), [count_column])
     report = others.unionByName(repeated)

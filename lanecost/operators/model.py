@@ -233,12 +233,16 @@ def enrich_corridor(df: DataFrame, country_dim: DataFrame, currency_dim: DataFra
                          "sending_currency_name")
 
 
+def star_except(df: DataFrame, column: str, new_name: str) -> DataFrame:
+    """All columns but ``column``, which is re-emitted last as ``new_name``."""
+    return df.select(*[col(c) for c in df.columns if c != column], col(column).alias(new_name))
+
+
 def cost_decompose(df: DataFrame, fee: str = "lcu_fee", amount: str = "lcu_amount",
                    margin: str = "fx_margin") -> DataFrame:
     """Fee as % of the amount (null for a zero/null amount) plus the FX margin."""
     fee_pct = col(fee) / F.nullif(col(amount), F.lit(0.0)) * F.lit(100)
-    out = df.select(*[col(c) for c in df.columns if c != margin],
-                    col(margin).alias("fx_margin_pct"), fee_pct.alias("fee_cost_pct"))
+    out = star_except(df, margin, "fx_margin_pct").withColumn("fee_cost_pct", fee_pct)
     return out.withColumn("decomposed_cost_pct", col("fee_cost_pct") + col("fx_margin_pct"))
 
 

@@ -124,12 +124,14 @@ def firm_comparison(spot: DataFrame, min_obs: int = MIN_FIRM_OBSERVATIONS,
 
 def top_cost_listing(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST) -> DataFrame:
     """One row: ``"firm (n=12), ..."`` of firms whose mean cost is at least
-    ``at_least``, cheapest first; null when there are none. Bounded by firm count."""
+    ``at_least``, cheapest first (by the mean at display precision, 6 decimals,
+    then name, so float noise cannot reorder equal means); null when there are
+    none. The list is bounded by the number of firms."""
     entry = F.concat(col("firm"), F.lit(" (n="), col("num_observations").cast("string"), F.lit(")"))
     high = firms.filter(col("avg_total_cost_pct") >= at_least).select(
-        entry.alias("entry"), col("avg_total_cost_pct"), col("firm"))
+        entry.alias("entry"), F.round(col("avg_total_cost_pct"), 6).alias("cost"), col("firm"))
     return high.agg(F.expr(
-        "listagg(entry, ', ') WITHIN GROUP (ORDER BY avg_total_cost_pct, firm)").alias("listing"))
+        "listagg(entry, ', ') WITHIN GROUP (ORDER BY cost, firm)").alias("listing"))
 
 
 def scorecard_view(scorecard: DataFrame, only_sufficient: bool = True) -> DataFrame:

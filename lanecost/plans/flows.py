@@ -9,7 +9,7 @@ marts do not each re-run the chain).
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -59,16 +59,38 @@ def curate_long(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> DataFrame
     return C.unpivot_sides(df, cfg.prefixes, cfg.driving)
 
 
-def curate(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> tuple[DataFrame, dict[str, DataFrame]]:
+class LazyReports(Mapping):
+    """Report name -> DataFrame, each built on first access (building some
+    reports runs a small sizing job, so unused ones cost nothing)."""
+
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
+
+
+def curate(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> tuple[DataFrame, Mapping[str, DataFrame]]:
     """Clean, reshape and de-duplicate the wide quotes; return the clean rows and
     four quality reports. Dedup is the only hard filter; the other checks only
     report, each on the de-duplicated rows."""
     long = curate_long(raw, cfg)
     clean, grain_report = dedup_grain(long, cfg.grain, cfg.order_by)
-    _, fx_report = split_negative(clean, cfg.margin_column)
-    _, transparency_report = split_nontransparent(clean, cfg.transparent_column)
-    _, duplicate_report = flag_duplicates(clean, cfg.grain)
-    reports = dict(zip(REPORT_NAMES, (grain_report, fx_report, transparency_report, duplicate_report)))
+    reports = LazyReports({
+        "grain_duplicates": lambda: grain_report,
+        "fx_margin": lambda: split_negative(clean, cfg.margin_column)[1],
+        "transparency": lambda: split_nontransparent(clean, cfg.transparent_column)[1],
+        "duplicate_check": lambda: flag_duplicates(clean, cfg.grain)[1],
+    })
     return clean, reports
 
 
