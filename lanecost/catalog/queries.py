@@ -664,7 +664,9 @@ def q_write_reports(spark, d):
     _, reports = curated(spark, d)
     paths = Wr.write_reports(reports, scratch_path(spark, "reports"))
     from lanecost.operators.util import union_all
-    return union_all([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
+    # an empty report writes no data files, so read back with the report's schema
+    return union_all([spark.read.schema(reports[n].schema).parquet(p)
+                        .agg(F.count(F.lit(1)).alias("rows"))
                         .select(F.lit(n).alias("report"), "rows") for n, p in paths.items()])
 
 
