@@ -89,8 +89,11 @@ def round_half_even_exact(x: Column, decimals: int) -> Column:
     fl = F.floor(p).cast("double")
     frac = p - fl
     up = (frac > 0.5) | ((frac == 0.5) & ((err > 0) | ((err == 0) & (F.pmod(fl, F.lit(2.0)) == 1.0))))
-    n = F.when(up, fl + 1.0).otherwise(fl)
-    return F.when(x.isNull() | F.isnan(x), x).otherwise(n / F.lit(scale))
+    n = F.when(up, fl + 1.0).otherwise(fl) / F.lit(scale)
+    # a negative input (or -0.0) keeps its sign even when it rounds to zero
+    negative = (x < 0) | (x.cast("string") == "-0.0")
+    return (F.when(x.isNull() | F.isnan(x), x)
+             .when(negative, -F.abs(n)).otherwise(n))
 
 
 def fmt_pct(x: Column, decimals: int = 2) -> Column:
