@@ -552,14 +552,21 @@ def _check_sql(c: K.Check) -> str:
     raise ValueError(c.kind)
 
 
-def models(spark, d) -> dict[str, DataFrame]:
+def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
+    """Every model of the chain; with ``materialize`` the curated and flagged rows
+    are checkpointed once (to the shared checkpoint dir) and the rest derive
+    from them, as models are materialized before they are tested."""
     clean, _ = curated(spark, d)
+    if materialize:
+        clean = clean.checkpoint(eager=True)
     landing = Mo.conform_landing(clean)
     stg = Mo.stage_typed(landing)
     enr = Mo.enrich_corridor(stg, FX.country_dim(spark, d), FX.currency_dim(spark, d),
                              FX.CODE_REMAP, FX.CFA_ZONES)
     dec = Mo.cost_decompose(enr)
     fl = Mo.flag_transparency(dec)
+    if materialize:
+        fl = fl.checkpoint(eager=True)
     m = flows.build_marts(fl, MODEL_CFG)
     return {"landing": landing, "staged": stg, "enriched": enr, "decomposed": dec, "flagged": fl,
             **m, "country": FX.country_dim(spark, d), "currency": FX.currency_dim(spark, d)}
@@ -567,7 +574,7 @@ def models(spark, d) -> dict[str, DataFrame]:
 
 @register("check_suite", O.with_ctes("\nUNION ALL\n".join(_check_sql(c) for c in K.declared_checks())))
 def q_check_suite(spark, d):
-    return K.check_suite(K.declared_checks(), models(spark, d))
+    return K.check_suite(K.declared_checks(), models(spark, d, materialize=True))
 
 
 # ---- profile --------------------------------------------------------------------

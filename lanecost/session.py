@@ -25,6 +25,12 @@ BASE_CONF = {
 }
 
 
+# Whole-stage generated code for wide rows (~40 columns) routinely exceeds the
+# JVM's 8000-byte limit for JIT-compiling a method; such methods would run
+# interpreted. Let the JIT compile them (driver and executors).
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def get_spark(master: str | None = None, app: str = "lanecost",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
@@ -34,7 +40,11 @@ def get_spark(master: str | None = None, app: str = "lanecost",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    for side in ("driver", "executor"):
+        key = f"spark.{side}.extraJavaOptions"
+        user = (extra or {}).get(key, "")
+        conf[key] = (user + " " + JIT_OPTIONS).strip() if JIT_OPTIONS not in user else user
+    conf.update({k: v for k, v in (extra or {}).items() if not k.endswith("extraJavaOptions")})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
