@@ -411,9 +411,10 @@ def q_firm_comparison(spark, d):
 @register("top_cost_listing", O.with_ctes(
     "SELECT string_agg(firm || ' (n=' || CAST(num_observations AS VARCHAR) || ')', ', ' "
     "ORDER BY round(avg_total_cost_pct, 6), firm) AS listing FROM firms "
-    f"WHERE num_observations >= {FIXTURE_MIN_OBS} AND avg_total_cost_pct >= {FIXTURE_AT_LEAST}"))
+    f"WHERE num_observations >= {FIXTURE_MIN_OBS} AND round(avg_total_cost_pct, 6) >= {FIXTURE_AT_LEAST}"))
 def q_top_cost_listing(spark, d):
-    firms = S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS)
+    # the threshold is applied to the mean at 6 decimals on both sides (see fmt_pct)
+    firms = r6(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS), "avg_total_cost_pct")
     return S.top_cost_listing(firms, FIXTURE_AT_LEAST)
 
 
@@ -431,12 +432,16 @@ def q_scorecard_view(spark, d):
               "avg_transparency_flag_count")
 
 
+# means are summed in a different order by each engine; a mean whose exact value
+# is a tie at the printed precision would round on float noise, so both sides
+# format the mean at 6 decimals
 @register("fmt_pct", O.with_ctes(
-    f"SELECT firm, firm_type, {_PCT.format(c='avg_total_cost_pct')} AS avg_total_cost_text, "
-    f"{_PCT.format(c='pct_disclosed_transparent')} AS pct_disclosed_text FROM firms"))
+    f"SELECT firm, firm_type, {_PCT.format(c='round(avg_total_cost_pct, 6)')} AS avg_total_cost_text, "
+    f"{_PCT.format(c='round(pct_disclosed_transparent, 6)')} AS pct_disclosed_text FROM firms"))
 def q_fmt_pct(spark, d):
     from lanecost.functions.expr import fmt_pct
-    firms = S.firm_comparison(spot_rows(spark, d), 0)
+    firms = r6(S.firm_comparison(spot_rows(spark, d), 0),
+               "avg_total_cost_pct", "pct_disclosed_transparent")
     return firms.select("firm", "firm_type",
                         fmt_pct(col("avg_total_cost_pct")).alias("avg_total_cost_text"),
                         fmt_pct(col("pct_disclosed_transparent")).alias("pct_disclosed_text"))

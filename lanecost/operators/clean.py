@@ -49,8 +49,9 @@ def parse_mixed_date(df: DataFrame, column: str = "date",
                      raw_column: str = "date_raw") -> DataFrame:
     """Keep the text in ``raw_column``; ``column`` becomes the first parse that works."""
     require_columns(df, [column])
-    return (df.withColumn(raw_column, col(column))
-              .withColumn(column, mixed_date(col(raw_column), formats)))
+    parsed = mixed_date(col(column), formats).alias(column)
+    return df.select(*[parsed if c == column else col(c) for c in df.columns if c != raw_column],
+                     col(column).alias(raw_column))
 
 
 def parse_period(df: DataFrame, column: str = "period",
@@ -91,10 +92,11 @@ def unpivot_sides(df: DataFrame, prefixes: Sequence[str] = TIER_PREFIXES,
     if driving not in fields:
         raise ValueError(f"driving field {driving!r} not found under prefixes {prefixes}")
     present = set(df.columns)
+    names = [value_name if f == driving else f for f in fields]
     sides = []
     for p, n in zip(prefixes, numbers):
-        parts = [(col(p + f) if p + f in present else F.lit(None)).alias(f) for f in fields]
+        parts = [(col(p + f) if p + f in present else F.lit(None)).alias(name)
+                 for f, name in zip(fields, names)]
         sides.append(F.struct(*parts, F.lit(n).alias(number_column)))
     long = df.select(*[col(c) for c in shared], F.inline(F.array(*sides)))
-    return (long.filter(col(driving).isNotNull())
-                .withColumnRenamed(driving, value_name))
+    return long.filter(col(value_name).isNotNull())

@@ -70,11 +70,20 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
     return clean, flagged
 
 
+def dedup_first(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
+                order_by: Sequence[str] = ("id",), strategy: str = "aggregate",
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The clean half of ``dedup_grain`` alone (no report plan is built)."""
+    return dedup_grain(df, keys, order_by, COUNT_COLUMN, broadcast_rows, strategy,
+                       with_report=False)[0]
+
+
 def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
                 order_by: Sequence[str] = ("id",),
                 count_column: str = COUNT_COLUMN,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                strategy: str = "aggregate") -> tuple[DataFrame, DataFrame]:
+                strategy: str = "aggregate",
+                with_report: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """``(clean, report)``: keep the first row of each grain group, report the rest.
 
     "First" is the ascending order of ``order_by`` then every remaining column
@@ -88,8 +97,8 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
     the shuffle. ``strategy="split"`` never shuffles full rows: it checkpoints the
     set of duplicated keys, passes unique rows through an anti join and only
     aggregates the duplicated ones; it reads the input three times, so it suits
-    a cheap scan with rare duplicates. The report is lazy in both: its joins are
-    sized at run time by AQE.
+    a cheap scan with rare duplicates. The report's joins are sized at run time
+    by AQE; with ``with_report=False`` no report plan is built (``None``).
     """
     keys = list(keys)
     order_by = list(order_by)
@@ -114,6 +123,8 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
     if strategy == "aggregate":
         firsts_all = first_per_group(df)
         clean = unpack(firsts_all)
+        if not with_report:
+            return clean, None
         dup_firsts = firsts_all.filter(col(count_column) > 1)
         tagged = join_on_keys(df, dup_firsts, keys, "inner")
     else:
@@ -122,6 +133,8 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
         members = join_on_keys(df, groups, keys, "inner").drop(count_column)
         dup_firsts = first_per_group(members)
         clean = singles.unionByName(unpack(dup_firsts))
+        if not with_report:
+            return clean, None
         tagged = join_on_keys(members, F.broadcast(dup_firsts) if small else dup_firsts,
                               keys, "inner")
 

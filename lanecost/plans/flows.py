@@ -19,7 +19,7 @@ from lanecost.operators import clean as C
 from lanecost.operators import marts as M
 from lanecost.operators import model as Mo
 from lanecost.operators import serve as S
-from lanecost.operators.dedup import GRAIN_COLUMNS, dedup_grain, flag_duplicates
+from lanecost.operators.dedup import GRAIN_COLUMNS, dedup_first, dedup_grain, flag_duplicates
 from lanecost.operators.splits import split_negative, split_nontransparent
 from lanecost.operators.util import union_all
 
@@ -84,9 +84,9 @@ def curate(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> tuple[DataFram
     four quality reports. Dedup is the only hard filter; the other checks only
     report, each on the de-duplicated rows."""
     long = curate_long(raw, cfg)
-    clean, grain_report = dedup_grain(long, cfg.grain, cfg.order_by)
+    clean = dedup_first(long, cfg.grain, cfg.order_by)
     reports = LazyReports({
-        "grain_duplicates": lambda: grain_report,
+        "grain_duplicates": lambda: dedup_grain(long, cfg.grain, cfg.order_by)[1],
         "fx_margin": lambda: split_negative(clean, cfg.margin_column)[1],
         "transparency": lambda: split_nontransparent(clean, cfg.transparent_column)[1],
         "duplicate_check": lambda: flag_duplicates(clean, cfg.grain)[1],
