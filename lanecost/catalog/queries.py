@@ -7,6 +7,8 @@ differs between engines); everything else is compared exactly.
 
 from __future__ import annotations
 
+from lanecost.session import reliable_checkpoint
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -563,7 +565,7 @@ def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
     from them, as models are materialized before they are tested."""
     clean, _ = curated(spark, d)
     if materialize:
-        clean = clean.checkpoint(eager=True)
+        clean = reliable_checkpoint(clean)
     landing = Mo.conform_landing(clean)
     stg = Mo.stage_typed(landing)
     enr = Mo.enrich_corridor(stg, FX.country_dim(spark, d), FX.currency_dim(spark, d),
@@ -571,7 +573,7 @@ def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
     dec = Mo.cost_decompose(enr)
     fl = Mo.flag_transparency(dec)
     if materialize:
-        fl = fl.checkpoint(eager=True)
+        fl = reliable_checkpoint(fl)
     m = flows.build_marts(fl, MODEL_CFG)
     return {"landing": landing, "staged": stg, "enriched": enr, "decomposed": dec, "flagged": fl,
             **m, "country": FX.country_dim(spark, d), "currency": FX.currency_dim(spark, d)}
@@ -784,7 +786,24 @@ def q_incremental_period_run(spark, d):
     return spark.read.schema(Mo.LANDING_SCHEMA).parquet(paths(base)["landing"])
 
 
-@register("serve_views", None)
+_SERVE_SQL = f"""
+SELECT 'weighted_trend' AS view, CAST(count(*) AS BIGINT) AS rows FROM wt
+UNION ALL SELECT 'top_corridors', CAST(count(*) AS BIGINT) FROM ({_TOPK_SQL})
+UNION ALL SELECT 'top_corridor_trend', CAST(count(*) AS BIGINT) FROM wt
+  WHERE corridor_label IN (SELECT corridor_label FROM ({_TOPK_SQL}))
+UNION ALL SELECT 'corridor_options', CAST(count(DISTINCT corridor_label) AS BIGINT) FROM wt
+UNION ALL SELECT 'scorecard', CAST(count(*) AS BIGINT) FROM scorecard WHERE has_sufficient_sample
+UNION ALL SELECT 'kpis', CAST(8 AS BIGINT)
+UNION ALL SELECT 'spotlight_trend', CAST(count(*) AS BIGINT) FROM (
+  SELECT DISTINCT corridor_label, period_label, period_sort_key FROM spot_lab
+  WHERE corridor_label IS NOT NULL AND period_label IS NOT NULL AND period_sort_key IS NOT NULL)
+UNION ALL SELECT 'spotlight_top', CAST(least(5, count(DISTINCT corridor_label)) AS BIGINT) FROM spot_lab
+UNION ALL SELECT 'firm_comparison', CAST(count(*) AS BIGINT) FROM firms
+  WHERE num_observations >= {FIXTURE_MIN_OBS}
+UNION ALL SELECT 'top_cost_listing', CAST(1 AS BIGINT)"""
+
+
+@register("serve_views", O.with_ctes(_SERVE_SQL))
 def q_serve_views(spark, d):
     from lanecost.operators.util import union_all
     views = flows.serve_views(marts(spark, d), names(spark, d), min_obs=FIXTURE_MIN_OBS,

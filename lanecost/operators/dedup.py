@@ -21,6 +21,8 @@ With few duplicates (the usual case) no full row is ever shuffled.
 
 from __future__ import annotations
 
+from lanecost.session import reliable_checkpoint
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -51,7 +53,7 @@ def _maybe_broadcast(groups: DataFrame, max_rows: int) -> tuple[DataFrame, bool]
     """Materialise the duplicated-key set once (a reliable checkpoint in the shared
     checkpoint dir, which also cuts its lineage) and broadcast it only if its
     counted size is within ``max_rows``; otherwise joins against it shuffle."""
-    groups = groups.checkpoint(eager=True)
+    groups = reliable_checkpoint(groups)
     small = groups.count() <= max_rows
     return (F.broadcast(groups) if small else groups), small
 

@@ -47,9 +47,11 @@ def corridor_label(df: DataFrame, names: DataFrame,
                    out: str = "corridor_label") -> DataFrame:
     """``"Sender → Receiver"`` by country name, falling back to the code.
 
-    ``names`` is a small code -> name dimension, broadcast to both lookups.
+    ``names`` is a code -> name dimension; it is broadcast to both lookups only
+    after its size and key uniqueness are checked (labels never multiply rows).
     """
-    lookup = F.broadcast(names.select(col(code).alias("__code"), col(name).alias("__name")))
+    from lanecost.operators.model import checked_dim
+    lookup = checked_dim(names.select(col(code).alias("__code"), col(name).alias("__name")), "__code")
     s = lookup.select(col("__code").alias("__s_code"), col("__name").alias("__s_name"))
     r = lookup.select(col("__code").alias("__r_code"), col("__name").alias("__r_name"))
     joined = (df.join(s, col(sending) == col("__s_code"), "left")

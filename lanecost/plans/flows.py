@@ -8,6 +8,8 @@ marts do not each re-run the chain).
 
 from __future__ import annotations
 
+from lanecost.session import reliable_checkpoint
+
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -123,7 +125,7 @@ def build_marts(flagged: DataFrame, cfg: ModelConfig = ModelConfig(),
     """The four marts. With ``reuse`` the flagged rows are checkpointed once to
     the shared checkpoint dir (lineage cut, survives executor loss)."""
     if reuse:
-        flagged = flagged.checkpoint(eager=True)
+        flagged = reliable_checkpoint(flagged)
     return {
         "corridor_cost_trends": M.corridor_cost_trends(flagged),
         "provider_comparison": M.provider_comparison(flagged),

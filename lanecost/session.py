@@ -74,3 +74,10 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared root."""
     return f"{shared_root(spark)}/lanecost/{name}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (made sure
+    to be set first); cuts lineage and survives executor loss."""
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)

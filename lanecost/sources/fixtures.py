@@ -119,7 +119,7 @@ def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = col("n_nationkey")
     income = (F.when(k % 4 == 0, F.lit("Low income")).when(k % 4 == 1, F.lit("Lower-middle income"))
                .when(k % 4 == 2, F.lit("Upper-middle income")).otherwise(F.lit("High income")))
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
              .filter(~k.isin(list(COUNTRY_GAPS)))
              .select(code("N", k).alias("country_iso3"),
                      F.concat(col("n_name"), F.lit(", "), col("r_name")).alias("country_name"),

@@ -88,3 +88,11 @@ def test_reference_csv_quoted_comma_and_unique_key(spark, tmp_base):
         f.write("country_iso3,region\nAFG,a\nAFG,b\n")
     with pytest.raises(ValueError):
         S.scan_reference_csv(spark, f"{tmp_base}/dup.csv", schema, key="country_iso3")
+
+
+def test_period_slice_prunes_partitions(spark, tmp_base):
+    W.write_by_period(quotes(spark, ["2016_2Q", "2016_3Q"]), tmp_base, name="raw")
+    df = S.scan_period_slice(spark, f"{tmp_base}/raw", "2016_3Q")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan and "2016_3Q" in plan
+    assert df.count() == 1
