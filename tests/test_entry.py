@@ -9,7 +9,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 SF = "/root/testdata/sf0.001"
 FAST = ["corridor_cost_trends", "transparency_scorecard", "dedup_grain_report", "weighted_trend",
         "kpis", "check_suite", "profile_table", "scorecard_view", "top_cost_listing",
-        "replace_partition_load", "load_audit", "incremental_period_run"]
+        "replace_partition_load", "load_audit", "incremental_period_run", "stream_period_load",
+        "flag_duplicates", "serve_views", "write_reports"]
 
 
 def test_entry_runs(spark):
