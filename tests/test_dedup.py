@@ -69,3 +69,12 @@ def test_dedup_plan_has_no_window(spark):
     plan = clean._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "partial_min" in plan  # map-side combine before the shuffle
+
+
+def test_replicate_spreads_large_counts_in_chunks(spark):
+    from lanecost.operators.util import replicate
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 7), ("d", 9)], "k string, n long")
+    out = replicate(df, "n", ["k"], chunk=3)
+    got = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
+    assert got == {"b": 1, "c": 7, "d": 9}
+    assert out.columns == ["k", "n"]
