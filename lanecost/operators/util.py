@@ -5,21 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanecost.functions.expr import col
 
-# Largest side we hint for broadcast. Checked by counting, never assumed.
+# Largest side hinted for broadcast; always checked by counting first.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equi-join condition where null keys match null keys (``<=>``)."""
-    return reduce(lambda a, b: a & b,
-                  [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
-
-
 def rename_keys(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*[col(c).alias(prefix + c) if c in keys else col(c) for c in df.columns])
 
@@ -36,16 +30,6 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*["__r_" + k for k in keys])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it under ``max_rows``.
-
-    Beyond the bound the frame is returned unhinted and the planner falls back to
-    a shuffle join (AQE may still switch to broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
