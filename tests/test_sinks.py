@@ -96,3 +96,19 @@ def test_period_slice_prunes_partitions(spark, tmp_base):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(period" in plan and "2016_3Q" in plan
     assert df.count() == 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="shared test data not present")
+def test_stream_loader_rerun_processes_nothing_new(spark, tmp_base):
+    from lanecost.sources.fixtures import wide_quotes
+    from lanecost.streaming.drop_watch import stream_period_loads
+    drop = W.write_by_period(wide_quotes(spark, "/root/testdata/sf0.001"), tmp_base, name="drop")
+    schema = spark.read.parquet(drop).schema
+    ckpt, base = f"{tmp_base}/ckpt", f"{tmp_base}/out"
+    stream_period_loads(spark, drop, schema, base, checkpoint=ckpt)
+    landed = spark.read.parquet(f"{base}/landing").count()
+    audits = spark.read.parquet(f"{base}/audit").count()
+    assert landed > 0 and audits > 0
+    stream_period_loads(spark, drop, schema, base, checkpoint=ckpt)
+    assert spark.read.parquet(f"{base}/landing").count() == landed
+    assert spark.read.parquet(f"{base}/audit").count() == audits
