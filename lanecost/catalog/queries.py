@@ -819,3 +819,10 @@ def q_stream_period_load(spark, d):
     base = scratch_path(spark, "stream")
     stream_period_loads(spark, path, spark.read.parquet(path).schema, base)
     return spark.read.schema(Mo.LANDING_SCHEMA).parquet(f"{base}/landing")
+
+
+@register("source_decl", O.with_ctes("SELECT * FROM landing"))
+def q_source_decl(spark, d):
+    # a named source other models refer to: the landing rows registered as a view
+    Wr.materialize(Mo.conform_landing(curated(spark, d)[0]), "lanecost_landing", kind="view")
+    return spark.table("lanecost_landing")
