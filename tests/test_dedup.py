@@ -78,3 +78,37 @@ def test_replicate_spreads_large_counts_in_chunks(spark):
     got = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
     assert got == {"b": 1, "c": 7, "d": 9}
     assert out.columns == ["k", "n"]
+
+
+from collections import Counter  # noqa: E402
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_small = st.one_of(st.none(), st.sampled_from(["A", "B"]))
+_row = st.tuples(st.one_of(st.none(), st.integers(0, 3)), _small, st.just("F"), _small,
+                 st.just("2016_2Q"), st.one_of(st.none(), st.sampled_from([200.0, 500.0])),
+                 st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 2.5])))
+
+
+def _brute(rows):
+    """First row per grain by (id, then every other column), nulls first."""
+    nf = lambda v: (0,) if v is None else (1, v)
+    groups = {}
+    for r in rows:
+        groups.setdefault((r[1], r[2], r[3], r[4], r[5]), []).append(r)
+    clean, report = Counter(), Counter()
+    for members in groups.values():
+        members = sorted(members, key=lambda r: (nf(r[0]), nf(r[6])))
+        clean[members[0]] += 1
+        for r in members[1:]:
+            report[r + (len(members),)] += 1
+    return clean, report
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(_row, min_size=1, max_size=12), st.sampled_from(["aggregate", "split"]))
+def test_dedup_matches_brute_force(spark, rows, strategy):
+    clean, report = dedup_grain(frame(spark, rows), strategy=strategy)
+    want_clean, want_report = _brute(rows)
+    assert Counter(tuple(r) for r in clean.collect()) == want_clean
+    assert Counter(tuple(r) for r in report.collect()) == want_report
