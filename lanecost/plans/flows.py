@@ -50,6 +50,7 @@ class ModelConfig:
     tolerance: float = Mo.MISMATCH_TOLERANCE
     spotlight_country: str = "KEN"
     min_sample: int = M.MIN_SAMPLE
+    approx_median: bool = False   # bounded-memory sketch instead of the exact median
 
 
 def curate_long(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> DataFrame:
@@ -126,7 +127,7 @@ def build_marts(flagged: DataFrame, cfg: ModelConfig = ModelConfig(),
     if reuse:
         flagged = reliable_checkpoint(flagged)
     return {
-        "corridor_cost_trends": M.corridor_cost_trends(flagged),
+        "corridor_cost_trends": M.corridor_cost_trends(flagged, cfg.approx_median),
         "provider_comparison": M.provider_comparison(flagged),
         "transparency_scorecard": M.transparency_scorecard(flagged, cfg.min_sample),
         "spotlight": M.spotlight(flagged, cfg.spotlight_country),
