@@ -160,7 +160,8 @@ def code_lengths(model: dict, texts: list[str], block: int = 1 << 18) -> np.ndar
 
 def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", rows_per_lang: int = 300, row_bytes: int = 1 << 16, order: int = 3,
-             min_count: int = 3, table_bytes: int = 96 << 20, carry: list[str] | None = None) -> DataFrame:
+             min_count: int = 3, table_bytes: int = 96 << 20, carry: list[str] | None = None,
+             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``carry`` columns (the id by default), ``lang_pred`` and ``score`` for every row.
 
     Learns from the labelled rows of ``training`` only. A null text or one without
@@ -173,10 +174,10 @@ def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_
     samples = [(r[0], r[1]) for r in training_rows(training, lang_col, text_col, rows_per_lang, row_bytes)]
     shared = spark.sparkContext.broadcast(train(samples, order, min_count, table_bytes))
     carry = carry or [id_col]
-    src = docs.select(*[F.col(c) for c in carry], F.col(text_col).alias("__text"))
+    src = docs.select(*carry) if text_col in carry else docs.select(*carry, text_col)
     schema = T.StructType([docs.schema[c] for c in carry]
-                          + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    at_text = len(carry)
+                          + [T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    width, at_text = len(carry), src.columns.index(text_col)
 
     def run(batches):
         model = shared.value
@@ -197,12 +198,18 @@ def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_
                 preds += pred
                 scores += score
             yield pa.RecordBatch.from_arrays(
-                batch.columns[:at_text] + [pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
+                batch.columns[:width] + [pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                 names=schema.names)
 
     return src.mapInArrow(run, schema)
 
 
+def drop_unknown(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text has a recognisable language (all but ``und``)."""
+    out = identify(docs, docs, text_col=text_col, carry=docs.columns, pred_col="__lang_pred", score_col="__score", **options)
+    return out.filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
+
+
 def held_out(id_col: str = "doc_id"):
     """True for one document in five, by crc32 of the id as text (null id: of '')."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -400,9 +400,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
-                   **options) -> DataFrame:
+                   as_text: bool = False, **options) -> DataFrame:
     """``carry`` columns (the id by default) with ``n_bytes``, ``n_removed``, ``n_spans``
-    (maximal removed runs) and ``kept`` (binary: the remaining bytes concatenated).
+    (maximal removed runs) and ``kept`` (the remaining bytes concatenated: binary, or with
+    ``as_text`` a string without what is left of characters that were cut).
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else,
     in this document or another, is removed; strings are judged on the input. A null
@@ -419,7 +420,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select(*[f"__c{i}" for i in range(at)], "__text", "__spans"))
     schema = T.StructType([docs.schema[c] for c in carry]
                           + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
-                          + [T.StructField("kept", T.BinaryType())])
+                          + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -437,10 +438,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                             removed += x[1] - done
                             done = x[1]
                     kept.append(raw[done:])
-                    for c, v in zip(rows, (len(raw), removed, runs, b"".join(kept))):
+                    left = b"".join(kept)
+                    if as_text:
+                        left = left.decode("utf-8", "ignore")
+                    for c, v in zip(rows, (len(raw), removed, runs, left)):
                         c.append(v)
             yield pa.RecordBatch.from_arrays(batch.columns[:at] + [pa.array(c, pa.int64()) for c in rows[:3]]
-                                             + [pa.array(rows[3], pa.binary())], names=schema.names)
+                                             + [pa.array(rows[3], pa.string() if as_text else pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
+
+def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
+                  **options) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text_col`` (null stays null; a
+    character cut in two goes) and, if there is such a column, ``chars_col`` counted anew."""
+    out = remove_repeats(docs, id_col, text_col, carry=docs.columns, as_text=True, **options)
+    text = F.when(F.col(text_col).isNotNull(), F.col("kept"))
+    cols = []
+    for f in docs.schema:
+        value = F.col(f.name)
+        if f.name == text_col:
+            value = text
+        elif f.name == chars_col:
+            value = F.when(F.col(text_col).isNotNull(), F.length(text)).otherwise(value)
+        cols.append(value.cast(f.dataType).alias(f.name))
+    return out.select(*cols)
