@@ -12,9 +12,9 @@ Documents with equal sets are one node. Nodes that agree on all rows of a band a
 candidates. A candidate pair is a link only if the exact sets are similar enough.
 Pairs inside a bucket are not listed: each round compares a bucket's members with
 one member (first the most central one), links are joined to components, and the
-next round takes only buckets that still hold several components. What pivots leave
-over is compared in a last round, pair by pair, so no pair that shares a bucket and
-could still join two components stays unseen.
+next round takes only buckets that still hold several components. For what pivots
+leave over, a last round finds the pairs that can be links by an exact prefix filter,
+so no link that shares a bucket and would join two components stays unseen.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lanecost.llm.graph import connected_components
 from lanecost.llm.util import Memo, mix64, slices, stage
@@ -172,7 +172,7 @@ def _sets(rows: DataFrame, text_col: str, width: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    percent: int = 75, positions: int = 128, rows: int = 4, pivot_rounds: int = 3) -> DataFrame:
+                    percent: int = 75, positions: int = 128, rows: int = 4, pivot_rounds: int = 2) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
 
     Two documents are linked when ``100 * |A & B| >= percent * |A | B|``. The
@@ -237,11 +237,7 @@ def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) ->
             pairs = here.join(mixed, "band").filter(F.col("p.comp") != F.col("comp"))
             pairs = pairs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("p.node").alias("b"), F.col("p.n").alias("nb"))
         else:
-            mixed = (here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .filter(F.col("lo") != F.col("hi")).select("band"))
-            left = here.join(mixed, "band").select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            right = left.select("band", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("ca").alias("cb"))
-            pairs = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
+            pairs = _prefix_pairs(here, sets, percent)
         # |A & B| / |A | B| is at most the ratio of the sizes
         pairs = pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -267,6 +263,36 @@ def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) ->
     return comps
 
 
+def _prefix_pairs(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, na, b, nb): every pair that may be a link between two components, among the
+    nodes of buckets that hold several components.
+
+    Exact: all shingles are put in one order, those seen in a single component first,
+    then the rarer before the more frequent. Sets of x and y elements that are linked
+    have at least t = ceil(percent * (x + y) / (100 + percent)) in common, so they
+    share one among the first x - t + 1 of the one and y - t + 1 of the other. What a
+    large group has in common stands last and is in few prefixes.
+    """
+    mixed = (here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter(F.col("lo") != F.col("hi")).select("band"))
+    nodes = here.join(mixed, "band").select("node", "n", "comp").distinct()
+    rows = nodes.join(sets, "node").select("node", "n", "comp", F.explode("shingles").alias("s"))
+    seen = rows.groupBy("s").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    seen = seen.select("s", "df", (F.col("lo") != F.col("hi")).alias("across"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("across", "df", "s"))
+    # the shortest partner has percent / 100 of the elements
+    longest = F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1
+    head = rows.join(seen, "s").withColumn("at", place).filter(F.col("across") & (F.col("at") <= longest))
+    head = stage(head.select("s", "node", "n", "comp", "at"), "prefixes")
+    left = head.select("s", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "comp", "at")])
+    right = head.select("s", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "at")])
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100.0 + percent) - 1e-9)
+    both = left.join(right, "s").filter((F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b"))
+                                        & (F.col("at_a") <= F.col("n_a") - least + 1)
+                                        & (F.col("at_b") <= F.col("n_b") - least + 1))
+    return both.select(F.col("node_a").alias("a"), F.col("n_a").alias("na"), F.col("node_b").alias("b"), F.col("n_b").alias("nb"))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose document is kept: one of each group. Of rows that
     repeat the same id, all stay or all go."""
