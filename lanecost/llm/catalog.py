@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lanecost.llm import decontam, langid, near_dup, packing, suffix_dedup
+from lanecost.llm import decontam, langid, near_dup, packing, quality, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict on every document."""
+    return quality.assess(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, one row per (document, item)."""
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -50,6 +55,7 @@ def packing_tokenizer() -> tuple[str, str]:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_near_duplicates": op8_near_duplicates,

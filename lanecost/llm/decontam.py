@@ -57,7 +57,7 @@ def _attributes(raw: str) -> int:
     flags = 0
     if _NUMBER.fullmatch(word) or _QUANTITY.fullmatch(word) or low in NUMBER_WORDS:
         flags |= _NUM
-    elif word[0].isupper():
+    elif word[0].isupper() and not word.isupper():   # shouted words and initials are words
         flags |= _CAP
     if low in UNITS:
         flags |= _UNIT
