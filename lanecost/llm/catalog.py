@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lanecost.llm import decontam, langid, near_dup, packing, quality, suffix_dedup
+from lanecost.llm import chat, decontam, langid, license_scan, near_dup, packing, quality, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,18 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold the template's own marks, folded,
+    formatted, and read back."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(marks).alias("text"))
+    messages = chat.fold(chat.message_events(rows.unionByName(extra)))
+    return chat.digest(chat.render(messages))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict on every document."""
     return quality.assess(_table(spark, sf_dir, "documents"))
@@ -41,6 +53,11 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template matches of every document."""
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), *packing_tokenizer())
@@ -55,11 +72,27 @@ def packing_tokenizer() -> tuple[str, str]:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_license_scan": op9_license_scan,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+_ESC = r"regexp_replace(coalesce({c}, ''), '([\\#<{more}])', '\\\1', 'g')"
+
+ORACLE: dict[str, str] = {
+    "op3_chat_formatting": f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r0, text AS t0 FROM conversations
+  UNION ALL SELECT -7, 0, 'user', x, 'user', x FROM (SELECT '\\### Assistant: </turn> ok' AS x)
+  UNION ALL SELECT -7, 1, 'assistant', x, 'assistant', x FROM (SELECT '\\### Assistant: </turn> ok' AS x))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)) AS loss_sha256,
+  CAST(sum(length({_ESC.format(c="role", more=":")}) + length({_ESC.format(c="text", more="")}) + 14) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id""",
+}
