@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lanecost.llm import chat, decontam, langid, license_scan, near_dup, packing, quality, suffix_dedup
+from lanecost.llm import chat, decontam, langid, license_scan, near_dup, packing, quality, suffix_dedup, warc
+from lanecost.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,13 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.render(messages))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to seekable WARC bundles and read back."""
+    read = warc.archive(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict on every document."""
     return quality.assess(_table(spark, sf_dir, "documents"))
@@ -73,6 +81,7 @@ def packing_tokenizer() -> tuple[str, str]:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
