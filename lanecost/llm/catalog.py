@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lanecost.llm import chat, decontam, langid, license_scan, near_dup, packing, quality, suffix_dedup, warc
+from lanecost.llm import chat, decontam, html_extract, langid, license_scan, near_dup, packing, quality, suffix_dedup, warc
 from lanecost.session import scratch_path
 
 
@@ -20,6 +20,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts hold the template's own marks, folded,
     formatted, and read back."""
@@ -80,6 +85,7 @@ def packing_tokenizer() -> tuple[str, str]:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
