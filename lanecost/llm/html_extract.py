@@ -47,6 +47,7 @@ SCOPE = frozenset("ul ol dl table article main section div body html nav aside".
 
 _TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*+)|[!?][^>]*+>|(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^'">]++)*+)(?:>|\Z))""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_JUDGED = re.compile(r"class|id\b|role|hidden|style|itemprop", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
@@ -69,7 +70,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 def _judge(tag: str, source: str) -> tuple[str, bool, bool]:
     """(label for alignment, cannot hold an article, marks the article)"""
-    if not source.strip(" /\t\r\n"):
+    if not _JUDGED.search(source):
         return tag, tag in NEVER, tag in ("article", "main")
     a = _attributes(source)
     names = f"{a.get('class', '')} {a.get('id', '')}"
@@ -301,7 +302,6 @@ def _link_list(node: Node) -> bool:
 
 def _mark(node: Node, t: list, most: float, constant: set[int]) -> None:
     """Collect the elements whose own text is template: on most pages, always the same."""
-    folded: list[list] = []
     groups: list[list[Node]] = []
     for p in node.parts:
         if isinstance(p, Node):
@@ -309,12 +309,16 @@ def _mark(node: Node, t: list, most: float, constant: set[int]) -> None:
                 groups[-1].append(p)
             else:
                 groups.append([p])
-                folded.append(skeleton(p))
-    for i, j in matching(t[3], folded):
+    if [g[0].label for g in groups] == [k[0] for k in t[3]]:
+        pairs = [(i, i) for i in range(len(groups))]
+    else:
+        pairs = matching(t[3], [skeleton(g[0]) for g in groups])
+    for i, j in pairs:
         for p in groups[j]:
             if len(groups[j]) == 1 and t[3][i][2] not in ("", "*") and t[3][i][1] > most:
                 constant.add(id(p))
-            _mark(p, t[3][i], most, constant)
+            if t[3][i][3]:
+                _mark(p, t[3][i], most, constant)
 
 
 def host_of(url):
