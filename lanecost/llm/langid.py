@@ -34,11 +34,15 @@ def training_rows(docs: DataFrame, lang_col: str, text_col: str, rows_per_lang:
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
                        & (F.octet_length(F.col(text_col)) <= row_bytes))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.groupBy("lang").count()
-    # about three times the wanted rows a language by hash, then the first of these
-    keep = F.least(F.lit(1.0), F.lit(3.0 * rows_per_lang) / F.col("count"))
+    # a share by hash of about three times the wanted rows (one number a language), then
+    # the first of these; only that share is ever shuffled
+    share = {r["lang"]: min(1.0, 3.0 * rows_per_lang / r["n"])
+             for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not share:
+        return []
+    keep = F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv])[F.col("lang")]
     chance = (F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1))) / F.lit(float(1 << 30))
-    some = rows.join(counts, "lang").filter(chance < keep).dropDuplicates(["lang", "text"])
+    some = rows.filter(chance < keep).dropDuplicates(["lang", "text"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(7), "text"), "text"))
     return some.withColumn("__r", rank).filter(F.col("__r") <= rows_per_lang).select("lang", "text").collect()
 

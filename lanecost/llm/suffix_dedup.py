@@ -353,24 +353,33 @@ def _merged(runs: DataFrame, length: int, reach: int) -> DataFrame:
 
 
 def _window_spans(rows: DataFrame, length: int) -> DataFrame:
-    """Spans of anchors in very large classes: count the hash of every window."""
-    schema = T.StructType([*_SPAN.fields[:3], T.StructField("window", T.BinaryType())])
+    """Spans of anchors in very large classes: count the hash of every window. Equal
+    windows of one text that overlap (a run of one character) are a single row."""
+    schema = T.StructType([*_SPAN.fields, T.StructField("n", T.LongType()), T.StructField("window", T.BinaryType())])
+    types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
 
     def run(batches):
         for k1s, k2s, texts, lists in slices(batches, 2, 1 << 18):
-            out: list[tuple] = []
+            out: list[list] = []
             for k1, k2, text, found in zip(k1s, k2s, texts, lists):
                 raw = (text or "").encode("utf-8", "replace")
-                for x in found:
+                last: dict[bytes, list] = {}
+                for x in sorted(found, key=lambda f: f["p"]):
                     for s in range(x["p"] - x["most"], x["p"] - x["fewest"] + 1):
-                        out.append((k1, k2, s, xxhash.xxh128_digest(raw[s:s + length])))
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.string(), pa.int64(), pa.int32(), pa.binary()))],
-                                             names=schema.names)
+                        h = xxhash.xxh128_digest(raw[s:s + length])
+                        row = last.get(h)
+                        if row is not None and s <= row[3]:
+                            row[3] = s + length
+                            row[4] += 1
+                        else:
+                            row = last[h] = [k1, k2, s, s + length, 1, h]
+                            out.append(row)
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=schema.names)
 
     windows = stage(rows.mapInArrow(run, schema), "windows")
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("window")
-    return windows.join(again, "window").select("__k1", "__k2", "start", (F.col("start") + length).alias("end"))
+    again = windows.groupBy("window").agg(F.sum("n").alias("n")).filter(F.col("n") > 1).select("window")
+    return windows.join(again, "window").select("__k1", "__k2", "start", "end")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
