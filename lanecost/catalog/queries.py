@@ -7,7 +7,7 @@ differs between engines); everything else is compared exactly.
 
 from __future__ import annotations
 
-from lanecost.session import reliable_checkpoint
+from lanecost.session import materialized
 
 from collections.abc import Callable
 
@@ -239,8 +239,12 @@ def q_require_columns(spark, d):
 
 @register("scan_guarded", O.with_ctes("SELECT * FROM wide"))
 def q_scan_guarded(spark, d):
-    from lanecost.sources.scan import guard_shape
-    return guard_shape(wide(spark, d), expected_columns=len(O.WIDE_COLUMNS))
+    # through a real file: written, then read with both guards on
+    w = wide(spark, d)
+    path = scratch_path(spark, "guarded")
+    w.write.parquet(path)
+    return Sc.scan_guarded(spark, path, expected_columns=len(O.WIDE_COLUMNS),
+                           expected_rows=spark.read.parquet(path).count(), strict_rows=True)
 
 
 @register("split_negative", O.with_ctes('SELECT * FROM clean WHERE "fx margin" < 0'))
@@ -517,10 +521,10 @@ def q_check_relationships_country(spark, d):
 
 @register("check_accepted_values", O.with_ctes(
     "SELECT transparency_flag_count AS value, count(*) AS failures FROM flagged "
-    "WHERE transparency_flag_count IS NOT NULL AND transparency_flag_count NOT IN (0, 1) "
+    "WHERE transparency_flag_count IS NOT NULL AND transparency_flag_count NOT IN (0) "
     "GROUP BY 1"))
 def q_check_accepted_values(spark, d):
-    return K.check_accepted_values(flagged(spark, d), "transparency_flag_count", [0, 1])
+    return K.check_accepted_values(flagged(spark, d), "transparency_flag_count", [0])
 
 
 @register("check_expression", O.with_ctes(
@@ -561,11 +565,10 @@ def _check_sql(c: K.Check) -> str:
 
 def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
     """Every model of the chain; with ``materialize`` the curated and flagged rows
-    are checkpointed once (to the shared checkpoint dir) and the rest derive
-    from them, as models are materialized before they are tested."""
+    are written once (to the shared scratch folder) and the rest derive from them, as models are materialized before they are tested."""
     clean, _ = curated(spark, d)
     if materialize:
-        clean = reliable_checkpoint(clean)
+        clean = materialized(clean, "clean")
     landing = Mo.conform_landing(clean)
     stg = Mo.stage_typed(landing)
     enr = Mo.enrich_corridor(stg, FX.country_dim(spark, d), FX.currency_dim(spark, d),
@@ -573,7 +576,7 @@ def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
     dec = Mo.cost_decompose(enr)
     fl = Mo.flag_transparency(dec)
     if materialize:
-        fl = reliable_checkpoint(fl)
+        fl = materialized(fl, "flagged")
     m = flows.build_marts(fl, MODEL_CFG)
     return {"landing": landing, "staged": stg, "enriched": enr, "decomposed": dec, "flagged": fl,
             **m, "country": FX.country_dim(spark, d), "currency": FX.currency_dim(spark, d)}
@@ -607,6 +610,8 @@ _PROFILE_SQL = " UNION ALL ".join([
     "SELECT 'periods', period, CAST(row_number() OVER (ORDER BY period) AS BIGINT) FROM "
     "(SELECT DISTINCT period FROM wide WHERE period IS NOT NULL ORDER BY period LIMIT 10)",
     "SELECT 'value_counts', transparent, CAST(count(*) AS BIGINT) FROM wide GROUP BY transparent",
+    _values("dtypes", [(f"{c} {'bigint' if c == 'id' else 'double' if c in NUMERIC_WIDE else 'string'}", i + 1)
+                       for i, c in enumerate(O.WIDE_COLUMNS)]),
 ])
 
 
@@ -751,11 +756,16 @@ def q_build_marts(spark, d):
 @register("export_marts", O.with_ctes(_MART_COUNTS))
 def q_export_marts(spark, d):
     m = flows.build_marts(flagged(spark, d), MODEL_CFG, reuse=True)
-    counts = Wr.export_marts(m, scratch_path(spark, "export"))
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("mart", T.StringType()), T.StructField("rows", T.LongType())])
-    # the counts were observed during the writes; read the snapshots back to prove them
-    return spark.createDataFrame(list(counts.items()), schema)
+    base = scratch_path(spark, "export")
+    counts = Wr.export_marts(m, base)
+    from lanecost.operators.util import union_all
+    back = {n: Sc.read_mart(spark, base, n) for n in counts}
+    for n, df in back.items():
+        if df.columns != [c.lower() for c in m[n].columns]:
+            raise AssertionError(f"snapshot {n} has other columns than its mart")
+    # the snapshots read back; a row appears only where the observed count agrees
+    return union_all([df.agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") == counts[n])
+                        .select(F.lit(n).alias("mart"), "rows") for n, df in back.items()])
 
 
 @register("materialize", O.with_ctes(_round_sql("trends", TREND_DOUBLES)))
@@ -780,8 +790,10 @@ def q_incremental_period_run(spark, d):
     # the store already holds every period but the newest two
     periods = w.select("period").distinct()
     newest_two = periods.orderBy(F.col("period").desc()).limit(2)
-    older = w.join(F.broadcast(newest_two), "period", "left_anti")
-    Wr.write_by_period(older, base, name="raw")
+    older = w.join(newest_two, "period", "left_anti")
+    # the audit log is what says so: one SUCCESS for each older period
+    labels = sorted(r[0] for r in older.select("period").distinct().collect())
+    Wr.append_audit(spark, paths(base)["audit"], labels, 0, "SUCCESS")
     incremental_period_run(spark, w, base)
     return spark.read.schema(Mo.LANDING_SCHEMA).parquet(paths(base)["landing"])
 
@@ -821,6 +833,87 @@ def q_stream_period_load(spark, d):
     return spark.read.schema(Mo.LANDING_SCHEMA).parquet(f"{base}/landing")
 
 
+@register("incremental_recovery", O.with_ctes(f"SELECT * FROM landing WHERE period = {_MAXP}"))
+def q_incremental_recovery(spark, d):
+    """The load step of the first run fails after everything else was written; the
+    rerun takes the same period again and lands it."""
+    from lanecost.plans.incremental import incremental_period_run, paths
+    w = wide(spark, d)
+    base = scratch_path(spark, "recovery")
+
+    def broken(*args, **kwargs):
+        raise OSError("injected")
+    try:
+        incremental_period_run(spark, w, base, load=broken)
+        raise AssertionError("the injected failure was swallowed")
+    except OSError:
+        pass
+    incremental_period_run(spark, w, base)
+    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(paths(base)["landing"])
+
+
+def _streamed(spark, w, max_files=None, files=1):
+    """Land ``w`` through the stream from a drop of ``files`` files, each of which
+    holds a share of the rows of every period."""
+    from lanecost.streaming.drop_watch import stream_period_loads
+    drop, base = scratch_path(spark, "drop"), scratch_path(spark, "stream")
+    for i in range(files):
+        part = w.filter(F.pmod(F.col("id"), F.lit(files)) == i)
+        part.coalesce(1).write.mode("append").parquet(drop)
+    stream_period_loads(spark, drop, w.schema, base, max_files_per_trigger=max_files)
+    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(f"{base}/landing")
+
+
+@register("stream_two_files_one_period", O.with_ctes("SELECT * FROM landing"))
+def q_stream_two_files_one_period(spark, d):
+    return _streamed(spark, wide(spark, d), max_files=1, files=2)
+
+
+_NULLED = ", ".join(f"CASE WHEN period = {_MAXP} THEN NULL ELSE {c} END AS {c}"
+                    for c in ("period", "period_year", "period_quarter"))
+
+
+@register("stream_null_period", O.with_ctes(f"SELECT * REPLACE ({_NULLED}) FROM landing"))
+def q_stream_null_period(spark, d):
+    w = wide(spark, d)
+    newest = w.agg(F.max("period")).first()[0]
+    return _streamed(spark, w.withColumn("period", F.nullif("period", F.lit(newest))))
+
+
+@register("run_pipeline", O.with_ctes(
+    _REPORTS_SQL.format(c="dataset", g=O.qs(O.GRAIN_COLUMNS))
+    + "\nUNION ALL SELECT 'clean', CAST(count(*) AS BIGINT) FROM clean"))
+def q_run_pipeline(spark, d):
+    from lanecost.operators.util import union_all
+    path, w = staged_drop(spark, d)
+    base = scratch_path(spark, "pipeline")
+    flows.run_pipeline(spark, path, base, expected_columns=len(w.columns))
+    places = {n: f"{base}/quality_reports/{n}" for n in flows.REPORT_NAMES} | {"clean": f"{base}/clean"}
+    return union_all([spark.read.schema("id long").parquet(p).agg(F.count(F.lit(1)).alias("rows"))
+                      .select(F.lit(n).alias("dataset"), "rows") for n, p in places.items()])
+
+
+@register("convert_full_history", O.with_ctes("SELECT * FROM wide"))
+def q_convert_full_history(spark, d):
+    path, w = staged_drop(spark, d)
+    drop = spark.read.parquet(path)
+    return Sc.convert_full_history(spark, drop, scratch_path(spark, "history"), drop.count(), len(w.columns))
+
+
+@register("dedup_grain_split", O.with_ctes("SELECT * FROM clean"))
+def q_dedup_grain_split(spark, d):
+    from lanecost.operators.dedup import dedup_first
+    return dedup_first(long(spark, d), strategy="split")
+
+
+@register("profile_sample", O.with_ctes(
+    "SELECT * FROM wide ORDER BY id NULLS FIRST, "
+    + ", ".join(f"{O.q(c)} NULLS FIRST" for c in O.WIDE_COLUMNS if c != "id") + " LIMIT 5"))
+def q_profile_sample(spark, d):
+    from lanecost.operators.profile import sample_rows
+    return sample_rows(wide(spark, d), ["id"])
+
+
 @register("source_decl", O.with_ctes("SELECT * FROM landing"))
 def q_source_decl(spark, d):
     # a named source other models refer to: the landing rows registered as a view

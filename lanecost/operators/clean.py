@@ -6,6 +6,7 @@ for the unpivot, and filters that Catalyst pushes toward the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,9 +32,9 @@ PERIOD_QUARTER_PATTERN = r"_(\d)Q"
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Raise ``ValueError`` naming every required column the frame lacks."""
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"Expected columns not found in DataFrame: {missing}")
+    lacking = sorted(set(columns) - set(df.columns))
+    if lacking:
+        raise ValueError(f"the frame lacks {len(lacking)} required column(s): {', '.join(map(repr, lacking))}")
     return df
 
 
@@ -74,6 +75,14 @@ def tier_fields(df: DataFrame, prefixes: Sequence[str]) -> list[str]:
     return fields
 
 
+def tier_number(prefix: str) -> int:
+    """The whole number a prefix ends in (``"cc12 "`` is tier 12)."""
+    digits = re.search(r"(\d+)\s*$", prefix)
+    if digits is None:
+        raise ValueError(f"prefix {prefix!r} ends in no tier number; pass numbers")
+    return int(digits[1])
+
+
 def unpivot_sides(df: DataFrame, prefixes: Sequence[str] = TIER_PREFIXES,
                   driving: str = DRIVING_FIELD, number_column: str = "cc_number",
                   value_name: str = "send_amount",
@@ -86,17 +95,19 @@ def unpivot_sides(df: DataFrame, prefixes: Sequence[str] = TIER_PREFIXES,
     """
     prefixes = tuple(prefixes)
     if numbers is None:
-        numbers = [int(p.strip()[-1]) for p in prefixes]
+        numbers = [tier_number(p) for p in prefixes]
+    if len(set(numbers)) != len(prefixes):
+        raise ValueError(f"prefixes {prefixes} need one distinct tier number each, got {numbers}")
     shared = [c for c in df.columns if not c.startswith(prefixes)]
     fields = tier_fields(df, prefixes)
     if driving not in fields:
         raise ValueError(f"driving field {driving!r} not found under prefixes {prefixes}")
     present = set(df.columns)
-    names = [value_name if f == driving else f for f in fields]
-    sides = []
-    for p, n in zip(prefixes, numbers):
-        parts = [(col(p + f) if p + f in present else F.lit(None)).alias(name)
-                 for f, name in zip(fields, names)]
-        sides.append(F.struct(*parts, F.lit(n).alias(number_column)))
-    long = df.select(*[col(c) for c in shared], F.inline(F.array(*sides)))
+
+    def tier(prefix: str, number: int):
+        cells = {value_name if f == driving else f: col(prefix + f) if prefix + f in present else F.lit(None)
+                 for f in fields}
+        return F.struct(*[cell.alias(name) for name, cell in cells.items()], F.lit(number).alias(number_column))
+
+    long = df.select(*[col(c) for c in shared], F.inline(F.array(*map(tier, prefixes, numbers))))
     return long.filter(col(value_name).isNotNull())

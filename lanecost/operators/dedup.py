@@ -8,8 +8,8 @@ becomes a third of the job on one core. Here the work is split instead:
    collapses a hot key on the map side, and only key columns are shuffled.
 2. Rows of unique groups pass through an anti join against those groups;
    rows of duplicated groups come from the matching inner join. The group frame
-   is broadcast only after its row count is checked; past the bound both joins
-   are shuffle joins whose skewed partitions AQE splits.
+   is written first, so the planner broadcasts it by its size in bytes or else
+   makes shuffle joins whose skewed partitions AQE splits.
 3. The first row of a duplicated group is ``min(struct(order..., rest...))``,
    again a partially aggregated (map-side combined) aggregate.
 4. The report (every row after the first) is the group's other rows plus
@@ -21,8 +21,6 @@ With few duplicates (the usual case) no full row is ever shuffled.
 
 from __future__ import annotations
 
-from lanecost.session import reliable_checkpoint
-
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -30,8 +28,8 @@ from pyspark.sql import functions as F
 
 from lanecost.functions.expr import col
 from lanecost.operators.clean import require_columns
+from lanecost.session import materialized
 from lanecost.operators.util import (
-    DEFAULT_BROADCAST_ROWS,
     join_on_keys,
     replicate,
 )
@@ -49,23 +47,14 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str],
               .filter(col(count_column) > 1))
 
 
-def _maybe_broadcast(groups: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Materialise the duplicated-key set once (a reliable checkpoint in the shared
-    checkpoint dir, which also cuts its lineage) and broadcast it only if its
-    counted size is within ``max_rows``; otherwise joins against it shuffle."""
-    groups = reliable_checkpoint(groups)
-    small = groups.count() <= max_rows
-    return (F.broadcast(groups) if small else groups), small
-
-
 def flag_duplicates(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
-                    count_column: str = COUNT_COLUMN,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+                    count_column: str = COUNT_COLUMN) -> tuple[DataFrame, DataFrame]:
     """``(clean, flagged)``: clean = rows whose key is unique; flagged = every row
-    of a repeated key, with the group's ``count_column``."""
+    of a repeated key, with the group's ``count_column``. The repeated keys are written
+    once, so the planner knows their size in bytes when it picks the joins."""
     keys = list(keys)
     require_columns(df, keys)
-    groups, _ = _maybe_broadcast(duplicate_groups(df, keys, count_column), broadcast_rows)
+    groups = materialized(duplicate_groups(df, keys, count_column), "groups")
     clean = join_on_keys(df, groups, keys, "left_anti")
     flagged = join_on_keys(df, groups, keys, "inner").select(
         *[col(c) for c in df.columns], col(count_column))
@@ -73,17 +62,14 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
-                order_by: Sequence[str] = ("id",), strategy: str = "aggregate",
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                order_by: Sequence[str] = ("id",), strategy: str = "aggregate") -> DataFrame:
     """The clean half of ``dedup_grain`` alone (no report plan is built)."""
-    return dedup_grain(df, keys, order_by, COUNT_COLUMN, broadcast_rows, strategy,
-                       with_report=False)[0]
+    return dedup_grain(df, keys, order_by, COUNT_COLUMN, strategy, with_report=False)[0]
 
 
 def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
                 order_by: Sequence[str] = ("id",),
                 count_column: str = COUNT_COLUMN,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 strategy: str = "aggregate",
                 with_report: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """``(clean, report)``: keep the first row of each grain group, report the rest.
@@ -96,11 +82,11 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
     ``strategy="aggregate"`` (default) reads the input once: every group keeps
     ``min(struct(order..., rest...))`` and its count through a partially
     aggregated (map-side combined) aggregate, so a hot key is collapsed before
-    the shuffle. ``strategy="split"`` never shuffles full rows: it checkpoints the
-    set of duplicated keys, passes unique rows through an anti join and only
-    aggregates the duplicated ones; it reads the input three times, so it suits
-    a cheap scan with rare duplicates. The report's joins are sized at run time
-    by AQE; with ``with_report=False`` no report plan is built (``None``).
+    the shuffle. ``strategy="split"`` writes the rows once as Parquet to shared
+    scratch, finds the repeated keys by a key-only hash aggregate, lets the rows of
+    unique keys pass by an anti join (no sort and, while the repeated keys are small
+    enough in bytes for the planner to broadcast, no shuffle of full rows) and ranks only
+    the repeated groups. The joins are sized by the planner and AQE; with ``with_report=False`` no report plan is built (``None``).
     """
     keys = list(keys)
     order_by = list(order_by)
@@ -130,15 +116,15 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
         dup_firsts = firsts_all.filter(col(count_column) > 1)
         tagged = join_on_keys(df, dup_firsts, keys, "inner")
     else:
-        groups, small = _maybe_broadcast(duplicate_groups(df, keys, count_column), broadcast_rows)
+        df = materialized(df, "dedup")
+        groups = materialized(duplicate_groups(df, keys, count_column), "groups")
         singles = join_on_keys(df, groups, keys, "left_anti")
         members = join_on_keys(df, groups, keys, "inner").drop(count_column)
         dup_firsts = first_per_group(members)
         clean = singles.unionByName(unpack(dup_firsts))
         if not with_report:
             return clean, None
-        tagged = join_on_keys(members, F.broadcast(dup_firsts) if small else dup_firsts,
-                              keys, "inner")
+        tagged = join_on_keys(members, dup_firsts, keys, "inner")
 
     is_first = rank_of().eqNullSafe(F.col("__first"))
     others = tagged.filter(~is_first).select(*[col(c) for c in columns], col(count_column))

@@ -9,6 +9,7 @@ count cannot change.
 from __future__ import annotations
 
 import logging
+from functools import reduce
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -107,7 +108,8 @@ CFA_ZONES = {
     "XAF": ("CMR", "CAF", "TCD", "COG", "GNQ", "GAB"),
 }
 MISMATCH_TOLERANCE = 0.01
-DIM_MAX_ROWS = 1_000_000
+# Largest dimension, in measured bytes, that is hinted for broadcast.
+DIM_MAX_BYTES = 32 << 20
 
 
 def conform_landing(df: DataFrame, schema: T.StructType = LANDING_SCHEMA) -> DataFrame:
@@ -191,21 +193,22 @@ def resolve_currency(df: DataFrame, code_column: str = "lcu_code",
     return df.withColumn(out, code if expr is None else expr.otherwise(code))
 
 
-def checked_dim(dim: DataFrame, key: str, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """Broadcastable dimension: key must be unique (enrichment keeps the row
-    count) and the row count under ``max_rows``, both checked in one small job."""
-    stats = dim.agg(F.count(F.lit(1)).alias("n"),
-                    F.count_distinct(col(key)).alias("k"),
-                    F.count_if(col(key).isNull()).alias("z")).first()
+def checked_dim(dim: DataFrame, key: str, max_bytes: int = DIM_MAX_BYTES) -> DataFrame:
+    """A dimension whose key is proven unique (enrichment keeps the row count), hinted
+    for broadcast only if its values were measured to be under ``max_bytes``; one small
+    job. Beyond that the planner joins it by shuffle."""
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(col(c).cast("string")), F.lit(0)) + 16 for c in dim.columns])
+    stats = dim.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(col(key)).alias("k"),
+                    F.count_if(col(key).isNull()).alias("z"), F.sum(width.cast("long")).alias("bytes")).first()
     if stats["k"] + min(stats["z"], 1) != stats["n"]:
         raise ValueError(f"dimension key {key!r} is not unique")
-    return F.broadcast(dim) if stats["n"] <= max_rows else dim
+    return F.broadcast(dim) if (stats["bytes"] or 0) <= max_bytes else dim
 
 
 def enrich_corridor(df: DataFrame, country_dim: DataFrame, currency_dim: DataFrame,
                     remap: Mapping[str, str] | None = None,
                     zones: Mapping[str, Sequence[str]] | None = None,
-                    dim_max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                    dim_max_bytes: int = DIM_MAX_BYTES) -> DataFrame:
     """Country codes, resolved currency, and three left joins to reference dims.
 
     Sending and receiving codes each pick region and income from the country
@@ -213,8 +216,8 @@ def enrich_corridor(df: DataFrame, country_dim: DataFrame, currency_dim: DataFra
     ``lcu_code`` is re-emitted as ``lcu_code_raw``.
     """
     base = resolve_currency(corridor_codes(df, remap=remap), zones=zones)
-    countries = checked_dim(country_dim, "country_iso3", dim_max_rows)
-    currencies = checked_dim(currency_dim, "currency_code", dim_max_rows)
+    countries = checked_dim(country_dim, "country_iso3", dim_max_bytes)
+    currencies = checked_dim(currency_dim, "currency_code", dim_max_bytes)
     src = countries.select(col("country_iso3").alias("__src"),
                            col("region").alias("source_region"),
                            col("income_group").alias("source_income_group_current"))

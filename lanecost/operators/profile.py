@@ -56,8 +56,21 @@ def profile_table(df: DataFrame, marker: str = NULL_MARKER, category: str = "tra
     if category in df.columns:
         vc = df.groupBy(col(category).alias("item")).agg(F.count(F.lit(1)).alias("value"))
         frames.append(vc.select(F.lit("value_counts").alias("section"), "item", "value"))
+    frames.append(dtypes(df))
     return union_all(frames)
 
 
+def dtypes(df: DataFrame) -> DataFrame:
+    """``(section, item, value)``: each column's type, by position."""
+    rows = [("dtypes", f"{c} {t}", i) for i, (c, t) in enumerate(df.dtypes, 1)]
+    return df.sparkSession.createDataFrame(rows, "section string, item string, value long")
+
+
+def sample_rows(df: DataFrame, order_by: Sequence[str], rows: int = 5) -> DataFrame:
+    """The first few rows in a stated order (then by every other column, nulls first)."""
+    rest = [c for c in df.columns if c not in order_by]
+    return df.orderBy(*[col(c).asc_nulls_first() for c in [*order_by, *rest]]).limit(rows)
+
+
 def distinct_periods(df: DataFrame, period: str = "period") -> DataFrame:
     return df.select(col(period)).distinct()

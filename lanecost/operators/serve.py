@@ -90,8 +90,8 @@ def topk(df: DataFrame, label: str = "corridor_label", weight: str | None = "num
 
 
 def members_of(df: DataFrame, top: DataFrame, label: str = "corridor_label") -> DataFrame:
-    """Rows whose label is among ``top`` (at most k rows, so broadcast is bounded)."""
-    return df.join(F.broadcast(top.select(col(label))), on=label, how="left_semi")
+    """Rows whose label is among ``top``; the planner sizes the join."""
+    return df.join(top.select(col(label)), on=label, how="left_semi")
 
 
 def options(df: DataFrame, label: str = "corridor_label") -> DataFrame:

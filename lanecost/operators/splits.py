@@ -1,33 +1,32 @@
-"""Quality splits: flag suspicious rows without losing any.
+"""Quality splits: separate suspicious rows without losing any.
 
-Each returns ``(clean, flagged)``; a null value is never flagged and always
-clean, so ``clean`` plus ``flagged`` is exactly the input.
+A split is one boolean flag that is never null (an undecidable row is not
+suspicious); the two halves are that flag and its negation, so together they are
+exactly the input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanecost.functions.expr import col
 
-MARGIN_COLUMN = "fx margin"
-TRANSPARENT_COLUMN = "transparent"
-NON_TRANSPARENT_VALUE = "no"
 
+def split_on(df: DataFrame, suspicious: Column) -> tuple[DataFrame, DataFrame]:
+    """``(clean, flagged)`` by a condition; null counts as clean."""
+    flag = F.coalesce(suspicious, F.lit(False))
+    return df.filter(~flag), df.filter(flag)
 
-def split_negative(df: DataFrame, column: str = MARGIN_COLUMN) -> tuple[DataFrame, DataFrame]:
-    """Flag ``column < 0``; zero and null are clean."""
-    bad = col(column) < 0
-    return df.filter(~bad | col(column).isNull()), df.filter(bad)
 
+def split_negative(df: DataFrame, column: str = "fx margin") -> tuple[DataFrame, DataFrame]:
+    return split_on(df, col(column) < 0)
 
-def split_equals(df: DataFrame, column: str = TRANSPARENT_COLUMN,
-                 bad: str = NON_TRANSPARENT_VALUE) -> tuple[DataFrame, DataFrame]:
-    """Flag rows whose ``lower(trim(column))`` equals ``bad``; null is clean."""
-    hit = F.lower(F.trim(col(column))) == bad
-    return df.filter(~hit | col(column).isNull()), df.filter(hit)
 
+def split_equals(df: DataFrame, column: str, word: str) -> tuple[DataFrame, DataFrame]:
+    """Flag texts equal to ``word`` but for case and outer blanks."""
+    return split_on(df, F.trim(F.lower(col(column))) == word.strip().lower())
 
-def split_nontransparent(df: DataFrame, column: str = TRANSPARENT_COLUMN) -> tuple[DataFrame, DataFrame]:
-    return split_equals(df, column, NON_TRANSPARENT_VALUE)
+
+def split_nontransparent(df: DataFrame, column: str = "transparent") -> tuple[DataFrame, DataFrame]:
+    return split_equals(df, column, "no")

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from lanecost.functions.expr import col
 
-# Largest side hinted for broadcast; always checked by counting first.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
 def rename_keys(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*[col(c).alias(prefix + c) if c in keys else col(c) for c in df.columns])
 

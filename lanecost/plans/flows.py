@@ -2,19 +2,17 @@
 
 Each flow only adds plan nodes; nothing is collected. Where one result feeds
 several consumers the caller decides whether to ``persist``/``checkpoint``
-(``build_marts(..., reuse=True)`` checkpoints the flagged rows once so the four
+(``build_marts(..., reuse=True)`` writes the flagged rows once as Parquet so the four
 marts do not each re-run the chain).
 """
 
 from __future__ import annotations
 
-from lanecost.session import reliable_checkpoint
-
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanecost.operators import clean as C
@@ -24,6 +22,9 @@ from lanecost.operators import serve as S
 from lanecost.operators.dedup import GRAIN_COLUMNS, dedup_first, dedup_grain, flag_duplicates
 from lanecost.operators.splits import split_negative, split_nontransparent
 from lanecost.operators.util import union_all
+from lanecost.session import materialized
+from lanecost.sinks.writers import write_by_period, write_reports
+from lanecost.sources.scan import EXPECTED_COLUMNS, scan_guarded
 
 log = logging.getLogger(__name__)
 
@@ -87,13 +88,34 @@ def curate(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> tuple[DataFram
     report, each on the de-duplicated rows."""
     long = curate_long(raw, cfg)
     clean = dedup_first(long, cfg.grain, cfg.order_by)
-    reports = LazyReports({
+    return clean, quality_reports(long, clean, cfg)
+
+
+def quality_reports(long: DataFrame, clean: DataFrame, cfg: CurateConfig = CurateConfig()) -> Mapping[str, DataFrame]:
+    """The four reports, from the long rows and the clean ones (a plan, or the written
+    rows read back)."""
+    return LazyReports({
         "grain_duplicates": lambda: dedup_grain(long, cfg.grain, cfg.order_by)[1],
         "fx_margin": lambda: split_negative(clean, cfg.margin_column)[1],
         "transparency": lambda: split_nontransparent(clean, cfg.transparent_column)[1],
         "duplicate_check": lambda: flag_duplicates(clean, cfg.grain)[1],
     })
-    return clean, reports
+
+
+def run_pipeline(spark: SparkSession, drop: str, base: str, expected_columns: int | None = EXPECTED_COLUMNS,
+                 expected_rows: int | None = None, strict_rows: bool = False, cfg: CurateConfig = CurateConfig(),
+                 period_col: str = "period") -> dict[str, int]:
+    """The whole curation as one flow: guarded scan of ``drop``, curated rows and four
+    reports written under ``base``, one warning for each report with rows. Returns the
+    row count of each report."""
+    raw = scan_guarded(spark, drop, expected_columns, expected_rows, strict_rows)
+    long = curate_long(raw, cfg)
+    clean = dedup_first(long, cfg.grain, cfg.order_by)
+    path = write_by_period(clean, base, period_col)
+    written = spark.read.schema(clean.schema).parquet(path)
+    reports = quality_reports(long, written, cfg)
+    paths = write_reports(reports, base, period_col)
+    return warn_on_reports({n: spark.read.schema(reports[n].schema).parquet(p) for n, p in paths.items()})
 
 
 def report_counts(reports: Mapping[str, DataFrame]) -> DataFrame:
@@ -108,7 +130,7 @@ def warn_on_reports(reports: Mapping[str, DataFrame]) -> dict[str, int]:
     counts = {r["check"]: r["rows"] for r in report_counts(reports).collect()}
     for name, n in counts.items():
         if n:
-            log.warning("%s: %d row(s) flagged", name, n)
+            log.warning("quality report %s is not empty: %d rows", name, n)
     return counts
 
 
@@ -122,10 +144,10 @@ def build_flagged(clean: DataFrame, country_dim: DataFrame, currency_dim: DataFr
 
 def build_marts(flagged: DataFrame, cfg: ModelConfig = ModelConfig(),
                 reuse: bool = False) -> dict[str, DataFrame]:
-    """The four marts. With ``reuse`` the flagged rows are checkpointed once to
-    the shared checkpoint dir (lineage cut, survives executor loss)."""
+    """The four marts. With ``reuse`` the flagged rows are written once to
+    the shared scratch folder (lineage cut, survives executor loss)."""
     if reuse:
-        flagged = reliable_checkpoint(flagged)
+        flagged = materialized(flagged, "flagged")
     return {
         "corridor_cost_trends": M.corridor_cost_trends(flagged, cfg.approx_median),
         "provider_comparison": M.provider_comparison(flagged),

@@ -3,18 +3,19 @@ curate it, write it by period, and load it idempotently with an audit row.
 
 Layout under ``base``: ``raw/period=<p>`` (ingested slices), ``curated/clean``
 and ``curated/quality_reports/<name>`` (partitioned by period), ``landing``
-(partitioned by period) and ``audit`` (append-only). Every step is a write that
-replaces only the period at hand, so a rerun after a failure changes nothing
-that was already right.
+(partitioned by period) and ``audit`` (append-only). A period counts as loaded only
+when the audit log has a SUCCESS for it, so a run that failed at any step is simply
+run again: every step is a write that replaces only the period at hand.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanecost.plans.flows import CurateConfig, curate
-from lanecost.sinks.writers import replace_partition_load, write_by_period, write_reports
-from lanecost.sources.scan import ingest_latest_period, list_loaded_periods, scan_period_slice
+from lanecost.operators.dedup import dedup_first
+from lanecost.plans.flows import CurateConfig, curate_long, quality_reports
+from lanecost.sinks.writers import loaded_periods, replace_partition_load, write_by_period, write_reports
+from lanecost.sources.scan import ingest_latest_period, scan_period_slice
 
 
 def paths(base: str) -> dict[str, str]:
@@ -25,16 +26,17 @@ def paths(base: str) -> dict[str, str]:
 
 def incremental_period_run(spark: SparkSession, drop: DataFrame, base: str,
                            cfg: CurateConfig = CurateConfig(),
-                           period_col: str = "period") -> tuple[str, int]:
-    """Returns ``(period, landing_rows_after_load)``."""
+                           period_col: str = "period", load=replace_partition_load) -> tuple[str, int]:
+    """Returns ``(period, landing_rows_after_load)``. ``load`` is the last step."""
     p = paths(base)
-    loaded = list_loaded_periods(spark, p["raw"], period_col)
+    loaded = loaded_periods(spark, p["audit"], period_col)
     label, sliced = ingest_latest_period(drop, loaded, period_col)
     write_by_period(sliced, p["raw"].rsplit("/", 1)[0], period_col, name="raw")
     raw = scan_period_slice(spark, p["raw"], label, period_col)
-    clean, reports = curate(raw, cfg)
-    write_by_period(clean, p["curated"], period_col)
-    write_reports(reports, p["curated"], period_col, periods=[label])
-    total = replace_partition_load(spark, p["clean"], p["landing"], label, p["audit"],
-                                   period_col=period_col)
+    long = curate_long(raw, cfg)
+    write_by_period(dedup_first(long, cfg.grain, cfg.order_by), p["curated"], period_col)
+    # the reports read the period just written instead of curating it again
+    clean = scan_period_slice(spark, p["clean"], label, period_col)
+    write_reports(quality_reports(long, clean, cfg), p["curated"], period_col, periods=[label])
+    total = load(spark, p["clean"], p["landing"], label, p["audit"], period_col=period_col)
     return label, total

@@ -7,6 +7,8 @@ none configured (tests, laptops).
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a shuffled join hashes instead of sorting where each build partition is this small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     # Checkpoint files of lineage cuts are removed once their DataFrame is gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -55,8 +59,9 @@ def get_spark(master: str | None = None, app: str = "lanecost",
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a private
-    directory created and registered as the checkpoint dir.
+    Read from the session. Only where it is unset and the master is ``local`` (one
+    process, as in tests) is a private directory created, registered and removed at
+    exit; any other master has nodes that would not see it, so that raises.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -64,7 +69,10 @@ def shared_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         root = tempfile.mkdtemp(prefix="lanecost-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -76,8 +84,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/lanecost/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df):
-    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (made sure
-    to be set first); cuts lineage and survives executor loss."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df, name: str):
+    """Write the rows once as Parquet under the shared root and read them back: cuts
+    the lineage, survives executor loss, and unlike a row checkpoint still prunes
+    columns, pushes filters down and knows its size (so the planner, not a row
+    count, decides on a broadcast)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

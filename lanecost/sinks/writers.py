@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from lanecost.functions.expr import col
 from lanecost.operators.model import LANDING_SCHEMA, conform_landing
-from lanecost.sources.scan import path_exists
+from lanecost.session import scratch_path
+from lanecost.sources.scan import list_partitions, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -33,17 +34,28 @@ AUDIT_SCHEMA = T.StructType([
 
 
 def _overwrite_partitions(df: DataFrame, path: str, period_col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the partitions present in ``df``. Rows are regrouped by period first, so
+    a partition gets a few files of the advised size and not one of every task; the
+    rebalance lets the planner split a hot period and merge small ones."""
+    (df.hint("rebalance", col(period_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(period_col).parquet(path))
 
 
+def in_periods(period_col: str, periods: Sequence[str | None]):
+    """Condition: the row belongs to one of the periods; None is the null period."""
+    cond = col(period_col).isin([p for p in periods if p is not None])
+    return cond | col(period_col).isNull() if None in periods else F.coalesce(cond, F.lit(False))
+
+
 def delete_partitions(spark: SparkSession, path: str, period_col: str,
-                      periods: Sequence[str]) -> None:
+                      periods: Sequence[str | None]) -> None:
     """Remove the given partition folders (file-system metadata only)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     for p in periods:
-        hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{period_col}={p}")
+        value = names.DEFAULT_PARTITION_NAME() if p is None else names.escapePathName(p)
+        hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{period_col}={value}")
         fs = hp.getFileSystem(conf)
         if fs.exists(hp):
             fs.delete(hp, True)
@@ -59,67 +71,114 @@ def write_by_period(df: DataFrame, base: str, period_col: str = "period",
 
 
 def write_reports(reports: Mapping[str, DataFrame], base: str, period_col: str = "period",
-                  periods: Sequence[str] = ()) -> dict[str, str]:
+                  periods: Sequence[str | None] = ()) -> dict[str, str]:
     """Each report under ``<base>/quality_reports/<name>``, partitioned by period
     so a one-period run replaces only that period. ``periods`` names the periods
-    this run covers: their old partitions are cleared first, so a report that is
-    now empty for a period does not keep stale rows."""
+    this run covers: those for which a report now has no rows lose their old
+    partition, after the new ones are in place, so a failed write leaves the old
+    report whole."""
     out = {}
     for name, df in reports.items():
         path = f"{base.rstrip('/')}/quality_reports/{name}"
-        if periods:
-            delete_partitions(df.sparkSession, path, period_col, periods)
-        if period_col in df.columns:
-            _overwrite_partitions(df, path, period_col)
-        else:
+        if period_col not in df.columns:
             df.write.mode("overwrite").parquet(path)
+        elif periods:
+            fresh = write_by_period(df, scratch_path(df.sparkSession, "report"), period_col, name)
+            present = list_partitions(df.sparkSession, fresh, period_col)
+            _overwrite_partitions(df.sparkSession.read.schema(df.schema).parquet(fresh), path, period_col)
+            delete_partitions(df.sparkSession, path, period_col, [p for p in periods if p not in present])
+        else:
+            _overwrite_partitions(df, path, period_col)
         out[name] = path
     return out
 
 
-def append_audit(spark: SparkSession, audit_path: str, periods: str | Sequence[str], rows: int,
-                 status: str, error: str | None = None) -> None:
-    """Append one audit row per period; ``load_id`` continues the existing sequence."""
-    periods = [periods] if isinstance(periods, str) else list(periods)
-    next_id = 1
+def _claim_load_ids(spark: SparkSession, audit_path: str, n: int) -> list[int]:
+    """``n`` load ids no other load has: each is claimed by creating a file of its name,
+    which only one creator can do (``_claims`` is no data to Spark)."""
+    last = 0
     if path_exists(spark, audit_path):
-        last = spark.read.parquet(audit_path).agg(F.max("load_id").alias("m")).first()["m"]
-        next_id = (last or 0) + 1
+        seen = spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
+        last = seen.agg(F.max("load_id").alias("m")).first()["m"] or 0
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{audit_path.rstrip('/')}/_claims")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    out = []
+    while len(out) < n:
+        last += 1
+        if fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(last))):
+            out.append(last)
+    return out
+
+
+def append_audit(spark: SparkSession, audit_path: str, periods: str | None | Sequence[str | None], rows: int,
+                 status: str, error: str | None = None) -> None:
+    """Append one audit row per period (None: the null period)."""
+    periods = [periods] if periods is None or isinstance(periods, str) else list(periods)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows_ = [(next_id + i, p, now, int(rows), status, error) for i, p in enumerate(periods)]
+    rows_ = [(i, p, now, int(rows), status, error)
+             for i, p in zip(_claim_load_ids(spark, audit_path, len(periods)), periods)]
     spark.createDataFrame(rows_, AUDIT_SCHEMA).write.mode("append").parquet(audit_path)
 
 
+def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    """The audit log; a log that does not exist yet is empty."""
+    if not list_audit_files(spark, audit_path):
+        return spark.createDataFrame([], AUDIT_SCHEMA)
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
+
+
+def list_audit_files(spark: SparkSession, audit_path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(audit_path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(p))
+
+
+def loaded_periods(spark: SparkSession, audit_path: str, period_col: str = "period") -> DataFrame:
+    """Periods with a successful load in the audit log."""
+    return (read_audit(spark, audit_path).filter((col("status") == "SUCCESS") & col("quarter_label").isNotNull())
+            .select(col("quarter_label").alias(period_col)).distinct())
+
+
 def replace_partition_load(spark: SparkSession, source: DataFrame | str, target: str,
-                           period: str | Sequence[str], audit_path: str,
+                           period: str | None | Sequence[str | None], audit_path: str,
                            schema: T.StructType = LANDING_SCHEMA,
                            period_col: str = "period") -> int:
     """Idempotently (re)load one or more periods into ``target``; return the
-    table's total row count afterwards.
-
-    The periods' rows are conformed to ``schema`` by case-insensitive name and
-    replace exactly those partitions in one write (other periods untouched;
-    rerunning changes nothing). A period with no source rows is an error rather
-    than a silent delete. Every attempt is appended to the audit log, one row per
-    period: SUCCESS with the cumulative row count, or FAILED with 0 and the
-    message, after which the error is re-raised.
+    table's total row count afterwards. None is the null period.
+
+    The periods' rows are conformed to ``schema`` by case-insensitive name, written
+    and counted in scratch, and only then replace exactly those partitions in one
+    write (other periods untouched; rerunning changes nothing): whatever fails before
+    leaves the old rows. A period with no source rows is an error rather than a
+    silent delete. Every attempt is appended to the audit log, one row per period:
+    SUCCESS with the cumulative row count, or FAILED with 0 and the whole message,
+    after which the error is re-raised.
     """
-    periods = [period] if isinstance(period, str) else list(period)
+    periods = [period] if period is None or isinstance(period, str) else list(period)
     try:
         src = spark.read.parquet(source) if isinstance(source, str) else source
-        sliced = conform_landing(src.filter(col(period_col).isin(periods)), schema)
-        # which requested periods have rows: at most len(periods) labels come back
-        present = {r[0] for r in sliced.select(col(period_col)).distinct().collect()}
-        missing = [p for p in periods if p not in present]
+        sliced = conform_landing(src.filter(in_periods(period_col, periods)), schema)
+        fresh = write_by_period(sliced, scratch_path(spark, "load"), period_col)
+        present = list_partitions(spark, fresh, period_col)
+        missing = [str(p) for p in periods if p not in present]
         if missing:
             raise ValueError(f"no source rows for period {', '.join(missing)}")
-        _overwrite_partitions(sliced, target, period_col)
-        total = spark.read.parquet(target).count()
+        new = spark.read.schema(sliced.schema).parquet(fresh)
+        total = new.count()
+        if list_partitions(spark, target, period_col):
+            total += spark.read.schema(sliced.schema).parquet(target).filter(~in_periods(period_col, periods)).count()
+        _overwrite_partitions(new, target, period_col)
     except Exception as e:
-        append_audit(spark, audit_path, periods, 0, "FAILED", str(e).splitlines()[0][:1000])
+        try:
+            append_audit(spark, audit_path, periods, 0, "FAILED", str(e) or type(e).__name__)
+        except Exception:
+            log.exception("the failed load of %s could not be audited", periods)
         raise
     append_audit(spark, audit_path, periods, total, "SUCCESS")
-    log.info("Loaded %s. Table now has %d total rows.", ", ".join(periods), total)
+    log.info("periods %s replaced; %d rows in the table", periods, total)
     return total
 
 

@@ -53,11 +53,9 @@ def wide_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders")
     cu = table(spark, sf_dir, "customer")
     su = table(spark, sf_dir, "supplier")
-    # lineitem x orders is a fact-to-fact join: it shuffles at any real scale, so
-    # it is planned as a shuffled hash join here too (no sort, and the rest of the
-    # narrow chain then runs with shuffle-partition parallelism, not one task per
-    # input file). customer and supplier are left to the planner.
-    j = (li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey)
+    # all joins are left to the planner; AQE takes a hash join for the large one where
+    # every build partition is small enough in bytes (see BASE_CONF)
+    j = (li.join(od, li.l_orderkey == od.o_orderkey)
            .join(cu, od.o_custkey == cu.c_custkey)
            .join(su, li.l_suppkey == su.s_suppkey))
     kc, ks = col("c_nationkey"), col("s_nationkey")

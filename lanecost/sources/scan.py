@@ -4,7 +4,6 @@ ingest of the newest unseen period, typed reference CSVs and mart reads."""
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +29,15 @@ def guard_shape(df: DataFrame, expected_columns: int | None = EXPECTED_COLUMNS,
     parquet scan it is answered from file footers).
     """
     if expected_columns is not None and len(df.columns) != expected_columns:
-        raise ValueError(f"Column count mismatch: expected {expected_columns}, got "
-                         f"{len(df.columns)}. Source schema may have changed.")
+        raise ValueError(f"Column count mismatch: the frame has {len(df.columns)} columns, "
+                         f"{expected_columns} were agreed on.")
     if expected_rows is not None:
         n = df.count()
         if n != expected_rows:
             if strict_rows:
-                raise ValueError(f"Row count mismatch: expected {expected_rows}, got {n}.")
-            log.warning("Row count is %s, baseline was %s; expected when a new period "
-                        "has been published.", n, expected_rows)
+                raise ValueError(f"Row count mismatch: the frame has {n} rows, {expected_rows} were agreed on.")
+            log.warning("%s rows instead of the agreed %s; a newly published period would explain it",
+                        n, expected_rows)
     return df
 
 
@@ -47,6 +46,18 @@ def scan_guarded(spark: SparkSession, path: str, expected_columns: int | None =
     return guard_shape(spark.read.parquet(path), expected_columns, expected_rows, strict_rows)
 
 
+def convert_full_history(spark: SparkSession, source: DataFrame, target: str, expected_rows: int,
+                         expected_columns: int | None = EXPECTED_COLUMNS,
+                         text_columns: Sequence[str] = ("date",)) -> DataFrame:
+    """Write the whole history once: both shape guards are strict, the named columns
+    become text. Returns the rows read back."""
+    df = guard_shape(source, expected_columns, expected_rows, strict_rows=True)
+    casts = {c: col(c).cast("string") for c in text_columns if c in df.columns}
+    df = df.withColumns(casts) if casts else df
+    df.write.mode("overwrite").parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
+
+
 def scan_period_slice(spark: SparkSession, path: str, period: str | None = None,
                       period_col: str = "period") -> DataFrame:
     """The whole dataset, or one period of it. On a period-partitioned layout the
@@ -71,8 +82,27 @@ def list_loaded_periods(spark: SparkSession, path: str, period_col: str = "perio
     schema = T.StructType([T.StructField(period_col, T.StringType())])
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path).select(col(period_col).cast("string").alias(period_col))
-    return df.distinct().filter(col(period_col).rlike(pattern))
+    labels = [p for p in list_partitions(spark, path, period_col) if p is not None]
+    return spark.createDataFrame([(p,) for p in labels], schema).filter(col(period_col).rlike(pattern))
+
+
+def list_partitions(spark: SparkSession, path: str, period_col: str = "period") -> list[str | None]:
+    """Values of the partition folders of a dataset that hold a data file, from the
+    folder listing alone; the null partition is None."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    catalog = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    out = []
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if s.isDirectory() and name.startswith(f"{period_col}=") and any(
+                f.isDirectory() or f.getPath().getName().endswith(".parquet") for f in fs.listStatus(s.getPath())):
+            value = catalog.unescapePathName(name.split("=", 1)[1])
+            out.append(None if value == catalog.DEFAULT_PARTITION_NAME() else value)
+    return sorted(out, key=lambda v: (v is None, v))
 
 
 def newest_unloaded_period(drop: DataFrame, loaded: DataFrame, period_col: str = "period") -> str:
@@ -82,7 +112,7 @@ def newest_unloaded_period(drop: DataFrame, loaded: DataFrame, period_col: str =
                .join(loaded.select(col(period_col)).distinct(), on=period_col, how="left_anti"))
     label = new.agg(F.max(col(period_col)).alias("p")).first()["p"]
     if label is None:
-        raise ValueError("No new periods found in the drop: all periods already loaded.")
+        raise ValueError("No new periods: the drop holds only loaded ones.")
     return label
 
 
@@ -108,7 +138,3 @@ def scan_reference_csv(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}")
-
-
-def is_period_label(text: str, pattern: str = PERIOD_PATTERN) -> bool:
-    return re.match(pattern, text) is not None

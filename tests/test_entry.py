@@ -10,7 +10,9 @@ SF = "/root/testdata/sf0.001"
 FAST = ["corridor_cost_trends", "transparency_scorecard", "dedup_grain_report", "weighted_trend",
         "kpis", "check_suite", "profile_table", "scorecard_view", "top_cost_listing",
         "replace_partition_load", "load_audit", "incremental_period_run", "stream_period_load",
-        "flag_duplicates", "serve_views", "write_reports"]
+        "flag_duplicates", "serve_views", "write_reports", "scan_guarded", "export_marts",
+        "incremental_recovery", "stream_two_files_one_period", "stream_null_period", "run_pipeline",
+        "convert_full_history", "dedup_grain_split", "profile_sample"]
 
 
 def test_entry_runs(spark):
@@ -22,7 +24,9 @@ def test_entry_runs(spark):
 
 def test_every_query_has_sql():
     import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
+    from lanecost.catalog.queries import ORACLE, QUERIES
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="shared test data not present")
