@@ -53,9 +53,10 @@ def wide_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders")
     cu = table(spark, sf_dir, "customer")
     su = table(spark, sf_dir, "supplier")
-    # all joins are left to the planner; AQE takes a hash join for the large one where
-    # every build partition is small enough in bytes (see BASE_CONF)
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
+    # lineitem x orders is a fact-to-fact join that shuffles at any real scale; a merge
+    # join spills whatever the size of a side, and the narrow chain after it runs with
+    # shuffle-partition parallelism. customer and supplier are left to the planner.
+    j = (li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
            .join(cu, od.o_custkey == cu.c_custkey)
            .join(su, li.l_suppkey == su.s_suppkey))
     kc, ks = col("c_nationkey"), col("s_nationkey")
