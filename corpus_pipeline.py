@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lanecost.llm import catalog, decontam, langid, near_dup, packing, suffix_dedup
-from lanecost.llm.util import stage
+from lanecost.llm.util import ship, stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")

@@ -7,10 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lanecost.llm import chat, decontam, html_extract, langid, license_scan, near_dup, packing, quality, suffix_dedup, warc
+from lanecost.llm.util import ship
 from lanecost.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lanecost.session import scratch_path
 
@@ -24,6 +27,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once a context: where the path
+    variable workers inherit does not name it, the package goes along as a zip file."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root in paths or getattr(sc, "_lanecost_shipped", False) or not os.path.isdir(root):
+        return
+    folder = tempfile.mkdtemp(prefix="lanecost-package-")
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "lanecost"), "zip", root, "lanecost"))
+    sc._lanecost_shipped = True
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser on a uint64 array (a new array)."""
     x = x + _GOLD
