@@ -252,8 +252,7 @@ def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) ->
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
         new = checked.filter("link").select("a", "b")
         found = checked.agg(F.count("*"), F.sum(F.col("link").cast("int"))).first()
-        if not found[0]:
-            break
+        # a round without new pairs ends nothing: its pivots may only have been of the wrong size
         if found[1]:
             links = new if links is None else links.unionByName(new)
             comps = stage(connected_components(links, "a", "b"), "comps")

@@ -9,7 +9,8 @@ import random
 import re
 
 import pytest
-from pyspark.sql import types as T
+import xxhash
+from pyspark.sql import functions as F, types as T
 
 from lanecost.llm import (catalog, chat, decontam, graph, html_extract, langid, license_scan, near_dup, packing, quality,
                           suffix_dedup, warc)
@@ -161,6 +162,19 @@ def test_near_duplicates_equal_brute_force(docs, no_docs):
     assert near_dup.near_duplicates(no_docs).collect() == []
 
 
+def test_links_survive_a_round_whose_pivot_fits_nobody(spark):
+    base = [f"w{i}" for i in range(120)]
+    small = " ".join(base), " ".join(base[:-6] + [f"x{i}" for i in range(6)])
+    # a text of another size that all buckets choose as pivot: the one of the greatest node
+    node = lambda t: xxhash.xxh128_digest(near_dup.shingle_sets([t], near_dup.word_hashes())[0].tobytes())
+    large = next(t for t in (" ".join(base + [f"y{k}_{i}" for i in range(300)]) for k in range(1000))
+                 if node(t) > max(map(node, small)))
+    docs = spark.createDataFrame([(1, small[0]), (2, small[1]), (3, large)], "doc_id long, text string")
+    sketch = near_dup._sketches(docs, "doc_id", "text", 5, 128, 4).withColumn("bands", F.array(F.lit(7).cast("long")))
+    comps = near_dup._components(docs, sketch, "doc_id", "text", 5, 75, 2).collect()
+    assert {bytes(r.node) for r in comps} == set(map(node, small)) and len({bytes(r.comp) for r in comps}) == 1
+
+
 def test_signatures_follow_similarity():
     import numpy as np
     rnd = np.random.default_rng(1)
