@@ -87,6 +87,11 @@ def q_corridor_cost_trends(spark, d):
     return r6(M.corridor_cost_trends(flagged(spark, d)), *TREND_DOUBLES)
 
 
+@register("corridor_cost_trends_ranged", ORACLE["corridor_cost_trends"])
+def q_corridor_cost_trends_ranged(spark, d):
+    return r6(M.corridor_cost_trends(flagged(spark, d), ranged_median=True), *TREND_DOUBLES)
+
+
 @register("transparency_scorecard", O.with_ctes(_round_sql("scorecard", (
     "pct_disclosed_transparent", "pct_total_cost_pct_missing", "pct_cost_components_missing",
     "pct_cost_mismatch_flagged", "avg_transparency_flag_count"))))
@@ -419,9 +424,14 @@ def q_firm_comparison(spark, d):
     "ORDER BY round(avg_total_cost_pct, 6), firm) AS listing FROM firms "
     f"WHERE num_observations >= {FIXTURE_MIN_OBS} AND round(avg_total_cost_pct, 6) >= {FIXTURE_AT_LEAST}"))
 def q_top_cost_listing(spark, d):
-    # the threshold is applied to the mean at 6 decimals on both sides (see fmt_pct)
-    firms = r6(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS), "avg_total_cost_pct")
-    return S.top_cost_listing(firms, FIXTURE_AT_LEAST)
+    return S.top_cost_listing(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS), FIXTURE_AT_LEAST)
+
+
+@register("high_cost_firms", O.with_ctes(
+    "SELECT firm, firm_type, num_observations, round(avg_total_cost_pct, 6) AS avg_total_cost_pct FROM firms "
+    f"WHERE num_observations >= {FIXTURE_MIN_OBS} AND round(avg_total_cost_pct, 6) >= {FIXTURE_AT_LEAST}"))
+def q_high_cost_firms(spark, d):
+    return S.high_cost_firms(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS), FIXTURE_AT_LEAST)
 
 
 _PCT = "CASE WHEN {c} IS NULL OR isnan({c}) THEN '–' ELSE printf('%.2f%%', {c}) END"
@@ -812,6 +822,8 @@ UNION ALL SELECT 'spotlight_trend', CAST(count(*) AS BIGINT) FROM (
 UNION ALL SELECT 'spotlight_top', CAST(least(5, count(DISTINCT corridor_label)) AS BIGINT) FROM spot_lab
 UNION ALL SELECT 'firm_comparison', CAST(count(*) AS BIGINT) FROM firms
   WHERE num_observations >= {FIXTURE_MIN_OBS}
+UNION ALL SELECT 'high_cost_firms', CAST(count(*) AS BIGINT) FROM firms
+  WHERE num_observations >= {FIXTURE_MIN_OBS} AND round(avg_total_cost_pct, 6) >= {FIXTURE_AT_LEAST}
 UNION ALL SELECT 'top_cost_listing', CAST(1 AS BIGINT)"""
 
 

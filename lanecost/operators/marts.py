@@ -2,16 +2,21 @@
 
 Aggregations are hash aggregates with map-side partial aggregation, so a hot
 corridor or firm is combined before the shuffle. ``median`` is Spark's exact
-percentile (value -> count map per group, merged partially); ``approx_median``
-switches to a bounded-memory sketch for groups too large for that.
+percentile (value -> count map per group, merged partially). For groups whose
+distinct values are too many for one map, ``ranged_median`` finds the same value
+by counting ranges first, and ``approx_median`` is a bounded-memory sketch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanecost.functions.expr import col
+from lanecost.operators.util import join_on_keys
+from lanecost.session import materialized
 
 TREND_KEYS = (
     "corridor", "sending_country_code", "receiving_country_code", "source_region",
@@ -30,10 +35,66 @@ CHANNEL_COLUMNS = (
 MIN_SAMPLE = 30
 
 
-def corridor_cost_trends(flagged: DataFrame, approx_median: bool = False) -> DataFrame:
-    """One row per corridor / period / tier / disclosure status (null groups kept)."""
+def median_by_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str,
+                     width: float = 1.0) -> DataFrame:
+    """Exact median of the non-null ``value`` per ``keys`` (nulls are a key), with
+    no per-group buffer.
+
+    Equal values are counted first, then value ranges of ``width``; running counts
+    of the ranges show which one or two hold the middle, and only their values are
+    put in order, a range a window partition. A group's rows are thus spread by
+    value, and a task sorts (and may spill) the distinct values of one range. NaN is
+    the largest value; a group without values has no row.
+    """
+    key_cols = [col(k) for k in keys]
+    v = col(value).cast("double")
+    counts = (df.select(*key_cols, v.alias("__v")).filter(col("__v").isNotNull())
+                .groupBy(*key_cols, col("__v")).agg(F.count(F.lit(1)).alias("__n"))
+                .withColumn("__range", F.when(F.isnan("__v"), F.lit((1 << 63) - 1))
+                                        .otherwise(F.floor(col("__v") / width))))
+    ranges = counts.groupBy(*key_cols, col("__range")).agg(F.sum("__n").alias("__in"))
+    group = Window.partitionBy(*key_cols)
+    total = F.sum("__in").over(group)
+    ranges = ranges.withColumns({
+        "__before": F.sum("__in").over(group.orderBy("__range")) - col("__in"),
+        "__lo": F.floor((total - 1) / 2), "__hi": F.floor(total / 2)})
+    ranges = ranges.filter((col("__before") <= col("__hi")) & (col("__before") + col("__in") > col("__lo")))
+    inside = join_on_keys(counts, ranges.drop("__in"), [*keys, "__range"])
+    upto = col("__before") + F.sum("__n").over(
+        Window.partitionBy(*key_cols, col("__range")).orderBy("__v"))
+    at = inside.withColumn("__upto", upto)
+
+    def ranked(rank: str):
+        here = (col("__upto") > col(rank)) & (col("__upto") - col("__n") <= col(rank))
+        return F.max(F.when(here, col("__v")))
+
+    return at.groupBy(*key_cols).agg((ranked("__lo") * 0.5 + ranked("__hi") * 0.5).alias(out))
+
+
+def corridor_cost_trends(flagged: DataFrame, approx_median: bool = False,
+                         ranged_median: bool = False) -> DataFrame:
+    """One row per corridor / period / tier / disclosure status (null groups kept).
+
+    ``ranged_median`` writes the few columns needed once to shared scratch and takes
+    the exact median by value ranges: for hot corridors with very many prices.
+    """
+    cost = col("total_cost_pct")
+    if ranged_median:
+        if approx_median:
+            raise ValueError("choose one way of taking the median")
+        needed = (*TREND_KEYS, "firm", "total_cost_pct", "fee_cost_pct", "fx_margin_pct",
+                  "decomposed_cost_pct", "cost_mismatch_flag")
+        flagged = materialized(flagged.select(*[col(c) for c in needed]), "trend_rows")
+        rest = _trends(flagged, F.lit(None))
+        name = "median_total_cost_pct"
+        medians = median_by_ranges(flagged, TREND_KEYS, "total_cost_pct", "__median")
+        return (join_on_keys(rest, medians, TREND_KEYS, "left")
+                .withColumn(name, col("__median")).drop("__median"))
+    return _trends(flagged, F.percentile_approx(cost, 0.5, 10000) if approx_median else F.median(cost))
+
+
+def _trends(flagged: DataFrame, median) -> DataFrame:
     cost = col("total_cost_pct")
-    median = F.percentile_approx(cost, 0.5, 10000) if approx_median else F.median(cost)
     return flagged.groupBy(*[col(k) for k in TREND_KEYS]).agg(
         F.count(F.lit(1)).alias("num_observations"),
         F.count_distinct(col("firm")).alias("num_providers"),

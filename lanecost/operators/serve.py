@@ -124,15 +124,23 @@ def firm_comparison(spot: DataFrame, min_obs: int = MIN_FIRM_OBSERVATIONS,
                .orderBy(col("avg_total_cost_pct").asc_nulls_last(), col("firm")))
 
 
+def high_cost_firms(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST) -> DataFrame:
+    """Firms whose mean cost is at least ``at_least``, cheapest first. The mean is
+    taken at display precision (6 decimals) for threshold and order, then the name
+    decides, so float noise moves no firm."""
+    return (firms.withColumn("avg_total_cost_pct", F.round(col("avg_total_cost_pct"), 6))
+                 .filter(col("avg_total_cost_pct") >= at_least)
+                 .select("firm", "firm_type", "num_observations", "avg_total_cost_pct")
+                 .orderBy("avg_total_cost_pct", "firm", "firm_type"))
+
+
 def top_cost_listing(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST) -> DataFrame:
-    """One row: ``"firm (n=12), ..."`` of firms whose mean cost is at least
-    ``at_least``, cheapest first (by the mean at display precision, 6 decimals,
-    then name, so float noise cannot reorder equal means); null when there are
-    none. The list is bounded by the number of firms."""
+    """``high_cost_firms`` as one line of text, ``"firm (n=12), ..."``; null when there
+    are none. One line is one row: for very many firms read the rows instead."""
     entry = F.concat(col("firm"), F.lit(" (n="), col("num_observations").cast("string"), F.lit(")"))
-    high = firms.filter(col("avg_total_cost_pct") >= at_least).select(
-        entry.alias("entry"), F.round(col("avg_total_cost_pct"), 6).alias("cost"), col("firm"))
-    return high.agg(F.expr(
+    rows = high_cost_firms(firms, at_least).select(
+        entry.alias("entry"), col("avg_total_cost_pct").alias("cost"), col("firm"))
+    return rows.agg(F.expr(
         "listagg(entry, ', ') WITHIN GROUP (ORDER BY cost, firm)").alias("listing"))
 
 

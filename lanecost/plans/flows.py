@@ -52,6 +52,7 @@ class ModelConfig:
     spotlight_country: str = "KEN"
     min_sample: int = M.MIN_SAMPLE
     approx_median: bool = False   # bounded-memory sketch instead of the exact median
+    ranged_median: bool = False   # exact median by value ranges, without a per-group buffer
 
 
 def curate_long(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> DataFrame:
@@ -149,7 +150,7 @@ def build_marts(flagged: DataFrame, cfg: ModelConfig = ModelConfig(),
     if reuse:
         flagged = materialized(flagged, "flagged")
     return {
-        "corridor_cost_trends": M.corridor_cost_trends(flagged, cfg.approx_median),
+        "corridor_cost_trends": M.corridor_cost_trends(flagged, cfg.approx_median, cfg.ranged_median),
         "provider_comparison": M.provider_comparison(flagged),
         "transparency_scorecard": M.transparency_scorecard(flagged, cfg.min_sample),
         "spotlight": M.spotlight(flagged, cfg.spotlight_country),
@@ -176,5 +177,6 @@ def serve_views(marts: Mapping[str, DataFrame], names: DataFrame, role: str = "b
         "spotlight_trend": S.spotlight_trend(spot, names),
         "spotlight_top": S.topk(spot_labelled, "corridor_label", None, k),
         "firm_comparison": firms,
+        "high_cost_firms": S.high_cost_firms(firms, at_least),
         "top_cost_listing": S.top_cost_listing(firms, at_least),
     }
