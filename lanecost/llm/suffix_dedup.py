@@ -390,12 +390,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("reach leaves fewer than 16 bytes to compare")
     keyed = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"))
     found = stage(_anchor_rows(keyed, length, reach), "anchors")
-    counts = found.groupBy("cls").agg(F.count("*").alias("__n")).filter(F.col("__n") > 1)
+    counts = stage(found.groupBy("cls").agg(F.count("*").alias("__n")).filter(F.col("__n") > 1), "classes")
+    # very large classes leave before the others are shuffled by class: their list is
+    # written, so the planner knows its size (at most one class in max_class anchors)
+    hot = stage(counts.filter(F.col("__n") > max_class).select("cls"), "large-classes")
+    some = found.join(hot, "cls", "left_anti").join(counts.hint("merge"), "cls").drop("__n")
     one = F.struct("p", "fewest", "most", "cls")
+    both = (some.withColumn("__large", F.lit(False))
+            .unionByName(found.join(hot, "cls").withColumn("__large", F.lit(True))))
     # repeated rows have the same anchors: one list of them serves each row
-    lists = (found.join(counts, "cls").groupBy("__k1", "__k2")
-             .agg(F.collect_set(F.when(F.col("__n") <= max_class, one)).alias("__found"),
-                  F.collect_set(F.when(F.col("__n") > max_class, one)).alias("__hot"),
+    lists = (both.groupBy("__k1", "__k2")
+             .agg(F.collect_set(F.when(~F.col("__large"), one)).alias("__found"),
+                  F.collect_set(F.when(F.col("__large"), one)).alias("__hot"),
                   F.count("*").alias("__all")))
     lists = stage(lists, "candidates")
     total, hot = lists.agg(F.sum("__all"), F.max(F.size("__hot"))).first()
