@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lanecost.llm.util import Memo, mix64, slices, stage
+from lanecost.llm.util import Memo, doc_key, mix64, slices, stage
 
 # Words that stand for numbers, and units that may follow a number.
 NUMBER_WORDS = frozenset(
@@ -239,7 +239,10 @@ def _search(q: dict, doc_ids: list, texts: list[str], memo: Memo, width: int, mi
     return out
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found."""
-    gone = leaks(docs, benchmark, id_col, **options).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               **options) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item was found. Rows that share an id, or
+    have none, are each judged by their own text."""
+    keyed = docs.select(doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    gone = leaks(keyed, benchmark, "key", "text", **options).select(F.col("key").alias("__gone")).distinct()
+    return docs.join(gone, doc_key(id_col, text_col) == F.col("__gone"), "left_anti")

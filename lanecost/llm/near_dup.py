@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lanecost.llm.graph import connected_components
-from lanecost.llm.util import Memo, mix64, slices, stage
+from lanecost.llm.util import Memo, doc_key, mix64, slices, stage
 
 _MULT = np.uint64(0x9DDFEA08EB382D69)
 
@@ -184,20 +184,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored. With ``positions`` 128 in bands of 4 a pair at similarity
     0.75 shares no band with probability 5e-6, and less above.
     """
-    sketch = stage(_sketches(docs, id_col, text_col, width, positions, rows), "sketch")
-    linked = stage(_components(docs, sketch, id_col, text_col, width, percent, pivot_rounds), "components")
-    nodes = sketch.filter(F.col("node").isNotNull()).select("node", F.col(id_col).alias("__id"))
+    comp = _groups(docs, id_col, text_col, width, percent, positions, rows, pivot_rounds)
+    return comp.select(F.col("key.id").alias(id_col), "n_shingles", F.col("comp.id").alias("component_id"),
+                       F.col("key.id").eqNullSafe(F.col("comp.id")).alias("kept"))
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, width: int = 5, percent: int = 75, positions: int = 128,
+            rows: int = 4, pivot_rounds: int = 2) -> DataFrame:
+    """(key, n_shingles, comp) of every row: its ``doc_key`` and the least of its component."""
+    docs = docs.select(doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    sketch = stage(_sketches(docs, "key", "text", width, positions, rows), "sketch")
+    linked = stage(_components(docs, sketch, "key", "text", width, percent, pivot_rounds), "components")
+    nodes = sketch.filter(F.col("node").isNotNull()).select("node", "key")
     least = (nodes.join(linked, "node", "left").groupBy(F.coalesce("comp", "node").alias("comp"))
-             .agg(F.min("__id").alias("component_id")))
+             .agg(F.min("key").alias("least")))
     several = (nodes.join(linked, "node", "left").groupBy(F.col("node")).agg(F.first("comp").alias("comp"),
                                                                               F.count("*").alias("rows")))
     # nodes of one row and no link are their own component; the others are looked up
     named = (several.filter(F.col("comp").isNotNull() | (F.col("rows") > 1))
-             .select("node", F.coalesce("comp", "node").alias("comp")).join(least, "comp").select("node", "component_id"))
-    out = sketch.select(F.col(id_col), "n_shingles", "node").join(named.withColumn("__hit", F.lit(True)), "node", "left")
-    comp = F.when(F.col("__hit"), F.col("component_id")).otherwise(F.col(id_col))
-    return out.select(id_col, "n_shingles", comp.alias("component_id"),
-                      F.col(id_col).eqNullSafe(comp).alias("kept"))
+             .select("node", F.coalesce("comp", "node").alias("comp")).join(least, "comp").select("node", "least"))
+    return (sketch.select("key", "n_shingles", "node").join(named, "node", "left")
+            .select("key", "n_shingles", F.coalesce("least", "key").alias("comp")))
 
 
 def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) -> DataFrame:
@@ -293,8 +300,9 @@ def _prefix_pairs(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept: one of each group. Of rows that
-    repeat the same id, all stay or all go."""
-    verdict = near_duplicates(docs, id_col, text_col, **options)
-    gone = verdict.filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` whose document is kept: one of each group, that of the least id
+    (null ids last; ties by a hash of the text). Rows that repeat the same id and text
+    are one document and stay or go together; others are judged by their own text."""
+    comp = _groups(docs, id_col, text_col, **options)
+    gone = comp.filter(F.col("key") != F.col("comp")).select(F.col("key").alias("__gone")).distinct()
+    return docs.join(gone, doc_key(id_col, text_col) == F.col("__gone"), "left_anti")

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lanecost.session import scratch_path
 
@@ -87,3 +87,10 @@ def row_key(*cols: str) -> list:
     ident, text = cols
     return [F.coalesce(F.col(ident).cast("string"), F.lit("\0")).alias("__k1"),
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__k2")]
+
+
+def doc_key(id_col: str, text_col: str) -> Column:
+    """One column that tells rows of different (id, text) apart and sorts by id, null ids
+    last: rows without an id, or of an id used twice, are still judged by their own text."""
+    return F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                    F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))

@@ -162,6 +162,18 @@ def test_near_duplicates_equal_brute_force(docs, no_docs):
     assert near_dup.near_duplicates(no_docs).collect() == []
 
 
+def test_rows_without_an_id_or_of_one_id_are_judged_by_their_text(spark):
+    rnd = random.Random(12)
+    a, b, c, d = (words(rnd, 60) for _ in range(4))
+    rows = [(1, a), (None, a + " more"), (None, b), (None, b + " more"), (None, c), (5, d), (5, c + " more"), (6, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.text for r in near_dup.drop_near_duplicates(docs).collect()))
+    assert len(kept) == 4 and a in kept and d in kept and c + " more" in kept and len({b, b + " more"} & set(kept)) == 1
+    bench = spark.createDataFrame([(1, c)], "item_id long, text string")
+    rest = sorted((r.text for r in decontam.drop_leaks(docs, bench).collect()))
+    assert rest == sorted(t for _, t in rows if not t.startswith(c))
+
+
 def test_links_survive_a_round_whose_pivot_fits_nobody(spark):
     base = [f"w{i}" for i in range(120)]
     small = " ".join(base), " ".join(base[:-6] + [f"x{i}" for i in range(6)])
