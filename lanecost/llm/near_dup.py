@@ -300,9 +300,19 @@ def _prefix_pairs(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept: one of each group, that of the least id
-    (null ids last; ties by a hash of the text). Rows that repeat the same id and text
-    are one document and stay or go together; others are judged by their own text."""
+    """One row of each group of near duplicates: that of the least id (null ids last; ties by
+    a hash of the text). Of rows that repeat its id and text, or its text without an id,
+    the one whose other columns are least stays; columns that hold maps have no order and
+    do not count. Documents without words are linked with nothing: all their rows stay."""
     comp = _groups(docs, id_col, text_col, **options)
-    gone = comp.filter(F.col("key") != F.col("comp")).select(F.col("key").alias("__gone")).distinct()
-    return docs.join(gone, doc_key(id_col, text_col) == F.col("__gone"), "left_anti")
+    marks = stage(comp.groupBy("key").agg(F.max(F.col("key") != F.col("comp")).alias("gone"),
+                                          F.max("n_shingles").alias("n_shingles"), F.count("*").alias("rows"))
+                  .filter(F.col("gone") | ((F.col("rows") > 1) & (F.col("n_shingles") > 0))).select("key", "gone"), "marks")
+    here = doc_key(id_col, text_col)
+    single = docs.join(marks.select(F.col("key").alias("__mark")), here == F.col("__mark"), "left_anti")
+    again = docs.join(marks.filter(~F.col("gone")).select(F.col("key").alias("__mark")), here == F.col("__mark"), "left_semi")
+    order = [f.name for f in docs.schema if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    # grouped by other columns than the join's, so a hot key is collapsed before it is shuffled
+    one = (again.groupBy(F.col(id_col).alias("__id"), F.sha2(F.col(text_col), 256).alias("__text"))
+           .agg(F.min_by(F.struct(*docs.columns), F.struct(F.lit(0), *order)).alias("__row")).select("__row.*"))
+    return single.union(one)

@@ -174,6 +174,19 @@ def test_rows_without_an_id_or_of_one_id_are_judged_by_their_text(spark):
     assert rest == sorted(t for _, t in rows if not t.startswith(c))
 
 
+def test_repeated_rows_and_copies_without_an_id_keep_one_whole_document(spark):
+    rnd = random.Random(21)
+    a, b, c = (words(rnd, 150) for _ in range(3))
+    rows = [(1, a, "z"), (1, a, "y"), (1, a, "y"), (None, b, "x"), (None, b, "x"), (None, b, None), (2, c, "x"),
+            (3, c, "x"), (3, c, "x"), (None, c, "x"), (4, "", "x"), (4, "", "x"), (None, None, "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = near_dup.drop_near_duplicates(docs)
+    want = [(1, a, "y"), (None, b, None), (2, c, "x")] + rows[10:]
+    assert collections.Counter(map(tuple, kept.collect())) == collections.Counter(want)
+    left = suffix_dedup.strip_repeats(kept)
+    assert collections.Counter(map(tuple, left.collect())) == collections.Counter(want)
+
+
 def test_links_survive_a_round_whose_pivot_fits_nobody(spark):
     base = [f"w{i}" for i in range(120)]
     small = " ".join(base), " ".join(base[:-6] + [f"x{i}" for i in range(6)])
