@@ -7,6 +7,11 @@ whose numbers or names were exchanged still meets its template. A hit counts onl
 the exchange is consistent: along one alignment, equal slot values of the item stand
 for equal values of the document and different ones for different ones.
 
+Beside the templates stands an exact class: windows of the plain lower-cased words, numbers
+and names included, without a least number of words. It finds verbatim copies of items
+that hold little but numbers and of items whose slots are read differently there. A
+character of a script without blanks between words is a token of its own.
+
 The benchmark is the query set: its windows are compared with every window of every
 document in blocks of at most ``block_windows``, so what a task holds is bounded
 however large the benchmark is.
@@ -40,8 +45,15 @@ _QUANTITY = re.compile(r"[+\-−]?[$€£]?\d[\d.,:/]*[^\W\d_]{1,6}")
 _EDGE = re.compile(r"^[^\w$€£+\-−%]+|[^\w%]+$")
 _STOP = re.compile(r"[.!?:][\"')\]»”’]*$")
 _NUM, _CAP, _END, _UNIT = 1, 2, 4, 8
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han: scripts without blanks between words
+_DENSE = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+                    "\uf900-\ufaff\U00020000-\U0003ffff])")
+_BREAK = "\0"       # stands for a line break among the raw tokens
+_SIGNS = frozenset("+ - − – * × · / ÷ = < > ≤ ≥ ^ ±".split())
 _TYPES = np.array([0x1111111111111110, 0x2222222222222220, 0x3333333333333330], dtype=np.uint64)  # number, name, unit
 _MULT = np.uint64(0xC2B2AE3D27D4EB4F)
+_LEAST_EXACT = 3    # words of the shortest item that an exact match tells anything about
+_BREAK_CODE = 1     # no word's: those are 16 at least
 
 
 def core(raw: str) -> str:
@@ -51,6 +63,8 @@ def core(raw: str) -> str:
 def _attributes(raw: str) -> int:
     """Hash of the canonical word with four flags in its low bits; 0: no word."""
     word = core(raw)
+    if raw == _BREAK:
+        return _BREAK_CODE
     if not any(ch.isalnum() or ch == "%" for ch in word):
         return 0
     low = word.lower()
@@ -63,47 +77,69 @@ def _attributes(raw: str) -> int:
         flags |= _UNIT
     if _STOP.search(raw):
         flags |= _END
-    return (xxhash.xxh64_intdigest(low.encode("utf-8", "replace")) & ~15 | flags) or 16
+    return (xxhash.xxh64_intdigest(low.encode("utf-8", "replace")) & ~15 or 16) | flags
+
+
+def raw_tokens(text: str) -> list[str]:
+    """Words at blanks, a mark for each line break, characters of scripts without blanks singly."""
+    if not text.isascii() and _DENSE.search(text):
+        text = _DENSE.sub(r" \1 ", text)
+    if "\r" in text:
+        text = text.replace("\r", "\n")
+    return text.replace("\n", f" {_BREAK} ").split()
 
 
 class Canon:
     """Canonical token hashes of texts: ``hashes``, ``kind`` (0 word, 1 number, 2 name,
-    3 unit), ``place`` (index among the raw tokens), ``start`` (of each text)."""
+    3 unit), ``place`` (index among the raw tokens), ``start`` (of each text); ``plain``:
+    the hashes of the words themselves. A line break ends a sentence."""
 
     def __init__(self, texts: list[str], memo: Memo):
-        self.raw = [t.split() for t in texts]
+        self.raw = [raw_tokens(t) for t in texts]
         sizes = np.array([len(r) for r in self.raw], dtype=np.int64)
         v = np.fromiter(map(memo.__getitem__, chain.from_iterable(self.raw)), dtype=np.uint64, count=int(sizes.sum()))
         doc = np.repeat(np.arange(len(texts)), sizes)
         place = np.arange(len(v)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         full = v != 0
+        lines = np.cumsum(v == _BREAK_CODE)
+        full &= v != _BREAK_CODE
+        lines = lines[full]
         v, self.doc, self.place = v[full], doc[full], place[full]
         self.start = np.searchsorted(self.doc, np.arange(len(texts) + 1))
         flag = (v & np.uint64(15)).astype(np.int64)
         begins = np.ones(len(v), dtype=bool)
-        begins[1:] = (self.doc[1:] != self.doc[:-1]) | (flag[:-1] & _END > 0)
+        begins[1:] = (self.doc[1:] != self.doc[:-1]) | (flag[:-1] & _END > 0) | (lines[1:] != lines[:-1])
         num = flag & _NUM > 0
         after_num = np.zeros(len(v), dtype=bool)
         after_num[1:] = num[:-1] & (self.doc[1:] == self.doc[:-1])
         unit = (flag & _UNIT > 0) & after_num & ~num
         name = (flag & _CAP > 0) & ~begins & ~num & ~unit
         self.kind = np.select([num, name, unit], [1, 2, 3], 0)
-        self.hashes = np.where(self.kind > 0, _TYPES[np.maximum(self.kind, 1) - 1], v >> np.uint64(4))
-
-    def windows(self, width: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, usable) of the window at each token: inside its text and with enough
-        words that are not placeholders."""
-        n = len(self.hashes)
+        self.plain = v >> np.uint64(4)
+        self.hashes = np.where(self.kind > 0, _TYPES[np.maximum(self.kind, 1) - 1], self.plain)
+
+    def signs(self, text: int, x: int) -> list[str]:
+        """The arithmetic signs between a text's token x and the one before it."""
+        at = int(self.start[text]) + x
+        return [r for r in self.raw[text][int(self.place[at - 1]) + 1:int(self.place[at])] if r in _SIGNS]
+
+    def windows(self, width: int, min_words: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, usable) of the window at each token: inside its text and, but for the
+        exact class, with enough words that are not placeholders."""
+        hashes = self.plain if exact else self.hashes
+        n = len(hashes)
         h = np.zeros(n, dtype=np.uint64)
         if n < width:
             return h, np.zeros(n, dtype=bool)
         m = n - width + 1
         for j in range(width):
-            h[:m] = h[:m] * _MULT + self.hashes[j:j + m]
-        words = np.cumsum(np.r_[0, self.kind == 0])
+            h[:m] = h[:m] * _MULT + hashes[j:j + m]
         usable = np.zeros(n, dtype=bool)
-        usable[:m] = (words[width:] - words[:m] >= min_words) & (self.doc[width - 1:] == self.doc[:m])
-        return mix64(h + np.uint64(width)), usable
+        usable[:m] = self.doc[width - 1:] == self.doc[:m]
+        if not exact:
+            words = np.cumsum(np.r_[0, self.kind == 0])
+            usable[:m] &= words[width:] - words[:m] >= min_words
+        return mix64(h + np.uint64(width + (exact << 16))), usable
 
 
 def canon_memo() -> Memo:
@@ -130,10 +166,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     the item's windows found), ``longest_run`` (tokens of one unbroken stretch) and
     ``exchanged`` (slots whose value differs from the item's).
 
-    A pair is reported when ``coverage >= min_coverage`` or ``longest_run >= min_run``. An
-    item of fewer than ``width`` tokens is one window of all its tokens. Items without
-    ``min_words`` plain words in any window, and null or empty texts on either side, match
-    nothing. Rows that repeat on either side are reported once for each (doc, item) pair
+    A pair is reported when ``coverage >= min_coverage`` or ``longest_run >= min_run`` holds
+    among the template windows, those with ``min_words`` plain words, or among the exact ones;
+    the greater figures are given. An item of fewer than ``width`` tokens is one window of
+    all its tokens. Items of one or two words (a character of a script without blanks counts
+    half a word), and null or empty texts on either side, match nothing. Rows that repeat on either side are reported once for each (doc, item) pair
     of ids; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -161,7 +198,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found, rows, size = [], [], 0
     for r in items.orderBy(item_col).toLocalIterator():
         rows.append((r[0], r[1]))
-        size += len(r[1].split()) + 1
+        size += 2 * len(raw_tokens(r[1])) + 1     # of each class
         if size >= block_windows:
             found.append(stage(block(rows), "leaks"))
             rows, size = [], 0
@@ -180,23 +217,26 @@ def _query_block(rows: list[tuple], width: int, min_words: int) -> dict:
     memo = canon_memo()
     c = Canon([t for _, t in rows], memo)
     sizes = np.diff(c.start)
-    by_width: dict[int, dict[int, list[tuple[int, int]]]] = {}
-    total = np.zeros(len(rows), dtype=np.int64)
-    for w in sorted({min(width, int(n)) for n in sizes if n}):
-        h, ok = c.windows(w, min_words)
-        at = defaultdict(list)
-        for i in np.flatnonzero(ok).tolist():
-            d = int(c.doc[i])
-            if w == width or sizes[d] == w:
-                at[int(h[i])].append((d, i - int(c.start[d])))
-                total[d] += 1
-        if at:
-            by_width[w] = dict(at)
+    by_class: dict[tuple[bool, int], dict[int, list[tuple[int, int]]]] = {}
+    total = {False: np.zeros(len(rows), dtype=np.int64), True: np.zeros(len(rows), dtype=np.int64)}
     tokens = [[(int(k), core(c.raw[d][p]).lower()) for k, p in zip(c.kind[a:b].tolist(), c.place[a:b].tolist())]
               for d, (a, b) in enumerate(zip(c.start[:-1], c.start[1:]))]
-    return {"ids": [i for i, _ in rows], "windows": by_width, "total": total, "tokens": tokens,
+    enough = [sum(.5 if _DENSE.match(t) else 1 for _, t in words) >= _LEAST_EXACT for words in tokens]
+    for w in sorted({min(width, int(n)) for n in sizes if n}):
+        for exact in (False, True):
+            h, ok = c.windows(w, min_words, exact)
+            at = defaultdict(list)
+            for i in np.flatnonzero(ok).tolist():
+                d = int(c.doc[i])
+                if (w == width or sizes[d] == w) and (enough[d] or not exact):
+                    at[int(h[i])].append((d, i - int(c.start[d])))
+                    total[exact][d] += 1
+            if at:
+                by_class[exact, w] = dict(at)
+    signs = [[c.signs(d, x) if x else [] for x in range(int(n))] for d, n in enumerate(sizes)]
+    return {"ids": [i for i, _ in rows], "windows": by_class, "total": total, "tokens": tokens, "signs": signs,
             "item_type": pa.array([i for i, _ in rows]).type if rows else pa.int64(),
-            "filter": {w: _bits(list(at)) for w, at in by_width.items()}}
+            "filter": {k: _bits(list(at)) for k, at in by_class.items()}}
 
 
 def _bits(hashes: list[int]) -> np.ndarray:
@@ -210,32 +250,36 @@ def _search(q: dict, doc_ids: list, texts: list[str], memo: Memo, width: int, mi
     if not q["windows"]:
         return []
     c = Canon(texts, memo)
-    # (document, item) -> {(width, diagonal): [item window starts]}
+    # (document, item) -> {(exact, width, diagonal): [item window starts]}
     hits: dict[tuple[int, int], dict] = defaultdict(lambda: defaultdict(list))
-    for w, at in q["windows"].items():
-        h, ok = c.windows(w, min_words)
-        maybe = np.flatnonzero(ok & q["filter"][w][h & np.uint64((1 << 22) - 1)])
+    for (exact, w), at in q["windows"].items():
+        h, ok = c.windows(w, min_words, exact)
+        maybe = np.flatnonzero(ok & q["filter"][exact, w][h & np.uint64((1 << 22) - 1)])
         for i, value in zip(maybe.tolist(), h[maybe].tolist()):
             for item, j in at.get(value, ()):
                 d = int(c.doc[i])
-                hits[d, item][w, i - int(c.start[d]) - j].append(j)
+                hits[d, item][exact, w, i - int(c.start[d]) - j].append(j)
     out = []
     for (d, item), lines in hits.items():
         a, raw = int(c.start[d]), c.raw[d]
-        tokens, covered, longest, exchanged = q["tokens"][item], set(), 0, 0
-        for (w, diagonal), starts in lines.items():
-            inside = sorted({x for s in starts for x in range(s, s + w) if tokens[x][0]})
-            pairs = [(x, tokens[x][0], tokens[x][1], core(raw[int(c.place[a + diagonal + x])]).lower()) for x in inside]
-            good = consistent(pairs, sorted(starts), w)
-            covered.update(good)
+        tokens, signs, exchanged = q["tokens"][item], q["signs"][item], 0
+        covered, longest = {False: set(), True: set()}, {False: 0, True: 0}
+        for (exact, w, diagonal), starts in lines.items():
+            if exact:
+                good = [s for s in sorted(starts) if all(signs[x] == c.signs(d, diagonal + x) for x in range(s + 1, s + w))]
+            else:
+                inside = sorted({x for s in starts for x in range(s, s + w) if tokens[x][0]})
+                pairs = [(x, tokens[x][0], tokens[x][1], core(raw[int(c.place[a + diagonal + x])]).lower()) for x in inside]
+                good = consistent(pairs, sorted(starts), w)
+                exchanged += sum(p[2] != p[3] for p in pairs)
+            covered[exact].update(good)
             run = 0
             for k, s in enumerate(good):
                 run = run + 1 if k and s == good[k - 1] + 1 else w
-                longest = max(longest, run)
-            exchanged += sum(p[2] != p[3] for p in pairs)
-        coverage = len(covered) / max(1, int(q["total"][item]))
-        if covered and (coverage >= min_coverage or longest >= min_run):
-            out.append((doc_ids[d], q["ids"][item], coverage, longest, exchanged))
+                longest[exact] = max(longest[exact], run)
+        coverage = {e: len(covered[e]) / max(1, int(q["total"][e][item])) for e in covered}
+        if any(covered[e] and (coverage[e] >= min_coverage or longest[e] >= min_run) for e in covered):
+            out.append((doc_ids[d], q["ids"][item], max(coverage.values()), max(longest.values()), exchanged))
     return out
 
 

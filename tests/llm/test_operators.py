@@ -250,6 +250,20 @@ def test_leaks_finds_exact_shouted_and_exchanged_questions(spark, docs, no_docs)
     assert decontam.leaks(docs, bench).collect() == []
 
 
+def test_leaks_finds_verbatim_copies_of_short_and_wordless_items(spark):
+    items = {1: "What is 12 + 34 + 56 + 78 + 90?", 2: "Who discovered polonium?", 3: "日本で一番高い山は何ですか。",
+             4: "What is the capital of France?"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = [(k, "Some text before it. " + t + " And after.") for k, t in items.items()]
+    rows += [(14, "Question 5\nWhat is the capital of France?"), (13, "これは試験です。" + items[3] + "富士山です。"),
+             (21, "What is 12 + 34 - 56 + 78 + 90?"), (22, "Who discovered it? polonium"), (23, "日本の山"), (24, "\n 12 34")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontam.leaks(df, bench).collect()}
+    assert set(found) == {(k, k) for k in items} | {(14, 4), (13, 3)}
+    assert all(r.coverage == 1.0 and not r.exchanged for r in found.values())
+    assert {r.doc_id for r in decontam.drop_leaks(df, bench).collect()} == {21, 22, 23, 24}
+
+
 def test_consistent_drops_windows_of_contradicting_slots():
     pairs = [(0, 2, "alice", "maria"), (5, 2, "bob", "maria"), (20, 1, "3", "4")]
     assert decontam.consistent(pairs, [0, 2, 6, 20], 4) == [0, 6, 20]
