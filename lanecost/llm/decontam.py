@@ -7,6 +7,9 @@ whose numbers or names were exchanged still meets its template. A hit counts onl
 the exchange is consistent: along one alignment, equal slot values of the item stand
 for equal values of the document and different ones for different ones.
 
+A capitalised word that opens a sentence may be a name or not, so template windows are
+hashed in both readings: all such words as words, and all as names.
+
 Beside the templates stands an exact class: windows of the plain lower-cased words, numbers
 and names included, without a least number of words. It finds verbatim copies of items
 that hold little but numbers and of items whose slots are read differently there. A
@@ -49,6 +52,7 @@ _NUM, _CAP, _END, _UNIT = 1, 2, 4, 8
 _DENSE = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
                     "\uf900-\ufaff\U00020000-\U0003ffff])")
 _BREAK = "\0"       # stands for a line break among the raw tokens
+_WORDS, _NAMES, _EXACT = 0, 1, 2    # readings of a window
 _SIGNS = frozenset("+ - − – * × · / ÷ = < > ≤ ≥ ^ ±".split())
 _TYPES = np.array([0x1111111111111110, 0x2222222222222220, 0x3333333333333330], dtype=np.uint64)  # number, name, unit
 _MULT = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -90,9 +94,10 @@ def raw_tokens(text: str) -> list[str]:
 
 
 class Canon:
-    """Canonical token hashes of texts: ``hashes``, ``kind`` (0 word, 1 number, 2 name,
-    3 unit), ``place`` (index among the raw tokens), ``start`` (of each text); ``plain``:
-    the hashes of the words themselves. A line break ends a sentence."""
+    """Canonical tokens of texts: ``kind`` (0 word, 1 number, 2 name, 3 unit; two arrays:
+    words that open a sentence read as words, and as names) and ``hashes`` by reading,
+    ``place`` (index among the raw tokens), ``start`` (of each text). A line break ends a
+    sentence."""
 
     def __init__(self, texts: list[str], memo: Memo):
         self.raw = [raw_tokens(t) for t in texts]
@@ -113,20 +118,20 @@ class Canon:
         after_num = np.zeros(len(v), dtype=bool)
         after_num[1:] = num[:-1] & (self.doc[1:] == self.doc[:-1])
         unit = (flag & _UNIT > 0) & after_num & ~num
-        name = (flag & _CAP > 0) & ~begins & ~num & ~unit
-        self.kind = np.select([num, name, unit], [1, 2, 3], 0)
-        self.plain = v >> np.uint64(4)
-        self.hashes = np.where(self.kind > 0, _TYPES[np.maximum(self.kind, 1) - 1], self.plain)
+        name = (flag & _CAP > 0) & ~num & ~unit
+        plain = v >> np.uint64(4)
+        self.kind = [np.select([num, n, unit], [1, 2, 3], 0) for n in (name & ~begins, name)]
+        self.hashes = [np.where(k > 0, _TYPES[np.maximum(k, 1) - 1], plain) for k in self.kind] + [plain]
 
     def signs(self, text: int, x: int) -> list[str]:
         """The arithmetic signs between a text's token x and the one before it."""
         at = int(self.start[text]) + x
         return [r for r in self.raw[text][int(self.place[at - 1]) + 1:int(self.place[at])] if r in _SIGNS]
 
-    def windows(self, width: int, min_words: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, width: int, min_words: int, reading: int = _WORDS) -> tuple[np.ndarray, np.ndarray]:
         """(hash, usable) of the window at each token: inside its text and, but for the
         exact class, with enough words that are not placeholders."""
-        hashes = self.plain if exact else self.hashes
+        hashes = self.hashes[reading]
         n = len(hashes)
         h = np.zeros(n, dtype=np.uint64)
         if n < width:
@@ -136,10 +141,10 @@ class Canon:
             h[:m] = h[:m] * _MULT + hashes[j:j + m]
         usable = np.zeros(n, dtype=bool)
         usable[:m] = self.doc[width - 1:] == self.doc[:m]
-        if not exact:
-            words = np.cumsum(np.r_[0, self.kind == 0])
+        if reading != _EXACT:
+            words = np.cumsum(np.r_[0, self.kind[reading] == 0])
             usable[:m] &= words[width:] - words[:m] >= min_words
-        return mix64(h + np.uint64(width + (exact << 16))), usable
+        return mix64(h + np.uint64(width + (reading << 16))), usable
 
 
 def canon_memo() -> Memo:
@@ -198,7 +203,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found, rows, size = [], [], 0
     for r in items.orderBy(item_col).toLocalIterator():
         rows.append((r[0], r[1]))
-        size += 2 * len(raw_tokens(r[1])) + 1     # of each class
+        size += 3 * len(raw_tokens(r[1])) + 1     # of each reading
         if size >= block_windows:
             found.append(stage(block(rows), "leaks"))
             rows, size = [], 0
@@ -217,26 +222,28 @@ def _query_block(rows: list[tuple], width: int, min_words: int) -> dict:
     memo = canon_memo()
     c = Canon([t for _, t in rows], memo)
     sizes = np.diff(c.start)
-    by_class: dict[tuple[bool, int], dict[int, list[tuple[int, int]]]] = {}
+    by_reading: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
+    # places of windows that can be found: template windows in either reading, exact ones
     total = {False: np.zeros(len(rows), dtype=np.int64), True: np.zeros(len(rows), dtype=np.int64)}
-    tokens = [[(int(k), core(c.raw[d][p]).lower()) for k, p in zip(c.kind[a:b].tolist(), c.place[a:b].tolist())]
+    tokens = [[(*k, core(c.raw[d][p]).lower()) for *k, p in zip(*(x[a:b].tolist() for x in (*c.kind, c.place)))]
               for d, (a, b) in enumerate(zip(c.start[:-1], c.start[1:]))]
-    enough = [sum(.5 if _DENSE.match(t) else 1 for _, t in words) >= _LEAST_EXACT for words in tokens]
+    enough = [sum(.5 if _DENSE.match(t[2]) else 1 for t in words) >= _LEAST_EXACT for words in tokens]
     for w in sorted({min(width, int(n)) for n in sizes if n}):
-        for exact in (False, True):
-            h, ok = c.windows(w, min_words, exact)
+        for reading in (_WORDS, _NAMES, _EXACT):
+            h, ok = c.windows(w, min_words, reading)
             at = defaultdict(list)
             for i in np.flatnonzero(ok).tolist():
                 d = int(c.doc[i])
-                if (w == width or sizes[d] == w) and (enough[d] or not exact):
+                if (w == width or sizes[d] == w) and (enough[d] or reading != _EXACT):
                     at[int(h[i])].append((d, i - int(c.start[d])))
-                    total[exact][d] += 1
+                    # a window with enough words in the reading as names has them in that as words
+                    total[reading == _EXACT][d] += reading != _NAMES
             if at:
-                by_class[exact, w] = dict(at)
+                by_reading[reading, w] = dict(at)
     signs = [[c.signs(d, x) if x else [] for x in range(int(n))] for d, n in enumerate(sizes)]
-    return {"ids": [i for i, _ in rows], "windows": by_class, "total": total, "tokens": tokens, "signs": signs,
+    return {"ids": [i for i, _ in rows], "windows": by_reading, "total": total, "tokens": tokens, "signs": signs,
             "item_type": pa.array([i for i, _ in rows]).type if rows else pa.int64(),
-            "filter": {k: _bits(list(at)) for k, at in by_class.items()}}
+            "filter": {k: _bits(list(at)) for k, at in by_reading.items()}}
 
 
 def _bits(hashes: list[int]) -> np.ndarray:
@@ -250,33 +257,36 @@ def _search(q: dict, doc_ids: list, texts: list[str], memo: Memo, width: int, mi
     if not q["windows"]:
         return []
     c = Canon(texts, memo)
-    # (document, item) -> {(exact, width, diagonal): [item window starts]}
-    hits: dict[tuple[int, int], dict] = defaultdict(lambda: defaultdict(list))
-    for (exact, w), at in q["windows"].items():
-        h, ok = c.windows(w, min_words, exact)
-        maybe = np.flatnonzero(ok & q["filter"][exact, w][h & np.uint64((1 << 22) - 1)])
+    # (document, item) -> {(exact, width, diagonal): {reading: [item window starts]}}
+    hits: dict[tuple[int, int], dict] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
+    for (reading, w), at in q["windows"].items():
+        h, ok = c.windows(w, min_words, reading)
+        maybe = np.flatnonzero(ok & q["filter"][reading, w][h & np.uint64((1 << 22) - 1)])
         for i, value in zip(maybe.tolist(), h[maybe].tolist()):
             for item, j in at.get(value, ()):
                 d = int(c.doc[i])
-                hits[d, item][exact, w, i - int(c.start[d]) - j].append(j)
+                hits[d, item][reading == _EXACT, w, i - int(c.start[d]) - j][reading].append(j)
     out = []
     for (d, item), lines in hits.items():
         a, raw = int(c.start[d]), c.raw[d]
         tokens, signs, exchanged = q["tokens"][item], q["signs"][item], 0
         covered, longest = {False: set(), True: set()}, {False: 0, True: 0}
-        for (exact, w, diagonal), starts in lines.items():
-            if exact:
-                good = [s for s in sorted(starts) if all(signs[x] == c.signs(d, diagonal + x) for x in range(s + 1, s + w))]
-            else:
-                inside = sorted({x for s in starts for x in range(s, s + w) if tokens[x][0]})
-                pairs = [(x, tokens[x][0], tokens[x][1], core(raw[int(c.place[a + diagonal + x])]).lower()) for x in inside]
-                good = consistent(pairs, sorted(starts), w)
-                exchanged += sum(p[2] != p[3] for p in pairs)
-            covered[exact].update(good)
-            run = 0
-            for k, s in enumerate(good):
-                run = run + 1 if k and s == good[k - 1] + 1 else w
-                longest[exact] = max(longest[exact], run)
+        for (exact, w, diagonal), readings in lines.items():
+            good, changed = set(), set()
+            for reading, starts in readings.items():
+                if exact:
+                    good |= {s for s in starts if all(signs[x] == c.signs(d, diagonal + x) for x in range(s + 1, s + w))}
+                    continue
+                inside = sorted({x for s in starts for x in range(s, s + w) if tokens[x][reading]})
+                pairs = [(x, tokens[x][reading], tokens[x][2], core(raw[int(c.place[a + diagonal + x])]).lower()) for x in inside]
+                good.update(consistent(pairs, sorted(starts), w))
+                changed |= {p[0] for p in pairs if p[2] != p[3]}
+            exchanged += len(changed)
+            covered[exact] |= good
+            run, before = 0, None
+            for s in sorted(good):
+                run = run + 1 if before == s - 1 else w
+                longest[exact], before = max(longest[exact], run), s
         coverage = {e: len(covered[e]) / max(1, int(q["total"][e][item])) for e in covered}
         if any(covered[e] and (coverage[e] >= min_coverage or longest[e] >= min_run) for e in covered):
             out.append((doc_ids[d], q["ids"][item], max(coverage.values()), max(longest.values()), exchanged))

@@ -264,6 +264,21 @@ def test_leaks_finds_verbatim_copies_of_short_and_wordless_items(spark):
     assert {r.doc_id for r in decontam.drop_leaks(df, bench).collect()} == {21, 22, 23, 24}
 
 
+def test_leaks_finds_exchanged_names_that_open_sentences(spark):
+    item = "Alice has 12 apples. Bob has 5 pears. Alice gives Bob 3 apples. How many apples does Alice have now?"
+    twisted = "Maria has 40 apples. Peter has 8 pears. Maria gives Peter 6 apples. How many apples does Maria have now?"
+    wrapped = twisted.replace("does Maria", "does\nMaria").replace(". ", ".\n")
+    mixed = twisted.replace("Maria gives Peter", "Peter gives Peter").replace("does Maria", "does Jane")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, "He reads a task. " + twisted + " The end of it."), (2, wrapped), (3, mixed), (4, item),
+            (5, "Maria likes apples. Peter likes pears. How many people like them is not known to Maria.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in decontam.leaks(df, bench).collect()}
+    assert {1, 2, 4} <= set(found) <= {1, 2, 3, 4}
+    assert found[1].coverage > .5 and found[1].exchanged == found[2].exchanged == 8 and not found[4].exchanged
+    assert 3 not in found or found[3].coverage < found[1].coverage
+
+
 def test_consistent_drops_windows_of_contradicting_slots():
     pairs = [(0, 2, "alice", "maria"), (5, 2, "bob", "maria"), (20, 1, "3", "4")]
     assert decontam.consistent(pairs, [0, 2, 6, 20], 4) == [0, 6, 20]
