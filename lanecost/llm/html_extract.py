@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as html_lib
 import json
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -53,10 +54,11 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "label", "boiler", "main", "parts", "links")
+    __slots__ = ("tag", "label", "boiler", "named", "main", "parts", "links")
 
-    def __init__(self, tag: str, label: str, boiler: bool, main: bool):
+    def __init__(self, tag: str, label: str, boiler: bool, main: bool, named: bool = False):
         self.tag, self.label, self.boiler, self.main = tag, label, boiler, main
+        self.named = named          # boiler by its class or id alone
         self.parts: list = []       # texts and nodes in page order
         self.links = 0              # characters of own text inside links
 
@@ -68,19 +70,23 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
-def _judge(tag: str, source: str) -> tuple[str, bool, bool]:
-    """(label for alignment, cannot hold an article, marks the article)"""
+def _judge(tag: str, source: str) -> tuple[str, bool, bool, bool]:
+    """(label for alignment, cannot hold an article, marks the article, cannot hold one by
+    its class or id alone). Classes of html, body and main tell of the page, not of them."""
     if not _JUDGED.search(source):
-        return tag, tag in NEVER, tag in ("article", "main")
+        return tag, tag in NEVER, tag in ("article", "main"), False
     a = _attributes(source)
     names = f"{a.get('class', '')} {a.get('id', '')}"
     words = set(_SPLIT.split(_CAMEL.sub(r"\1 \2", names).lower())) if names.strip() else set()
     role = a.get("role", "").lower()
-    boiler = (tag in NEVER or bool(words & BOILER) or role in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
+    named = tag not in ("html", "body", "main") and bool(words & BOILER)
+    boiler = (tag in NEVER or role in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
               or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "").lower()) is not None)
     main = tag in ("article", "main") or role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody"
     label = f"{tag}.{'.'.join(sorted(a.get('class', '').lower().split()))}" if "class" in a else tag
-    return label, boiler and not (main and tag in ("article", "main") and not words & BOILER), main
+    if tag in ("article", "main") and not named:
+        boiler = False
+    return label, boiler or named, main, named and not boiler
 
 
 def parse(source: str, max_depth: int = 150) -> Node:
@@ -88,6 +94,8 @@ def parse(source: str, max_depth: int = 150) -> Node:
     Unclosed and misnested tags are tolerated; text outside any element is kept."""
     root = Node("#root", "#root", False, False)
     stack = [root]
+    deeper: list[str] = []      # open elements below the deepest level, and how many of each tag
+    open_deeper: Counter = Counter()
     at, link = 0, 0
     low = None
 
@@ -109,9 +117,21 @@ def parse(source: str, max_depth: int = 150) -> Node:
         elif m[1]:
             if tag == "a":
                 link = max(0, link - 1)
+            if open_deeper[tag]:
+                if tag not in INLINE or deeper[-1] in INLINE:
+                    while True:
+                        open_deeper[last := deeper.pop()] -= 1
+                        if last == tag:
+                            break
+                m = for_next(source, at)
+                continue
             for i in range(len(stack) - 1, 0, -1):
+                if deeper and tag in INLINE:
+                    break
                 if stack[i].tag == tag:
                     del stack[i:]
+                    deeper.clear()
+                    open_deeper.clear()
                     break
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break
@@ -129,33 +149,58 @@ def parse(source: str, max_depth: int = 150) -> Node:
             elif tag in ("br", "hr") or tag in VOID:
                 stack[-1].parts.append(" " if tag in INLINE else Node(tag, tag, False, False))
             else:
-                label, boiler, main = _judge(tag, attrs)
+                label, boiler, main, named = _judge(tag, attrs)
                 if tag == "a":
                     link += 1
                 if tag not in INLINE or boiler:
-                    if tag not in INLINE and any(n.tag == "p" for n in stack[-3:]):
+                    if not deeper and tag not in INLINE and any(n.tag == "p" for n in stack[-3:]):
                         for i in range(len(stack) - 1, 0, -1):       # a block ends an open paragraph
                             if stack[i].tag == "p":
                                 del stack[i:]
                                 break
                             if stack[i].tag in SCOPE:
                                 break
-                    for i in range(len(stack) - 1, 0, -1):
+                    for i in range(len(stack) - 1, 0, -1) if not deeper else ():
                         if stack[i].tag in CLOSES.get(tag, ()):
                             del stack[i:]
                         elif stack[i].tag in SCOPE:
                             break
                     if tag not in INLINE:
                         link = 0
-                    node = Node(tag, label, boiler, main)
+                    node = Node(tag, label, boiler, main, named)
                     stack[-1].parts.append(node)
-                    if len(stack) < max_depth and not attrs.endswith("/"):
+                    if attrs.endswith("/"):
+                        pass
+                    elif len(stack) < max_depth:
                         stack.append(node)
+                    else:
+                        deeper.append(tag)
+                        open_deeper[tag] += 1
         m = for_next(source, at)
     text(len(source))
+    while not _has_main(root) and _open_wrappers(root):
+        pass
     return root
 
 
+def _open_wrappers(node: Node) -> bool:
+    """Of a page whose marked articles all stand in boilerplate: take the outermost elements
+    that are boilerplate by name alone and hold one as plain wrappers. Tells if there were any."""
+    found = False
+    for p in node.parts:
+        if isinstance(p, Node):
+            if not p.boiler:
+                found |= _open_wrappers(p)
+            elif p.named and _wraps_main(p):
+                p.boiler, found = False, True
+    return found
+
+
+def _wraps_main(node: Node) -> bool:
+    return any(isinstance(p, Node) and (not p.boiler or p.named) and (p.main and not p.boiler or _wraps_main(p))
+               for p in node.parts)
+
+
 # A template node is [label, pages, text, children]: text is "" for none, a hash, or "*".
 def skeleton(node: Node, pages: int = 1) -> list:
     """The folded tree of an element: runs of equal siblings are one node, whose text is

@@ -459,6 +459,19 @@ def test_html_main_text():
     assert f("<p a='unclosed <b>x") in ("", "<p a='unclosed x", "<p a='unclosed  x")
 
 
+def test_html_classes_of_wrappers_and_deep_nests_keep_the_article():
+    f = html_extract.main_text
+    article = "<article><h1>Title</h1><p>Body text<section id=comments><article class=comment>first</article></section></article>"
+    for page in ("<body class='single-post has-sidebar'>%s</body>", "<body><div id='page' class='no-comments'>%s</div>",
+                 "<main class='with-sidebar'>%s</main>", "<div class='no-ads'><div class='no-comments'>%s</div></div>"):
+        assert f(page % article) == "Title Body text"
+    page = "<article>a</article><section id=comments><article>c</article></section><div class=ad><article>d</article></div>"
+    assert f(page) == "a" and f("<nav><article>x</article></nav>") == ""
+    nest = "<div>" * 200 + "deep" + "</div>" * 200
+    assert f(f"<body><div><article>one{nest}<p>two</p></article></div><p>out</body>") == "one deep two"
+    assert f("<article>a" + "<div>" * 200 + "b</article>c") == "a b"
+
+
 def test_html_wrapper_drops_constant_nodes(spark):
     rnd = random.Random(9)
     rows = [(i, "http://Host.example/p%d" % i, f"<body><div class=brand>Same everywhere</div><div class=top>{words(rnd, 3)}</div>"
