@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lanecost.llm import chat, decontam, html_extract, langid, license_scan, near_dup, packing, quality, suffix_dedup, warc
+from lanecost.llm import (chat, decontam, fill_middle, html_extract, langid, license_scan, merkle, mtree, near_dup, packing,
+                          quality, suffix_dedup, warc)
 from lanecost.llm.util import ship
 from lanecost.session import scratch_path
 
@@ -80,6 +81,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    rows = _table(spark, sf_dir, "embeddings")
+    return mtree.search(mtree.index(rows, k=5), rows.filter(F.col("vec_id") % 50 == 0))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, and the root that its tampered leaf folds to."""
+    docs = _table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    claimed = merkle.digest(*[merkle.encoded(c, F.when(tampered, lower).otherwise(F.col(c)) if c == "text" else None)
+                              for c in columns])
+    rows = merkle.prove(merkle.build(docs, "doc_id", "lang", columns, claimed))
+    return rows.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.digest(F.col("proof")).alias("proof_sha256"),
+                       F.col("folded").alias("folded_root"), F.col("folded").eqNullSafe(F.col("root")).alias("verified"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged, and restored from what came out."""
+    rows = fill_middle.restore(fill_middle.fill_middle(_table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 def packing_tokenizer() -> tuple[str, str]:
     """The rank file of byte_bpe_50k.json's vocabulary (same ids) and its split pattern."""
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -96,6 +123,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_packing": op10_packing,
+    "op11_topk_search": op11_topk_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 _ESC = r"regexp_replace(coalesce({c}, ''), '([\\#<{more}])', '\\\1', 'g')"
@@ -112,4 +142,89 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)) AS loss_sha256,
   CAST(sum(length({_ESC.format(c="role", more=":")}) + length({_ESC.format(c="text", more="")}) + 14) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id""",
+    "op11_topk_search": """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_merkle_manifest": """
+WITH RECURSIVE enc AS (
+  SELECT doc_id, lang, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+        lambda i: ascii(CAST(doc_id AS VARCHAR)[i])::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+  FROM documents),
+own AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN (4294967295 - crc) % 3 = 0
+      THEN sha256(head || coalesce(strlen(text) || ':' ||
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claimed
+  FROM enc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM own),
+lv AS (
+  SELECT lang, 0 AS lvl, pos, n, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT lang, any_value(lvl) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM lv WHERE n > 1 GROUP BY lang, pos // 8),
+subs AS (
+  SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM lv WHERE n = 1),
+up AS (
+  SELECT 0 AS lvl, pos, n, subroot AS hash FROM subs
+  UNION ALL
+  SELECT any_value(lvl) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM up WHERE n > 1 GROUP BY pos // 8),
+nodes AS (
+  SELECT coalesce('x' || lang, '-') AS tree, lvl, pos, n, hash FROM lv UNION ALL SELECT '^', lvl, pos, n, hash FROM up),
+kids AS (
+  SELECT tree, lvl, pos // 8 AS above, list(hash ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 8),
+climb AS (
+  SELECT doc_id, leaf, coalesce('x' || lang, '-') AS tree, row_number() OVER () AS k, 0 AS lvl, pos, n, claimed AS folded, '' AS proof
+  FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.leaf, CASE WHEN c.n > 1 THEN c.tree ELSE '^' END, c.k,
+    CASE WHEN c.n > 1 THEN c.lvl + 1 ELSE 0 END,
+    CASE WHEN c.n > 1 THEN c.pos // 8 ELSE s.pos END,
+    CASE WHEN c.n > 1 THEN (c.n + 7) // 8 ELSE s.n END,
+    CASE WHEN c.n > 1 THEN sha256(array_to_string(d.hs[:c.pos % 8], '') || c.folded || array_to_string(d.hs[c.pos % 8 + 2:], ''))
+      ELSE c.folded END,
+    CASE WHEN c.n > 1 THEN c.proof || array_to_string(d.hs[:c.pos % 8], '') || array_to_string(d.hs[c.pos % 8 + 2:], '')
+      ELSE c.proof END
+  FROM climb c
+  LEFT JOIN kids d ON c.n > 1 AND d.tree = c.tree AND d.lvl = c.lvl AND d.above = c.pos // 8
+  LEFT JOIN subs s ON c.n = 1 AND coalesce('x' || s.lang, '-') = c.tree
+  WHERE c.n > 1 OR c.tree <> '^')
+SELECT c.doc_id, c.leaf, s.subroot, r.hash AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root,
+  c.folded = r.hash AS verified
+FROM climb c
+JOIN (SELECT hash FROM up WHERE n = 1) r ON c.tree = '^' AND c.n = 1
+JOIN leaves l ON l.leaf = c.leaf AND l.doc_id IS NOT DISTINCT FROM c.doc_id
+JOIN subs s ON s.lang IS NOT DISTINCT FROM l.lang""",
+    "op13_fill_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents),
+g AS (
+  SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, array_to_string(units[:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p""",
 }

@@ -534,8 +534,8 @@ def test_balance_prefers_cheap_sequences():
 
 # --- registered queries
 
-def test_catalog_registers_ten_operators():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in catalog.QUERIES) == list(range(1, 11))
+def test_catalog_registers_thirteen_operators():
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in catalog.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages_hand_on_documents(spark, tmp_path):
