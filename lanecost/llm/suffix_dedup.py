@@ -34,7 +34,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lanecost.llm.util import mix64, row_key, slices, stage
+from lanecost.llm.util import mix64, release, row_key, slices, stage
+from lanecost.operators.key_filter import KeyFilter
 
 _LOW = np.uint64(0xFFFFFFFF)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -252,6 +253,7 @@ def _by_right_match(lefts: list[bytes], r_len: np.ndarray, near: np.ndarray, len
     return lo, hi
 
 
+_KEY = ["__k1", "__k2"]
 _SPAN = T.StructType([T.StructField("__k1", T.StringType()), T.StructField("__k2", T.LongType()),
                       T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
@@ -352,9 +354,9 @@ def _merged(runs: DataFrame, length: int, reach: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(run, _SPAN)
 
 
-def _window_spans(rows: DataFrame, length: int) -> DataFrame:
-    """Spans of anchors in very large classes: count the hash of every window. Equal
-    windows of one text that overlap (a run of one character) are a single row."""
+def _windows(rows: DataFrame, length: int) -> DataFrame:
+    """The hash of every window of anchors in very large classes. Equal windows of one text
+    that overlap (a run of one character) are a single row."""
     schema = T.StructType([*_SPAN.fields, T.StructField("n", T.LongType()), T.StructField("window", T.BinaryType())])
     types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
 
@@ -377,7 +379,11 @@ def _window_spans(rows: DataFrame, length: int) -> DataFrame:
             cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=schema.names)
 
-    windows = stage(rows.mapInArrow(run, schema), "windows")
+    return rows.mapInArrow(run, schema)
+
+
+def _window_spans(windows: DataFrame) -> DataFrame:
+    """Spans of the windows whose hash occurs more than once."""
     again = windows.groupBy("window").agg(F.sum("n").alias("n")).filter(F.col("n") > 1).select("window")
     return windows.join(again, "window").select("__k1", "__k2", "start", "end")
 
@@ -388,30 +394,39 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the rows whose ``row_key`` is (__k1, __k2). Spans may overlap and occur twice."""
     if not 16 <= length - reach + 1:
         raise ValueError("reach leaves fewer than 16 bytes to compare")
+    spark = docs.sparkSession
     keyed = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"))
     found = stage(_anchor_rows(keyed, length, reach), "anchors")
     counts = stage(found.groupBy("cls").agg(F.count("*").alias("__n")).filter(F.col("__n") > 1), "classes")
+    # an anchor of a class of one leaves before the join, by a bit array of the other classes
+    some = KeyFilter.of_keys(counts, ["cls"], counts.count()).flag(found, ["cls"], "__maybe").filter("__maybe").drop("__maybe")
     # very large classes leave before the others are shuffled by class: their list is
     # written, so the planner knows its size (at most one class in max_class anchors)
-    hot = stage(counts.filter(F.col("__n") > max_class).select("cls"), "large-classes")
-    some = found.join(hot, "cls", "left_anti").join(counts.hint("merge"), "cls").drop("__n")
+    large = stage(counts.filter(F.col("__n") > max_class).select("cls"), "large-classes")
+    both = (some.join(large, "cls", "left_anti").join(counts.hint("merge"), "cls").drop("__n").withColumn("__large", F.lit(False))
+            .unionByName(some.join(large, "cls").withColumn("__large", F.lit(True))))
     one = F.struct("p", "fewest", "most", "cls")
-    both = (some.withColumn("__large", F.lit(False))
-            .unionByName(found.join(hot, "cls").withColumn("__large", F.lit(True))))
     # repeated rows have the same anchors: one list of them serves each row
     lists = (both.groupBy("__k1", "__k2")
              .agg(F.collect_set(F.when(~F.col("__large"), one)).alias("__found"),
                   F.collect_set(F.when(F.col("__large"), one)).alias("__hot"),
                   F.count("*").alias("__all")))
     lists = stage(lists, "candidates")
-    total, hot = lists.agg(F.sum("__all"), F.max(F.size("__hot"))).first()
-    rows = keyed.join(lists, ["__k1", "__k2"])
+    release(spark, found, counts, large)
+    total, hot, owners = lists.agg(F.sum("__all"), F.max(F.size("__hot")), F.count("*")).first()
+    # only texts that hold such an anchor are shuffled to the list of theirs
+    owned = KeyFilter.of_keys(lists, _KEY, owners).flag(keyed, _KEY, "__maybe").filter("__maybe").drop("__maybe")
+    rows = owned.join(lists, _KEY)
     buckets = max(1, -(-(total or 0) // bucket_rows))
-    spans = _merged(_runs(rows.select("__k1", "__k2", "__text", "__found"), length, buckets), length, reach)
+    spans = _merged(_runs(rows.select(*_KEY, "__text", "__found"), length, buckets), length, reach)
+    windows = None
     if hot:
-        big = rows.filter(F.size("__hot") > 0).select("__k1", "__k2", "__text", "__hot")
-        spans = spans.unionByName(_window_spans(big, length))
-    return stage(spans, "spans")
+        big = rows.filter(F.size("__hot") > 0).select(*_KEY, "__text", "__hot")
+        windows = stage(_windows(big, length), "windows")
+        spans = spans.unionByName(_window_spans(windows))
+    spans = stage(spans, "spans")
+    release(spark, lists, *([windows] if windows else []))
+    return spans
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
@@ -422,17 +437,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else,
     in this document or another, is removed; strings are judged on the input. A null
-    text is empty, texts shorter than ``length`` never change, repeated rows repeat
-    each other and lose all windows, and an empty table gives no rows.
+    text is empty, texts shorter than ``length`` never change, texts of any length are
+    taken whole, repeated rows repeat each other and lose all windows, and an empty table
+    gives no rows. Other columns are ignored, whatever their names.
     """
     carry = carry or [id_col]
     spans = repeated_spans(docs, id_col, text_col, **options)
-    lists = spans.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
+    lists = stage(spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end")).alias("__spans")), "span-lists")
+    release(docs.sparkSession, spans)
     at = len(carry)
-    rows = (docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("__text"),
-                        *row_key(id_col, text_col))
-            .join(lists, ["__k1", "__k2"], "left")
-            .select(*[f"__c{i}" for i in range(at)], "__text", "__spans"))
+    rows = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("__text"),
+                       *row_key(id_col, text_col))
+    # texts without a span need no join
+    flagged = KeyFilter.of_keys(lists, _KEY, lists.count()).flag(rows, _KEY, "__maybe")
+    alone = flagged.filter("not __maybe").withColumn("__spans", F.lit(None).cast(lists.schema["__spans"].dataType))
+    rows = flagged.filter("__maybe").join(lists, _KEY, "left").unionByName(alone)
+    rows = rows.select(*[f"__c{i}" for i in range(at)], "__text", "__spans")
     schema = T.StructType([docs.schema[c] for c in carry]
                           + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
                           + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
@@ -468,14 +488,18 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   **options) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text_col`` (null stays null; a
     character cut in two goes) and, if there is such a column, ``chars_col`` counted anew."""
-    out = remove_repeats(docs, id_col, text_col, carry=docs.columns, as_text=True, **options)
-    text = F.when(F.col(text_col).isNotNull(), F.col("kept"))
+    names = [f"__s{i}" for i in range(len(docs.columns))]
+    private = dict(zip(docs.columns, names))
+    out = remove_repeats(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in private.items()]), private[id_col],
+                         private[text_col], carry=names, as_text=True, **options)
+    there = F.col(private[text_col]).isNotNull()
+    text = F.when(there, F.col("kept"))
     cols = []
     for f in docs.schema:
-        value = F.col(f.name)
+        value = F.col(private[f.name])
         if f.name == text_col:
             value = text
         elif f.name == chars_col:
-            value = F.when(F.col(text_col).isNotNull(), F.length(text)).otherwise(value)
+            value = F.when(there, F.length(text)).otherwise(value)
         cols.append(value.cast(f.dataType).alias(f.name))
     return out.select(*cols)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lanecost.session import scratch_path
+from lanecost.session import scratch_path, shared_root
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -27,6 +28,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables whose every reader has been written, and let Spark's cleaner
+    find the shuffles of what was computed from them."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = shared_root(spark)
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if path.toUri().getPath().startswith(jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()):
+                path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once a context: where the path
     variable workers inherit does not name it, the package goes along as a zip file."""
