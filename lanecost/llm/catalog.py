@@ -107,9 +107,11 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("restored", 256).alias("restored_sha256"))
 
 
-def packing_tokenizer() -> tuple[str, str]:
-    """The rank file of byte_bpe_50k.json's vocabulary (same ids) and its split pattern."""
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+def packing_tokenizer() -> tuple[str, str, tuple]:
+    """The rank file of byte_bpe_50k.json's vocabulary (same ids), its split pattern and the
+    special tokens of that JSON file."""
+    return (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+            packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 QUERIES = {

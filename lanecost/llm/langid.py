@@ -10,9 +10,9 @@ byte values are equally likely. The counts are frozen, so code lengths are worke
 out once for every (node, byte, language) and scoring is two table look-ups a
 byte. The predicted language has the shortest code for the whole text.
 
-Bounds: the training sample is at most ``rows_per_lang`` rows of at most
-``row_bytes`` bytes a language, chosen by hash, and the table broadcast to the
-executors at most ``table_bytes``.
+Bounds: the training sample is at most ``rows_per_lang`` different texts of at most
+``row_bytes`` bytes a language and ``most_rows`` texts over all languages, chosen by
+hash, and the table broadcast to the executors at most ``table_bytes``.
 """
 
 from __future__ import annotations
@@ -29,17 +29,21 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def training_rows(docs: DataFrame, lang_col: str, text_col: str, rows_per_lang: int, row_bytes: int) -> list:
-    """A bounded, hash-chosen sample of labelled rows, the same on every run."""
+def training_rows(docs: DataFrame, lang_col: str, text_col: str, rows_per_lang: int, row_bytes: int,
+                  most_rows: int = 6000) -> list:
+    """A bounded, hash-chosen sample of labelled rows, the same on every run: different
+    texts, ``rows_per_lang`` a language and ``most_rows`` in all (one a language at least)."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
                        & (F.octet_length(F.col(text_col)) <= row_bytes))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    # a share by hash of about three times the wanted rows (one number a language), then
-    # the first of these; only that share is ever shuffled
-    share = {r["lang"]: min(1.0, 3.0 * rows_per_lang / r["n"])
-             for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not share:
+    # a share by hash of about three times the wanted texts (one number a language), then
+    # the first of these; only that share is ever shuffled. Copies count once: the share is
+    # taken from a bounded sketch of the different texts
+    texts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
+    if not texts:
         return []
+    rows_per_lang = max(1, min(rows_per_lang, most_rows // len(texts)))
+    share = {g: min(1.0, 3.0 * (rows_per_lang + 20) / max(n, 1)) for g, n in texts.items()}
     keep = F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv])[F.col("lang")]
     chance = (F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1))) / F.lit(float(1 << 30))
     some = rows.filter(chance < keep).dropDuplicates(["lang", "text"])
@@ -171,8 +175,9 @@ def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_
     Learns from the labelled rows of ``training`` only. A null text or one without
     letters, and every text when nothing can be learned, is ``und`` with score 0.
     The score is the best language's share of ``2 ** -(bits a byte * 16)``, between 0 and
-    1. Ties go to the label that sorts first. Repeated rows are judged alike; texts
-    are used whole.
+    1. Ties go to the label that sorts first. Repeated rows are judged alike; texts of any
+    length are used whole; an empty table gives no rows; columns that are not carried are
+    ignored, whatever their names.
     """
     spark = docs.sparkSession
     samples = [(r[0], r[1]) for r in training_rows(training, lang_col, text_col, rows_per_lang, row_bytes)]

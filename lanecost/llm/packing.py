@@ -16,6 +16,7 @@ and the order of its rows only).
 from __future__ import annotations
 
 import base64
+import json
 import os
 from functools import lru_cache
 
@@ -28,21 +29,20 @@ from lanecost.llm.util import slices
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, pattern: str | None = None):
+def encoder(path: str, pattern: str | None = None, special: tuple[tuple[str, int], ...] = ()):
     """text -> little-endian uint32 ids, from a ``tokenizers`` JSON file or, several
-    times faster, from a ``.tiktoken`` rank file of the same vocabulary. Strings of
-    special tokens in a text are ordinary text."""
+    times faster, from a ``.tiktoken`` rank file of the same vocabulary. A rank file names
+    no special tokens: ``special`` are the strings that are one id, as the JSON file has them."""
     if path.endswith(".json"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
         return lambda text: np.array(tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
     import tiktoken
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    enc = tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: np.asarray(enc.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+    enc = tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+    return lambda text: np.asarray(enc.encode_to_numpy(text, allowed_special="all", disallowed_special=()), dtype="<u4")
 
 
 def balance(lengths: list[int], capacity: int, linear: float, quadratic: float) -> tuple[int, list[tuple[int, int, int, int, int]]]:
@@ -68,7 +68,14 @@ def balance(lengths: list[int], capacity: int, linear: float, quadratic: float)
     return n, out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, pattern: str | None = None, id_col: str = "doc_id",
+def special_tokens(path: str) -> tuple[tuple[str, int], ...]:
+    """(string, id) of the added tokens of a ``tokenizers`` JSON file."""
+    with open(path, encoding="utf-8") as f:
+        return tuple((t["content"], t["id"]) for t in json.load(f)["added_tokens"])
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, pattern: str | None = None,
+                   special: tuple[tuple[str, int], ...] = (), id_col: str = "doc_id",
                    text_col: str = "text", capacity: int = 1024, end_id: int = 0, linear: float = 1.0,
                    quadratic: float = 1.0 / 2048, buffer_tokens: int = 1 << 19) -> DataFrame:
     """One row per piece: the id, ``start`` (ids of the document before it),
@@ -76,8 +83,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, pattern: str | None = None,
     ``sequence_id`` and ``offset`` (gapless from 0 in each sequence).
 
     A null text is empty: its document is the end id alone. Repeated rows are
-    documents of their own; a null id stays null; other columns are ignored; an
-    empty table gives no rows. ``buffer_tokens`` bounds what a task packs at once.
+    documents of their own; a null id stays null; texts of any length are tokenised
+    whole; other columns are ignored, whatever their names; an empty table gives no rows. ``buffer_tokens`` bounds what a task packs at once.
     """
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([
@@ -87,7 +94,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, pattern: str | None = None,
     most = max(capacity, buffer_tokens)
 
     def run(batches):
-        encode = encoder(tokenizer, pattern)
+        encode = encoder(tokenizer, pattern, special)
         seq = TaskContext.get().partitionId() << 36
         end = np.array([end_id], dtype="<u4")
         rows: list[tuple] = []

@@ -119,6 +119,33 @@ def test_merge_runs_sorts_and_knows_common_prefixes():
         assert [m[3] for m in merged][1:] == [suffix_dedup.common(a[2], b[2]) for a, b in itertools.pairwise(merged)]
 
 
+@pytest.mark.parametrize("word_count", [51, 52, 60])
+def test_pipeline_stage_removes_passages_of_over_fifty_words(spark, word_count):
+    import corpus_pipeline as P
+    rnd = random.Random(word_count)
+    plain = "the of and a to in is you that it he was for on are as with his they at be this have from or one had by word but".split()
+
+    def prose(n):
+        return " ".join("".join(rnd.choices(SYLLABLES, k=rnd.randint(1, 2))) + rnd.choice(plain) for _ in range(n))
+
+    passage = prose(word_count)
+    rows = [(i, f"{prose(80)} {passage} {prose(60)}" if i < 6 else prose(90), "en", "s", 1, "n", .5) for i in range(12)]
+    out = {r.doc_id: r.text for r in P.repeats(spark, spark.createDataFrame(rows, DOC), "").collect()}
+    assert len(passage.encode()) >= 256
+    for i, text, *_ in rows:
+        assert out[i] == (text.replace(passage, "") if i < 6 else text) or i < 6 and passage[8:-8] not in out[i]
+
+
+def test_strip_repeats_with_clashing_columns(spark):
+    rnd = random.Random(1)
+    same = words(rnd, 200)
+    rows = [(i, same if i < 2 else words(rnd, 50), True, i, i, i, "x") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept boolean, n_bytes long, n_removed long, n_spans long, __text string")
+    out = suffix_dedup.strip_repeats(df, chars_col=None)
+    assert out.schema == df.schema
+    assert sorted((r.doc_id, r.text, r.n_spans) for r in out.collect()) == [(i, "" if i < 2 else t, i) for i, t, *_ in rows]
+
+
 def test_strip_repeats_keeps_columns(docs, no_docs):
     out = suffix_dedup.strip_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
@@ -304,6 +331,22 @@ def test_language_held_out_accuracy_and_edges(spark, docs, no_docs):
     assert langid.drop_unknown(docs).columns == docs.columns
 
 
+def test_language_of_few_texts_is_learned(spark):
+    rnd = random.Random(8)
+    de = [" ".join(rnd.choices("und der die das nicht wir haben".split(), k=30)) for _ in range(400)]
+    xx = [" ".join(rnd.choices("qui tlax nahu coatl mictl".split(), k=40)) for _ in range(3)]
+    rows = [(i, t, "de") for i, t in enumerate(de)] + [(1000 + i, xx[i % 3], "xx") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.lang_pred for r in langid.identify(df, df).filter("doc_id >= 1000").collect()}
+    assert got == {"xx"}
+
+
+def test_training_sample_is_bounded_over_all_languages(spark):
+    df = spark.createDataFrame([(f"t{i} word", f"l{i % 30}") for i in range(3000)], "text string, lang string")
+    rows = langid.training_rows(df, "lang", "text", 50, 1000, most_rows=90)
+    assert len(rows) <= 90 and {r.lang for r in rows} == {f"l{i}" for i in range(30)}
+
+
 def test_ppm_lengths_are_a_code():
     model = langid.train([("a", "abracadabra abracadabra"), ("b", "zzyzx zzyzx")], min_count=1)
     import numpy as np
@@ -488,9 +531,9 @@ def test_html_wrapper_drops_constant_nodes(spark):
 # --- packing
 
 def test_packing_covers_every_id_once(spark, docs, no_docs):
-    path, pattern = catalog.packing_tokenizer()
-    encode = packing.encoder(path, pattern)
-    out = packing.pack_documents(docs, path, pattern, capacity=64, buffer_tokens=500).collect()
+    tokenizer = catalog.packing_tokenizer()
+    encode = packing.encoder(*tokenizer)
+    out = packing.pack_documents(docs, *tokenizer, capacity=64, buffer_tokens=500).collect()
     parts, seqs = collections.defaultdict(list), collections.defaultdict(list)
     for r in out:
         parts[r.doc_id].append((r.start, r.length, bytes(r.ids), r.doc_tokens))
@@ -508,18 +551,20 @@ def test_packing_covers_every_id_once(spark, docs, no_docs):
         assert at <= 64
     total = sum(p[1] for v in parts.values() for p in v)
     assert len(seqs) * 64 - total < 64 * (3 + total // 400)
-    assert packing.pack_documents(no_docs, path, pattern).collect() == []
+    assert packing.pack_documents(no_docs, *tokenizer).collect() == []
 
 
 def test_packing_ids_equal_the_json_tokenizer():
     import public_tokenizers
-    path, pattern = catalog.packing_tokenizer()
-    fast, slow = packing.encoder(path, pattern), packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    fast = packing.encoder(*catalog.packing_tokenizer())
+    assert fast("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
     rnd = random.Random(3)
-    odd = ["", " ", "a  b\n\n c", "don't I'll", "12,345.6", "<|endoftext|> x", "é😀   ñ", "\t\r\n", "x" * 3000, "​ "]
+    odd = ["<|endoftext|>", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n\n y", "<|endoftext|", " <|endoftext|> ", "<|<|endoftext|>|>", "", " ", "a  b\n\n c", "don't I'll", "12,345.6", "<|endoftext|> x", "é😀   ñ", "\t\r\n", "x" * 3000, "​ "]
     odd += ["".join(chr(rnd.choice([32, 10, 65, 97, 48, 233, 0x4E2D, 0x1F600, 39])) for _ in range(80)) for _ in range(200)]
     for t in odd + [x for x in corpus() if x]:
-        assert fast(t).tolist() == slow(t).tolist()
+        assert fast(t).tolist() == plain.encode(t, add_special_tokens=False).ids
 
 
 def test_balance_prefers_cheap_sequences():
