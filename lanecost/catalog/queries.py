@@ -721,7 +721,28 @@ def _load_scenario(spark, d):
 @register("replace_partition_load", O.with_ctes(f"SELECT * FROM landing WHERE period IN {_TOP2}"))
 def q_replace_partition_load(spark, d):
     landing, _ = _load_scenario(spark, d)
-    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(landing)
+    return Wr.read_landing(spark, landing)
+
+
+@register("versioned_publish", O.with_ctes(
+    f"SELECT 'now' AS seen, * FROM landing WHERE period IN {_TOP2}\n"
+    f"UNION ALL SELECT 'before', * FROM landing WHERE period = {_MAXP}"))
+def q_versioned_publish(spark, d):
+    """What readers see after a load of two periods that died half-way was made again, and
+    what those of the record before still see."""
+    from lanecost.sinks.versioned import VersionedTable
+    clean, _ = curated(spark, d)
+    base = scratch_path(spark, "publish")
+    src = spark.read.parquet(Wr.write_by_period(clean, base))
+    top = [r[0] for r in src.select("period").distinct().orderBy(F.col("period").desc()).limit(2).collect()]
+    landing, audit = f"{base}/landing", f"{base}/audit"
+    Wr.replace_partition_load(spark, src, landing, top[0], audit)
+    table = VersionedTable(spark, landing)
+    table.write_version(Mo.conform_landing(src.filter(F.col("period").isin(top)).limit(10)))   # dies before its switch
+    first = max(r["id"] for r in table.log.records())
+    Wr.replace_partition_load(spark, src, landing, top, audit)
+    return (table.read(Mo.LANDING_SCHEMA).select(F.lit("now").alias("seen"), "*")
+            .unionByName(table.read(Mo.LANDING_SCHEMA, upto=first).select(F.lit("before").alias("seen"), "*")))
 
 
 _AUDIT_CTES = ("tops AS (SELECT period, row_number() OVER (ORDER BY period DESC) AS r FROM "
@@ -739,7 +760,7 @@ UNION ALL SELECT 4, '2099_1Q', 0, 'FAILED', 'no source rows for period 2099_1Q'"
 @register("load_audit", O.with_ctes(_AUDIT_CTES, _AUDIT_SQL))
 def q_load_audit(spark, d):
     _, audit = _load_scenario(spark, d)
-    return spark.read.parquet(audit).drop("loaded_at")
+    return Wr.read_audit(spark, audit).drop("loaded_at")
 
 
 @register("rename_lower", O.with_ctes(
@@ -805,7 +826,7 @@ def q_incremental_period_run(spark, d):
     labels = sorted(r[0] for r in older.select("period").distinct().collect())
     Wr.append_audit(spark, paths(base)["audit"], labels, 0, "SUCCESS")
     incremental_period_run(spark, w, base)
-    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(paths(base)["landing"])
+    return Wr.read_landing(spark, paths(base)["landing"])
 
 
 _SERVE_SQL = f"""
@@ -842,7 +863,7 @@ def q_stream_period_load(spark, d):
     path, w = staged_drop(spark, d)
     base = scratch_path(spark, "stream")
     stream_period_loads(spark, path, spark.read.parquet(path).schema, base)
-    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(f"{base}/landing")
+    return Wr.read_landing(spark, f"{base}/landing")
 
 
 @register("incremental_recovery", O.with_ctes(f"SELECT * FROM landing WHERE period = {_MAXP}"))
@@ -850,6 +871,7 @@ def q_incremental_recovery(spark, d):
     """The load step of the first run fails after everything else was written; the
     rerun takes the same period again and lands it."""
     from lanecost.plans.incremental import incremental_period_run, paths
+    from lanecost.plans.ledger import Ledger
     w = wide(spark, d)
     base = scratch_path(spark, "recovery")
 
@@ -860,25 +882,35 @@ def q_incremental_recovery(spark, d):
         raise AssertionError("the injected failure was swallowed")
     except OSError:
         pass
+    # the rerun must go on with the load: the ledger passes over all that was done
+    done = len(Ledger(spark, paths(base)["ledger"]).log.records())
     incremental_period_run(spark, w, base)
-    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(paths(base)["landing"])
+    if len(Ledger(spark, paths(base)["ledger"]).log.records()) != done:
+        raise AssertionError("a finished step was run again")
+    return Wr.read_landing(spark, paths(base)["landing"])
 
 
-def _streamed(spark, w, max_files=None, files=1):
-    """Land ``w`` through the stream from a drop of ``files`` files, each of which
-    holds a share of the rows of every period."""
+def _streamed(spark, w, files=1, max_files=None, calls=1):
+    """Land ``w`` through the stream: its rows are dealt to ``files`` files of every period
+    and arrive in ``calls`` drops, each followed by a run of the stream on the same base."""
     from lanecost.streaming.drop_watch import stream_period_loads
     drop, base = scratch_path(spark, "drop"), scratch_path(spark, "stream")
-    for i in range(files):
-        part = w.filter(F.pmod(F.col("id"), F.lit(files)) == i)
-        part.coalesce(1).write.mode("append").parquet(drop)
-    stream_period_loads(spark, drop, w.schema, base, max_files_per_trigger=max_files)
-    return spark.read.schema(Mo.LANDING_SCHEMA).parquet(f"{base}/landing")
+    for i in range(calls):
+        share = w.filter(F.pmod(F.xxhash64("id"), F.lit(calls)) == i)
+        share.repartition(files, "id").write.mode("append").parquet(drop)
+        stream_period_loads(spark, drop, w.schema, base, max_files_per_trigger=max_files)
+    return Wr.read_landing(spark, f"{base}/landing")
 
 
 @register("stream_two_files_one_period", O.with_ctes("SELECT * FROM landing"))
 def q_stream_two_files_one_period(spark, d):
-    return _streamed(spark, wide(spark, d), max_files=1, files=2)
+    return _streamed(spark, wide(spark, d), files=4, max_files=2)
+
+
+@register("stream_two_calls", O.with_ctes("SELECT * FROM landing"))
+def q_stream_two_calls(spark, d):
+    """Two runs on one base, each with a share of every period's rows."""
+    return _streamed(spark, wide(spark, d), files=4, calls=2)
 
 
 _NULLED = ", ".join(f"CASE WHEN period = {_MAXP} THEN NULL ELSE {c} END AS {c}"
@@ -889,7 +921,7 @@ _NULLED = ", ".join(f"CASE WHEN period = {_MAXP} THEN NULL ELSE {c} END AS {c}"
 def q_stream_null_period(spark, d):
     w = wide(spark, d)
     newest = w.agg(F.max("period")).first()[0]
-    return _streamed(spark, w.withColumn("period", F.nullif("period", F.lit(newest))))
+    return _streamed(spark, w.withColumn("period", F.nullif("period", F.lit(newest))), files=4)
 
 
 @register("run_pipeline", O.with_ctes(

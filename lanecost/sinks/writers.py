@@ -1,9 +1,10 @@
 """Writers: partitioned curated output, quality reports, idempotent per-period
 loads with an audit log, mart snapshots.
 
-All period writes are one ``partitionBy`` write with dynamic partition
+Curated rows and reports are one ``partitionBy`` write with dynamic partition
 overwrite: only the periods present in the data are replaced, other periods are
-untouched, and no per-period driver loop is needed.
+untouched, and no per-period driver loop is needed. Loads into the landing table are
+published all at once through its manifest (``versioned``).
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from pyspark.sql import types as T
 from lanecost.functions.expr import col
 from lanecost.operators.model import LANDING_SCHEMA, conform_landing
 from lanecost.session import scratch_path
-from lanecost.sources.scan import list_partitions, path_exists
+from lanecost.sinks.commit_log import CommitLog, HadoopFolder
+from lanecost.sinks.versioned import VersionedTable
+from lanecost.sources.scan import list_partitions
 
 log = logging.getLogger(__name__)
 
@@ -93,47 +96,22 @@ def write_reports(reports: Mapping[str, DataFrame], base: str, period_col: str =
     return out
 
 
-def _claim_load_ids(spark: SparkSession, audit_path: str, n: int) -> list[int]:
-    """``n`` load ids no other load has: each is claimed by creating a file of its name,
-    which only one creator can do (``_claims`` is no data to Spark)."""
-    last = 0
-    if path_exists(spark, audit_path):
-        seen = spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
-        last = seen.agg(F.max("load_id").alias("m")).first()["m"] or 0
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{audit_path.rstrip('/')}/_claims")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(folder)
-    out = []
-    while len(out) < n:
-        last += 1
-        if fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(last))):
-            out.append(last)
-    return out
-
-
 def append_audit(spark: SparkSession, audit_path: str, periods: str | None | Sequence[str | None], rows: int,
-                 status: str, error: str | None = None) -> None:
-    """Append one audit row per period (None: the null period)."""
+                 status: str, error: str | None = None) -> list[int]:
+    """Append one audit row per period (None: the null period); their load ids, which no
+    other load has (see ``commit_log``)."""
     periods = [periods] if periods is None or isinstance(periods, str) else list(periods)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows_ = [(i, p, now, int(rows), status, error)
-             for i, p in zip(_claim_load_ids(spark, audit_path, len(periods)), periods)]
-    spark.createDataFrame(rows_, AUDIT_SCHEMA).write.mode("append").parquet(audit_path)
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    return CommitLog.at(spark, audit_path).append_all(
+        [{"quarter_label": p, "loaded_at": now, "row_count": int(rows), "status": status, "error_message": error}
+         for p in periods], "load_id")
 
 
 def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
     """The audit log; a log that does not exist yet is empty."""
-    if not list_audit_files(spark, audit_path):
+    if not HadoopFolder(spark, audit_path).names():
         return spark.createDataFrame([], AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
-
-
-def list_audit_files(spark: SparkSession, audit_path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(audit_path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and any(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(p))
+    return spark.read.schema(AUDIT_SCHEMA).json(audit_path)
 
 
 def loaded_periods(spark: SparkSession, audit_path: str, period_col: str = "period") -> DataFrame:
@@ -149,28 +127,26 @@ def replace_partition_load(spark: SparkSession, source: DataFrame | str, target:
     """Idempotently (re)load one or more periods into ``target``; return the
     table's total row count afterwards. None is the null period.
 
-    The periods' rows are conformed to ``schema`` by case-insensitive name, written
-    and counted in scratch, and only then replace exactly those partitions in one
-    write (other periods untouched; rerunning changes nothing): whatever fails before
-    leaves the old rows. A period with no source rows is an error rather than a
+    The periods' rows are conformed to ``schema`` by case-insensitive name and written
+    once, as a version that nobody reads; one record of the table's manifest then
+    switches all of the periods to it (other periods untouched; rerunning changes
+    nothing). Whatever fails or dies before leaves the old rows to every reader
+    (``read_landing``). A period with no source rows is an error rather than a
     silent delete. Every attempt is appended to the audit log, one row per period:
     SUCCESS with the cumulative row count, or FAILED with 0 and the whole message,
     after which the error is re-raised.
     """
     periods = [period] if period is None or isinstance(period, str) else list(period)
+    table = VersionedTable(spark, target, period_col)
     try:
         src = spark.read.parquet(source) if isinstance(source, str) else source
         sliced = conform_landing(src.filter(in_periods(period_col, periods)), schema)
-        fresh = write_by_period(sliced, scratch_path(spark, "load"), period_col)
-        present = list_partitions(spark, fresh, period_col)
-        missing = [str(p) for p in periods if p not in present]
+        version, rows = table.write_version(sliced)
+        missing = [str(p) for p in periods if p not in rows]
         if missing:
             raise ValueError(f"no source rows for period {', '.join(missing)}")
-        new = spark.read.schema(sliced.schema).parquet(fresh)
-        total = new.count()
-        if list_partitions(spark, target, period_col):
-            total += spark.read.schema(sliced.schema).parquet(target).filter(~in_periods(period_col, periods)).count()
-        _overwrite_partitions(new, target, period_col)
+        table.publish(version, rows)
+        total = table.rows()
     except Exception as e:
         try:
             append_audit(spark, audit_path, periods, 0, "FAILED", str(e) or type(e).__name__)
@@ -182,6 +158,12 @@ def replace_partition_load(spark: SparkSession, source: DataFrame | str, target:
     return total
 
 
+def read_landing(spark: SparkSession, target: str, schema: T.StructType = LANDING_SCHEMA,
+                 period_col: str = "period") -> DataFrame:
+    """The rows that loads have published in ``target``."""
+    return VersionedTable(spark, target, period_col).read(schema)
+
+
 def rename_lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 

@@ -26,12 +26,12 @@ def test_failed_load_keeps_old_rows_and_the_whole_message(spark, tmp_base, monke
 
     def broken(*a, **k):
         raise RuntimeError(message)
-    monkeypatch.setattr(W, "list_partitions", broken)
+    monkeypatch.setattr(W.VersionedTable, "publish", broken)
     with pytest.raises(RuntimeError):
         W.replace_partition_load(spark, quotes(spark, ["2016_2Q"] * 5), target, "2016_2Q", audit, schema)
     monkeypatch.undo()
-    assert spark.read.parquet(target).count() == 1
-    last = spark.read.parquet(audit).orderBy(F.desc("load_id")).first()
+    assert W.read_landing(spark, target, schema).count() == 1
+    last = W.read_audit(spark, audit).orderBy(F.desc("load_id")).first()
     assert (last["status"], last["row_count"], last["error_message"]) == ("FAILED", 0, message or "RuntimeError")
 
 
@@ -50,18 +50,11 @@ def test_null_period_loads(spark, tmp_base):
     df = quotes(spark, ["2016_2Q", None, None])
     assert W.replace_partition_load(spark, df, target, ["2016_2Q", None], audit, schema) == 3
     assert W.replace_partition_load(spark, quotes(spark, [None]), target, None, audit, schema) == 2
-    assert S.list_partitions(spark, target) == ["2016_2Q", None]
+    assert W.VersionedTable(spark, target).periods() == ["2016_2Q", None]
+    assert sorted(map(tuple, W.read_landing(spark, target, schema).collect()), key=str) == [(0, "2016_2Q", "c0"), (0, None, "c0")]
     assert W.loaded_periods(spark, audit).count() == 1      # the null period has no label
 
 
-def test_load_ids_are_claimed_once(spark, tmp_base):
-    audit = f"{tmp_base}/audit"
-    assert W._claim_load_ids(spark, audit, 2) == [1, 2]
-    assert W._claim_load_ids(spark, audit, 2) == [3, 4]     # though no row was appended yet
-    W.append_audit(spark, audit, ["a", "b"], 1, "SUCCESS")
-    assert sorted(r["load_id"] for r in W.read_audit(spark, audit).collect()) == [5, 6]
-
-
 def test_reports_survive_a_failed_write(spark, tmp_base):
     W.write_reports({"r": quotes(spark, ["2016_2Q"])}, tmp_base, periods=["2016_2Q"])
     bad = quotes(spark, ["2016_2Q"]).withColumn("id", F.raise_error(F.lit("boom")).cast("long"))
@@ -111,9 +104,9 @@ def test_period_without_curated_rows_is_audited_and_stops_nothing(spark, tmp_bas
     for i in range(files):
         w.filter(F.pmod("id", F.lit(files)) == i).coalesce(1).write.mode("append").parquet(f"{tmp_base}/drop")
     stream_period_loads(spark, f"{tmp_base}/drop", w.schema, f"{tmp_base}/out", max_files_per_trigger=1)
-    landed = spark.read.parquet(f"{tmp_base}/out/landing")
+    landed = W.read_landing(spark, f"{tmp_base}/out/landing")
     assert landed.count() == flows.curate(w)[0].count() > 0
-    status = {(r["quarter_label"], r["status"]) for r in spark.read.parquet(f"{tmp_base}/out/audit").collect()}
+    status = {(r["quarter_label"], r["status"]) for r in W.read_audit(spark, f"{tmp_base}/out/audit").collect()}
     assert status == {("1995_1Q", "SUCCESS"), ("1995_2Q", "EMPTY")}
 
 

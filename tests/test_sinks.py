@@ -43,9 +43,9 @@ def test_replace_partition_load_idempotent_and_audited(spark, tmp_base):
     assert W.replace_partition_load(spark, src, target, "2016_2Q", audit, schema) == 3
     with pytest.raises(ValueError, match="no source rows"):
         W.replace_partition_load(spark, src, target, "2099_1Q", audit, schema)
-    assert spark.read.parquet(target).count() == 3  # the failed load deleted nothing
+    assert W.read_landing(spark, target, schema).count() == 3  # the failed load deleted nothing
     log = [(r["load_id"], r["quarter_label"], r["row_count"], r["status"])
-           for r in spark.read.parquet(audit).orderBy("load_id").collect()]
+           for r in W.read_audit(spark, audit).orderBy("load_id").collect()]
     assert log == [(1, "2016_2Q", 2, "SUCCESS"), (2, "2016_3Q", 3, "SUCCESS"),
                    (3, "2016_2Q", 3, "SUCCESS"), (4, "2099_1Q", 0, "FAILED")]
 
@@ -106,9 +106,9 @@ def test_stream_loader_rerun_processes_nothing_new(spark, tmp_base):
     schema = spark.read.parquet(drop).schema
     ckpt, base = f"{tmp_base}/ckpt", f"{tmp_base}/out"
     stream_period_loads(spark, drop, schema, base, checkpoint=ckpt)
-    landed = spark.read.parquet(f"{base}/landing").count()
-    audits = spark.read.parquet(f"{base}/audit").count()
+    landed = W.read_landing(spark, f"{base}/landing").count()
+    audits = W.read_audit(spark, f"{base}/audit").count()
     assert landed > 0 and audits > 0
     stream_period_loads(spark, drop, schema, base, checkpoint=ckpt)
-    assert spark.read.parquet(f"{base}/landing").count() == landed
-    assert spark.read.parquet(f"{base}/audit").count() == audits
+    assert W.read_landing(spark, f"{base}/landing").count() == landed
+    assert W.read_audit(spark, f"{base}/audit").count() == audits
