@@ -180,8 +180,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     included (null ids count as larger than any other; all null: null), and
     ``kept`` tells whether the id equals it. Documents without words (null, empty or
     blank text) are linked with nothing, kept, and their own component. Repeated rows
-    and ties share a set and so a component; an empty table gives no rows; other
-    columns are ignored. With ``positions`` 128 in bands of 4 a pair at similarity
+    and ties share a set and so a component; texts of any length are taken whole; an
+    empty table gives no rows; other columns are ignored, whatever their names. With ``positions`` 128 in bands of 4 a pair at similarity
     0.75 shares no band with probability 5e-6, and less above.
     """
     comp = _groups(docs, id_col, text_col, width, percent, positions, rows, pivot_rounds)
@@ -290,15 +290,33 @@ def _prefix_pairs(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     longest = F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1
     head = rows.join(seen, "s").withColumn("at", place).filter(F.col("across") & (F.col("at") <= longest))
     head = stage(head.select("s", "node", "n", "comp", "at"), "prefixes")
-    left = head.select("s", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "comp", "at")])
-    right = head.select("s", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "at")])
     least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100.0 + percent) - 1e-9)
-    both = left.join(right, "s").filter((F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b"))
-                                        & (F.col("at_a") <= F.col("n_a") - least + 1)
-                                        & (F.col("at_b") <= F.col("n_b") - least + 1))
+    short, long = _by_length(head, percent)
+    both = short.join(long, ["s", "size"]).filter(
+        ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))))
+        & (F.col("comp_a") != F.col("comp_b"))
+        & (F.col("at_a") <= F.col("n_a") - least + 1) & (F.col("at_b") <= F.col("n_b") - least + 1))
     return both.select(F.col("node_a").alias("a"), F.col("n_a").alias("na"), F.col("node_b").alias("b"), F.col("n_b").alias("nb"))
 
 
+def _by_length(head: DataFrame, percent: int, classes: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(short, long): prefix entries as the shorter and as the longer set of a pair, both
+    with ``size``, a class of lengths (``classes`` to a factor of 100 / percent), to be joined
+    on it beside the shingle. An entry at place ``at`` of a set of n can only prove a
+    link to a set of at most (n - at + 1) * (100 + percent) / percent - n elements, so the
+    shorter one goes to the classes up to that and often to none: what all documents
+    of a template share stands behind what each has of its own and meets nobody."""
+    def size_of(n):
+        return F.floor(F.log(n) * F.lit(classes / np.log(100.0 / percent)) + 1e-9).cast("int")
+    most = F.least((F.col("n") - F.col("at") + 1) * (100.0 + percent) / percent - F.col("n"), F.col("n") * 100.0 / percent)
+    top = F.floor(most + 1e-9)
+    columns = ("node", "n", "comp", "at")
+    short = (head.filter(top >= F.col("n")).withColumn("size", F.explode(F.sequence(size_of(F.col("n")), size_of(top))))
+             .select("s", "size", *[F.col(c).alias(f"{c}_a") for c in columns]))
+    long = head.select("s", size_of(F.col("n")).alias("size"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return short, long
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each group of near duplicates: that of the least id (null ids last; ties by
     a hash of the text). Of rows that repeat its id and text, or its text without an id,

@@ -227,6 +227,27 @@ def test_links_survive_a_round_whose_pivot_fits_nobody(spark):
     assert {bytes(r.node) for r in comps} == set(map(node, small)) and len({bytes(r.comp) for r in comps}) == 1
 
 
+def test_template_documents_below_the_threshold_meet_nobody(spark):
+    # 100 common and 20 own shingles: similarity 0.71; the common ones stand behind the own
+    rows = [(bytes([i]), 120, bytes([i]), 21 + j, 1000 + j) for i in range(40) for j in range(11)]
+    head = spark.createDataFrame(rows, "node binary, n int, comp binary, at int, s long")
+    short, long = near_dup._by_length(head, 75)
+    assert short.count() == 0 and long.count() == len(rows)
+
+
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_length_classes_lose_no_pair(spark, percent):
+    rows = [(n, at) for n in range(1, 60) for at in range(1, n + 1)]
+    head = spark.createDataFrame([(f"{n}/{at}".encode(), n, b"", at, 1) for n, at in rows], "node binary, n int, comp binary, at int, s long")
+    short, long = near_dup._by_length(head, percent)
+    met = {(r.n_a, r.at_a, r.n_b, r.at_b) for r in short.join(long, ["s", "size"]).select("n_a", "at_a", "n_b", "at_b").collect()}
+    for na, pa in rows:
+        for nb, pb in rows:
+            t = -(-percent * (na + nb) // (100 + percent))
+            if na <= nb and 100 * na >= percent * nb and pa <= na - t + 1 and pb <= nb - t + 1:
+                assert (na, pa, nb, pb) in met
+
+
 def test_signatures_follow_similarity():
     import numpy as np
     rnd = np.random.default_rng(1)
