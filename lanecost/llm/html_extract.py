@@ -284,13 +284,49 @@ def absorb(t: list | None, page: list, max_nodes: int) -> list:
     return t
 
 
-def main_text(source: str, template: list | None = None, min_pages: int = 5, share: float = 0.5) -> str:
+def has_text(t: list) -> bool:
+    return bool(t[2]) or any(map(has_text, t[3]))
+
+
+def _place(parent: int, label: str, run: int) -> int:
+    """Number of a place below a place: the ``run``-th run of siblings of one label."""
+    return xxhash.xxh64_intdigest(f"{parent} {run} {label}") >> 1
+
+
+def places(t: list, here: int = 0):
+    """(place, text) of every node of a folded tree that has a text of its own."""
+    seen: dict[str, int] = {}
+    for k in t[3]:
+        run = seen[k[0]] = seen.get(k[0], -1) + 1
+        at = _place(here, k[0], run)
+        if k[2]:
+            yield at, k[2]
+        yield from places(k, at)
+
+
+def _mark_places(node: Node, fixed: set[int], constant: set[int], here: int = 0) -> None:
+    """Collect the elements that stand alone at a place of the template."""
+    seen: dict[str, int] = {}
+    parts = [p for p in node.parts if isinstance(p, Node)]
+    for i, p in enumerate(parts):
+        if not i or parts[i - 1].label != p.label:
+            seen[p.label] = seen.get(p.label, -1) + 1
+        at = _place(here, p.label, seen[p.label])
+        if at in fixed and not (i and parts[i - 1].label == p.label or i + 1 < len(parts) and parts[i + 1].label == p.label):
+            constant.add(id(p))
+        _mark_places(p, fixed, constant, at)
+
+
+def main_text(source: str, template: list | None = None, min_pages: int = 5, share: float = 0.5, fixed=()) -> str:
     """The article of a page: blocks in page order, white space inside a block as one
-    blank, joined by one blank. ``template``: the merged tree of the page's host."""
+    blank, joined by one blank. ``template``: the merged tree of the page's host;
+    ``fixed``: places that hold one and the same text on most of its pages."""
     root = parse(source)
     constant: set[int] = set()
     if template is not None and template[1] >= min_pages:
         _mark(root, template, share * template[1], constant)
+        if fixed:
+            _mark_places(root, set(fixed), constant)
     blocks: list[str] = []
     inline: list[str] = []
     marked = _has_main(root)
@@ -370,26 +406,53 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def host_templates(pages: DataFrame, url_col: str, html_col: str, max_nodes: int = 400, shares: int = 64) -> DataFrame:
-    """(host, template): one merged tree for each host, as JSON."""
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("share", T.IntegerType()),
-                           T.StructField("template", T.StringType())])
+def host_templates(pages: DataFrame, url_col: str, html_col: str, max_nodes: int = 400, shares: int = 64,
+                   share: float = 0.5) -> DataFrame:
+    """(host, template, fixed, varies): for each host one merged tree, as JSON; the places
+    that hold one text wherever they occur, and that on over ``share`` of its pages; and
+    whether a place on so many pages holds several. Pages without text count nowhere.
 
-    def rows(found: dict, share: int):
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([share] * len(found), pa.int32()),
-                                           pa.array([json.dumps(t) for t in found.values()], pa.string())], names=schema.names)
+    The tree is merged up to ``max_nodes`` nodes, for the alignment of pages whose elements
+    move. Places are rows that Spark counts, without a bound on their number and in any order
+    of the pages.
+    """
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("share", T.IntegerType()),
+                           T.StructField("template", T.StringType()), T.StructField("pages", T.LongType()),
+                           T.StructField("place", T.ArrayType(T.LongType())), T.StructField("text", T.ArrayType(T.StringType())),
+                           T.StructField("n", T.ArrayType(T.LongType()))])
+    tree = T.StructType(schema.fields[:3])
+
+    def rows(found: dict, part: int):
+        cols = [list(found), [part] * len(found), [json.dumps(f[0]) for f in found.values()], [f[1] for f in found.values()],
+                [list(f[2]) for f in found.values()], [[x[0] for x in f[2].values()] for f in found.values()],
+                [[x[1] for x in f[2].values()] for f in found.values()]]
+        types = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=schema.names)
 
     def induce(batches):
-        share = TaskContext.get().partitionId() % shares
+        part = TaskContext.get().partitionId() % shares
         found: dict[str, list] = {}
+        held = 0
         for hosts, htmls in slices(batches, 1):
             for host, source in zip(hosts, htmls):
-                found[host] = absorb(found.get(host), skeleton(parse(source or "")), max_nodes)
-            if len(found) > 2000:
-                yield rows(found, share)
-                found = {}
+                page = skeleton(parse(source or ""))
+                if not has_text(page):
+                    continue
+                f = found.setdefault(host, [None, 0, {}])
+                f[1] += 1
+                for at, text in places(page):
+                    x = f[2].get(at)
+                    if x is None:
+                        f[2][at] = [text, 1]
+                        held += 1
+                    else:
+                        x[0], x[1] = text if x[0] == text else "*", x[1] + 1
+                f[0] = absorb(f[0], page, max_nodes)
+            if len(found) > 2000 or held > 200_000:
+                yield rows(found, part)
+                found, held = {}, 0
         if found:
-            yield rows(found, share)
+            yield rows(found, part)
 
     def combine(table: pa.Table) -> pa.Table:
         t = None
@@ -399,8 +462,17 @@ def host_templates(pages: DataFrame, url_col: str, html_col: str, max_nodes: int
                          "template": [json.dumps(t)]}).cast(pa.schema([("host", pa.string()), ("share", pa.int32()), ("template", pa.string())]))
 
     src = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("__html"))
-    parts = src.mapInArrow(induce, schema).groupBy("host", "share").applyInArrow(combine, schema)
-    return parts.groupBy("host").applyInArrow(combine, schema).select("host", "template")
+    parts = stage(src.mapInArrow(induce, schema), "host-parts")
+    trees = (parts.select(*tree.names).groupBy("host", "share").applyInArrow(combine, tree)
+             .groupBy("host").applyInArrow(combine, tree).select("host", "template"))
+    counted = parts.groupBy("host").agg(F.sum("pages").alias("pages"))
+    at = (parts.select("host", F.explode(F.arrays_zip("place", "text", "n")).alias("x")).select("host", "x.*")
+          .groupBy("host", "place").agg(F.sum("n").alias("n"), F.min("text").alias("lo"), F.max("text").alias("hi"))
+          .join(counted, "host").filter(F.col("n") > share * F.col("pages")))
+    one = (F.col("lo") == F.col("hi")) & (F.col("lo") != "*")
+    fixed = at.groupBy("host").agg(F.sort_array(F.collect_list(F.when(one, F.col("place")))).alias("fixed"),
+                                   F.max(~one).alias("varies"))
+    return trees.join(fixed, "host", "left")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5,
@@ -409,36 +481,42 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     points).
 
     A null html is empty; pages without url or host share one template; hosts of fewer
-    than ``min_pages`` pages have none and rely on the marks alone. Repeated rows are
-    pages of their own, pages that are all alike have no varying slot and keep their
-    article; other columns are ignored; an empty table gives no rows.
+    than ``min_pages`` pages with text have none and rely on the marks alone. Repeated rows
+    are pages of their own, pages that are all alike have no varying slot and keep their
+    article; a page whose slots differ from the others' (a notice, an error page) does not
+    change that of theirs; htmls of any length are read whole; other columns are ignored,
+    whatever their names; an empty table gives no rows.
     """
-    templates = stage(host_templates(pages, url_col, html_col, max_nodes), "templates")
-    src = pages.select(id_col, url_col, html_col, host_of(F.col(url_col)).alias("__host"))
-    rows = (src.join(templates.select(F.col("host").alias("__host"), F.col("template").alias("__template")), "__host", "left")
-            .select(id_col, url_col, html_col, "__template"))
+    templates = stage(host_templates(pages, url_col, html_col, max_nodes, share=share), "templates")
+    src = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"), F.col(html_col).alias("__html"),
+                       host_of(F.col(url_col)).alias("__host"))
+    known_as = F.struct("template", "fixed", "varies")
+    rows = (src.join(templates.select(F.col("host").alias("__host"), F.when(F.col("template").isNotNull(), known_as).alias("__t")),
+                     "__host", "left").select("__id", "__url", "__html", "__t.template", "__t.fixed", "__t.varies", "__host"))
     schema = T.StructType([pages.schema[id_col], pages.schema[url_col], T.StructField("text", T.StringType()),
                            T.StructField("n_chars", T.LongType())])
 
     def run(batches):
-        known: dict[str, list | None] = {}
+        known: dict[str, tuple | None] = {}
         for batch in batches:
             texts = []
-            for htmls, found in slices([batch.select([2, 3])], 0):
-                for source, t in zip(htmls, found):
-                    if t not in known:
+            for htmls, trees, fixed, varies, hosts in slices([batch.select([2, 3, 4, 5, 6])], 0):
+                for source, t, places_, differ, host in zip(htmls, trees, fixed, varies, hosts):
+                    if host not in known:
                         if len(known) > 500:
                             known.clear()
-                        known[t] = _varying(json.loads(t)) if t else None
-                    texts.append(main_text(source or "", known[t], min_pages, share))
+                        whole = json.loads(t) if t else None
+                        known[host] = (whole, frozenset(places_ or ())) if whole and (differ or _varies(whole, share)) else (None, ())
+                    texts.append(main_text(source or "", known[host][0], min_pages, share, known[host][1]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
-def _varying(t: list) -> list | None:
-    """The template, or None if none of its texts varies (copies of one page)."""
+def _varies(t: list, share: float) -> bool:
+    """Whether a slot on over ``share`` of the template's pages varies; copies of one page
+    have none."""
     def any_slot(x):
-        return x[2] == "*" and x[1] == t[1] or any(any_slot(k) for k in x[3])
-    return t if any_slot(t) else None
+        return x[2] == "*" and x[1] > share * t[1] or any(any_slot(k) for k in x[3])
+    return any_slot(t)

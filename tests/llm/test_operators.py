@@ -549,6 +549,48 @@ def test_html_wrapper_drops_constant_nodes(spark):
     assert out[50] == "alone" and out[51] == "kept" and out[52] == "" and out[60] == "all alike"
 
 
+@pytest.mark.parametrize("odd", [[None], ["<p>Not found</p>"], ["", "  ", "<body></body>"]])
+def test_html_one_odd_page_does_not_switch_a_template_off(spark, odd):
+    rnd = random.Random(4)
+    pages = [f"<body><div class=x>Same banner</div><div class=body><p>{words(rnd, 9)}</div></body>" for _ in range(50)] + odd
+    rows = [(i, f"http://h.example/{i}", h) for i, h in enumerate(pages)]
+    out = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    assert len(out) == len(pages) and not [r for r in out if "banner" in r.text]
+    assert all(r.text for r in out if r.page_id < 50)
+
+
+@pytest.mark.parametrize("last_first", [False, True])
+def test_html_many_nodes_and_any_row_order(spark, last_first):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(24):
+        own = "".join(f"<div class=o{i}x{j}>{words(rnd, 2)}</div>" for j in range(300))
+        rows.append((i, "http://big.example/", f"<body><div class=body><p>{words(rnd, 9)}</div>{own}" + ("<div class=foot>All of us</div>" if i < 20 else "")))
+    df = spark.createDataFrame(rows[::-1] if last_first else rows, "page_id long, url string, html string").coalesce(1)
+    out = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert not [i for i in out if "All of us" in out[i]]
+    assert all(out[i] == " ".join(re.sub(r"<[^>]*>", " ", h.split("<div class=foot>")[0]).split()) for i, _, h in rows)
+
+
+def test_html_templates_equal_counting_by_hand(spark):
+    rnd = random.Random(6)
+    rows, want = [], {}
+    for host in range(6):
+        n = rnd.choice([3, 8, 20])
+        fixed = [f"part{k}" for k in range(4)]
+        on = {k: rnd.choice([1.0, 0.8, 0.3]) for k in fixed}
+        pages = [[k for k in fixed if rnd.random() < on[k]] for _ in range(n)]
+        for i, own in enumerate(pages):
+            body = words(rnd, 8)
+            rows.append((len(rows), f"http://h{host}.example/{i}", "<body><main class=z><p>" + body + "</p>"
+                         + "".join(f"<section class={k}>fixed {k}</section>" for k in own) + "</main></body>"))
+            kept = [k for k in own if n < 5 or 2 * sum(k in p for p in pages) <= n]
+            want[len(rows) - 1] = " ".join([body] + [f"fixed {k}" for k in kept])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("x"), "n_chars": F.lit(1), "fixed": F.lit(2)})
+    assert {r.page_id: r.text for r in html_extract.extract(df.repartition(3)).collect()} == want
+    assert html_extract.extract(df.filter("false")).collect() == []
+
+
 # --- packing
 
 def test_packing_covers_every_id_once(spark, docs, no_docs):
