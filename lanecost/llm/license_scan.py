@@ -4,8 +4,14 @@ A template is licence wording with marked regions: ``<<opt>> ... <</opt>>`` may
 absent, ``<<var:n>>`` stands for up to n words of any kind, and
 ``<<any>> a <<or>> b <</any>>`` takes one of its branches. Each template is compiled to an
 automaton over words, and a text is accepted where all mandatory wording follows
-word for word. Matching starts only where the words before a template's first mark (two at
-most) stand, so a text without them costs one substring search a template.
+word for word, to the template's last word. Matching starts only where the words before a
+template's first mark (four at most) stand, so a text without them costs one substring
+search a template.
+
+Whole licences and whole notices are sure; a licence named in a few words is less so; the
+opening of a licence without the rest of its mandatory wording (a clause changed, cut or
+put in) is reported as ``<label>-partial`` and counts least. The wordings are in
+``license_texts``.
 """
 
 from __future__ import annotations
@@ -15,42 +21,15 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from lanecost.llm.license_texts import MENTIONS, NOTICES, OPENINGS, TEXTS
 from lanecost.llm.util import slices
 
 # Base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# Templates: label -> wordings. Words as the scan sees them, lower-cased.
-TEMPLATES = {
-    "apache-2.0": [
-        "licensed under the apache license <<opt>>version<</opt>> 2 0",
-        "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
-        "with the license you may obtain a copy of the license at"],
-    "gpl-2.0": [
-        "gnu general public license <<any>>version<<or>>v<</any>> 2",
-        "gnu general public license as published by the free software foundation <<opt>>either<</opt>> version 2"],
-    "gpl-3.0": [
-        "gnu general public license <<any>>version<<or>>v<</any>> 3",
-        "gnu general public license as published by the free software foundation <<opt>>either<</opt>> version 3"],
-    "lgpl": ["gnu <<any>>lesser<<or>>library<</any>> general public license <<opt>>version <<var:2>><</opt>>"],
-    "agpl-3.0": ["gnu affero general public license <<opt>>version 3<</opt>>"],
-    "mit": [
-        "released under the mit license", "licensed under the <<opt>>terms of the<</opt>> mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this "
-        "<<any>>software<<or>>work<</any>> and associated documentation files <<opt>>the <<var:1>><</opt>> to deal in "
-        "the <<any>>software<<or>>work<</any>> without restriction"],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided that "
-        "the following conditions are met",
-        "2 clause bsd license", "3 clause bsd license", "two clause bsd license", "three clause bsd license"],
-    "cc-by-4.0": ["cc by 4 0", "creative commons attribution 4 0 <<opt>>international<</opt>>"],
-    "cc-by-sa-4.0": ["cc by sa 4 0", "creative commons attribution sharealike 4 0 <<opt>>international<</opt>>"],
-    "cc-by-nc-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 <<opt>>international<</opt>>"],
-    "cc-by-nc-sa-4.0": ["cc by nc sa 4 0"],
-    "cc-by-nd-4.0": ["cc by nd 4 0"],
-    "cc0-1.0": ["cc0 1 0 <<opt>>universal<</opt>>", "cc0 public domain dedication"],
-    "mpl-2.0": ["mozilla public license <<any>>version<<or>>v<</any>> 2 0"],
-}
+# (score, what is added to the label, label -> wordings), the surest first.
+KINDS = ((1.0, "", TEXTS), (1.0, "", NOTICES), (0.75, "", MENTIONS), (0.25, "-partial", OPENINGS))
+BASE_SCORE = 0.5
 
 _MARK = re.compile(r"<<(/?\w+)(?::(\d+))?>>")
 _LOWER_WORD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 0x80 else 32 for b in range(256))
@@ -155,10 +134,11 @@ class Automaton:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, list[str]], base: dict[str, str]):
+    def __init__(self, kinds, base: dict[str, str]):
         self.base = [(tuple(p.encode().split()), label) for p, label in base.items()]
-        self.automata = [(label, Automaton(t)) for label, many in templates.items() for t in many]
-        self.leads = [b" " + b" ".join(a.lead[:2]) + b" " for _, a in self.automata]
+        self.automata = [(label, score, suffix, Automaton(t)) for score, suffix, templates in kinds
+                         for label, many in templates.items() for t in many]
+        self.leads = [b" " + b" ".join(a.lead[:4]) + b" " for *_, a in self.automata]
 
     @staticmethod
     def _places(joined: bytes, needle: bytes):
@@ -180,30 +160,30 @@ class Scanner:
             if found:
                 places += found
                 base.add(label)
-        spans = []
-        for (label, automaton), lead in zip(self.automata, self.leads):
+        spans, best = [], BASE_SCORE if base else 0.0
+        for (label, score, suffix, automaton), lead in zip(self.automata, self.leads):
             for i in self._places(joined, lead):
                 end = automaton.match(words, i)
-                if end is not None and end > i:
-                    spans.append((i, end, label))
+                if end is not None and end > i and not (suffix and any(a <= i and end <= b for a, b, *_ in spans)):
+                    spans.append((i, end, label + suffix))
+                    best = max(best, score)
         found = base | {s[2] for s in spans}
-        score = 1.0 if spans else 0.5 if base else 0.0
         return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
-                ",".join(sorted(found)), score, sorted(spans))
+                ",".join(sorted(found)), best, sorted(spans))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  templates: dict[str, list[str]] | None = None, base: dict[str, str] | None = None) -> DataFrame:
+                  kinds=KINDS, base: dict[str, str] | None = None) -> DataFrame:
     """One row per document: id, ``n_words``, ``n_base`` (places of base phrases),
     ``first_word`` and ``last_word`` (their smallest and largest start), ``base_labels`` and
-    ``labels`` (distinct, sorted, comma-joined; empty if none), ``score`` (1 a template
-    matched, 0.5 base phrases only, 0 nothing) and ``spans`` (template matches: first word,
-    end, label).
+    ``labels`` (distinct, sorted, comma-joined; empty if none), ``score`` (1 a whole text or
+    notice, 0.75 a licence named with its version, 0.5 base phrases only, 0.25 an opening
+    only, 0 nothing) and ``spans`` (template matches: first word, end, label).
 
-    A null text is empty. Texts are scanned whole, repeated rows alike, other columns are
-    ignored; an empty table gives no rows.
+    A null text is empty. Texts of any length are scanned whole, repeated rows alike, other
+    columns are ignored, whatever their names; an empty table gives no rows.
     """
-    templates, base = templates or TEMPLATES, base or BASE
+    base = base or BASE
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("label", T.StringType())])
     schema = T.StructType([docs.schema[id_col]] + [T.StructField(c, T.LongType()) for c in ("n_words", "n_base", "first_word", "last_word")]
                           + [T.StructField(c, T.StringType()) for c in ("base_labels", "labels")]
@@ -211,7 +191,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     arrow = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string())]))]
 
     def run(batches):
-        scanner = Scanner(templates, base)
+        scanner = Scanner(kinds, base)
         for batch in batches:
             rows = []
             for (texts,) in slices([batch.select([1])], 0):

@@ -437,11 +437,96 @@ def test_license_base_equals_brute_force_and_templates(spark, no_docs):
             labels |= {label} if hits else set()
         want = (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels)))
         assert want in [(r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in out[i]]
-    assert out[1][0].labels == "cc-by,cc-by-nc-4.0" and out[7][0].labels == "mit" and out[8][0].labels == ""
+    assert out[1][0].labels == "cc-by,cc-by-nc-4.0" and out[7][0].labels == "mit-partial" and out[8][0].labels == ""
+    assert (out[1][0].score, out[7][0].score) == (0.75, 0.25)
     assert out[5][0].labels == "cc-by,gpl,gpl-3.0" and out[3][0].score == 0
     assert license_scan.scan_licenses(no_docs).collect() == []
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%sTHIS SOFTWARE IS PROVIDED BY %s "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = """3. Neither the name of Example Corp. nor the names of its contributors may be used to
+   endorse or promote products derived from this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable
+law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_whole_licences_match_to_their_end():
+    scan = license_scan.Scanner(license_scan.KINDS, license_scan.BASE).scan
+    bsd2, bsd3 = BSD % ("", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS"), BSD % (THIRD, "EXAMPLE CORP. AND OTHERS")
+    for text, label in ((MIT, "mit"), (ISC, "isc"), (bsd2, "bsd-2-clause"), (bsd3, "bsd-3-clause")):
+        for t in (text, "Copyright (c) 2020 A\n\n" + text, "// " + text.replace("\n", "\n// ")):
+            assert scan(t)[5:7] == (label, 1.0)
+    assert scan(GPL)[5:7] == ("gpl,gpl-3.0", 1.0) and scan(APACHE)[5:7] == ("apache,apache-2.0", 1.0)
+
+
+def test_changed_or_cut_licences_are_partial():
+    scan = license_scan.Scanner(license_scan.KINDS, license_scan.BASE).scan
+    opening = MIT[:MIT.index(", including")]
+    bsd = BSD % ("", "US")
+    changed = [(opening + ", except for any commercial purpose, which is forbidden", "mit-partial"),
+               (bsd[:bsd.index("1.")] + "you pay us", "bsd-partial"), (MIT.replace("merge, ", ""), "mit-partial"),
+               (MIT.replace("without restriction,", "without restriction, except for war,"), "mit-partial"),
+               (MIT[:-20], "mit-partial"), (ISC.replace("OR PROFITS", ""), "isc-partial"),
+               (bsd.replace("DISCLAIMED", "GIVEN"), "bsd-partial")]
+    for text, label in changed:
+        assert scan(text)[5:7] == (label, 0.25)
+    assert scan(GPL.replace("WITHOUT ANY WARRANTY", "WITH A WARRANTY"))[5:7] == ("gpl,gpl-3.0", 0.75)
+    assert scan("released under the MIT license")[5:7] == ("mit", 0.75)
+
+
 def test_automaton_regions():
     a = license_scan.Automaton("a <<opt>>b <<any>>c<<or>>d e<</any>><</opt>> f <<var:2>> g")
     ok = ["a f g", "a b c f g", "a b d e f x g", "a f x y g"]
