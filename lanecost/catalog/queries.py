@@ -574,8 +574,9 @@ def _check_sql(c: K.Check) -> str:
 
 
 def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
-    """Every model of the chain; with ``materialize`` the curated and flagged rows
-    are written once (to the shared scratch folder) and the rest derive from them, as models are materialized before they are tested."""
+    """Every model of the chain; with ``materialize`` the curated and flagged rows and the
+    aggregated marts are written once (to the shared scratch folder) and the rest derive
+    from them, as models are materialized before they are tested."""
     clean, _ = curated(spark, d)
     if materialize:
         clean = materialized(clean, "clean")
@@ -588,13 +589,15 @@ def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
     if materialize:
         fl = materialized(fl, "flagged")
     m = flows.build_marts(fl, MODEL_CFG)
+    if materialize:
+        m |= {n: materialized(m[n], n) for n in ("corridor_cost_trends", "transparency_scorecard")}
     return {"landing": landing, "staged": stg, "enriched": enr, "decomposed": dec, "flagged": fl,
             **m, "country": FX.country_dim(spark, d), "currency": FX.currency_dim(spark, d)}
 
 
 @register("check_suite", O.with_ctes("\nUNION ALL\n".join(_check_sql(c) for c in K.declared_checks())))
 def q_check_suite(spark, d):
-    return K.check_suite(K.declared_checks(), models(spark, d, materialize=True))
+    return K.check_suite(K.declared_checks(), models(spark, d, materialize=True), K.SAME_ROWS)
 
 
 # ---- profile --------------------------------------------------------------------
@@ -950,6 +953,12 @@ def q_dedup_grain_split(spark, d):
     return dedup_first(long(spark, d), strategy="split")
 
 
+@register("dedup_grain_filter", O.with_ctes("SELECT * FROM clean"))
+def q_dedup_grain_filter(spark, d):
+    from lanecost.operators.dedup import dedup_first
+    return dedup_first(long(spark, d), strategy="filter")
+
+
 @register("profile_sample", O.with_ctes(
     "SELECT * FROM wide ORDER BY id NULLS FIRST, "
     + ", ".join(f"{O.q(c)} NULLS FIRST" for c in O.WIDE_COLUMNS if c != "id") + " LIMIT 5"))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lanecost.functions.expr import col
 from lanecost.operators.clean import require_columns
+from lanecost.operators.key_filter import MOST_BITS, KeyFilter, slot_of
 from lanecost.session import materialized
 from lanecost.operators.util import (
     join_on_keys,
@@ -87,11 +88,17 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
     unique keys pass by an anti join (no sort and, while the repeated keys are small
     enough in bytes for the planner to broadcast, no shuffle of full rows) and ranks only
     the repeated groups. The joins are sized by the planner and AQE; with ``with_report=False`` no report plan is built (``None``).
+
+    ``strategy="filter"`` reads the input twice. A first pass over the keys alone counts the
+    slots of a bit array and keeps those that two or more rows fall into; rows of any
+    other slot are unique and pass without a shuffle or a sort, and only the rest is
+    aggregated. The array is bounded, so with many more rows than bits the rest is everything,
+    and the result the same.
     """
     keys = list(keys)
     order_by = list(order_by)
     require_columns(df, keys + order_by)
-    if strategy not in ("aggregate", "split"):
+    if strategy not in ("aggregate", "split", "filter"):
         raise ValueError(f"unknown strategy {strategy!r}")
     columns = df.columns
     ranked_fields = order_by + [c for c in columns if c not in order_by and c not in keys]
@@ -108,7 +115,18 @@ def dedup_grain(df: DataFrame, keys: Sequence[str] = GRAIN_COLUMNS,
                     .agg(F.min(rank_of()).alias("__first"),
                          F.count(F.lit(1)).alias(count_column)))
 
-    if strategy == "aggregate":
+    if strategy == "filter":
+        slots = df.select(slot_of([col(k) for k in keys], MOST_BITS).alias("slot"))
+        again = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter(col("n") > 1).select("slot")
+        flagged = KeyFilter.of_slots(again, MOST_BITS).flag(df, keys, "__maybe")
+        members = flagged.filter("__maybe").drop("__maybe")
+        firsts = first_per_group(members)
+        clean = flagged.filter("not __maybe").drop("__maybe").unionByName(unpack(firsts))
+        if not with_report:
+            return clean, None
+        dup_firsts = firsts.filter(col(count_column) > 1)
+        tagged = join_on_keys(members, dup_firsts, keys, "inner")
+    elif strategy == "aggregate":
         firsts_all = first_per_group(df)
         clean = unpack(firsts_all)
         if not with_report:

@@ -106,9 +106,26 @@ def _brute(rows):
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(_row, min_size=1, max_size=12), st.sampled_from(["aggregate", "split"]))
+@given(st.lists(_row, min_size=1, max_size=12), st.sampled_from(["aggregate", "split", "filter"]))
 def test_dedup_matches_brute_force(spark, rows, strategy):
     clean, report = dedup_grain(frame(spark, rows), strategy=strategy)
     want_clean, want_report = _brute(rows)
     assert Counter(tuple(r) for r in clean.collect()) == want_clean
     assert Counter(tuple(r) for r in report.collect()) == want_report
+
+
+def test_filter_dedup_neither_shuffles_nor_sorts_unique_rows(spark):
+    df = spark.range(1000).selectExpr("id", "id % 990 as k", "cast(id as string) as wide")
+    clean, report = dedup_grain(df, ["k"], ["id"], strategy="filter")
+    assert clean.count() == 990 and report.count() == 10
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    unique = plan.split("Union", 1)[1].split("Aggregate", 1)[0]
+    assert "Join LeftOuter" in unique and "rightHint=(strategy=broadcast)" in unique
+
+
+def test_filter_dedup_with_a_full_array(spark, monkeypatch):
+    from lanecost.operators import dedup
+    monkeypatch.setattr(dedup, "MOST_BITS", 64)
+    df = spark.range(1000).selectExpr("id", "id % 400 as k", "cast(id as string) as wide")
+    clean, report = dedup_grain(df, ["k"], ["id"], strategy="filter")
+    assert sorted(r["id"] for r in clean.collect()) == list(range(400)) and report.count() == 600
