@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from lanecost.session import materialized
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +62,7 @@ def flagged(spark: SparkSession, d: str) -> DataFrame:
     return flows.build_flagged(clean, FX.country_dim(spark, d), FX.currency_dim(spark, d), MODEL_CFG)
 
 
-def marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def marts(spark: SparkSession, d: str) -> Mapping[str, DataFrame]:
     return flows.build_marts(flagged(spark, d), MODEL_CFG)
 
 
@@ -588,7 +588,7 @@ def models(spark, d, materialize: bool = False) -> dict[str, DataFrame]:
     fl = Mo.flag_transparency(dec)
     if materialize:
         fl = materialized(fl, "flagged")
-    m = flows.build_marts(fl, MODEL_CFG)
+    m = dict(flows.build_marts(fl, MODEL_CFG, stored=materialize))
     if materialize:
         m |= {n: materialized(m[n], n) for n in ("corridor_cost_trends", "transparency_scorecard")}
     return {"landing": landing, "staged": stg, "enriched": enr, "decomposed": dec, "flagged": fl,

@@ -1,10 +1,12 @@
 """The four marts built from the flagged observations.
 
 Aggregations are hash aggregates with map-side partial aggregation, so a hot
-corridor or firm is combined before the shuffle. ``median`` is Spark's exact
-percentile (value -> count map per group, merged partially). For groups whose
-distinct values are too many for one map, ``ranged_median`` finds the same value
-by counting ranges first, and ``approx_median`` is a bounded-memory sketch.
+corridor or firm is combined before the shuffle. The median is exact: by a value ->
+count map (merged partially) in groups measured to have few distinct values, by
+counting value ranges first in the others. ``approx_median`` is a bounded-memory sketch.
+
+The scorecard also comes in two steps: small states per period that can be added up
+(``scorecard_state``), and the scorecard of any union of them (``scorecard_of_states``).
 """
 
 from __future__ import annotations
@@ -33,25 +35,39 @@ CHANNEL_COLUMNS = (
 )
 
 MIN_SAMPLE = 30
+# A group with more distinct values than this (as estimated) gets no value -> count map.
+MAX_MAP_VALUES = 100_000
+RANGES = 64
+NAN_RANGE = (1 << 63) - 1
 
 
 def median_by_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                     width: float = 1.0) -> DataFrame:
+                     width: float | None = None, pieces: int = RANGES) -> DataFrame:
     """Exact median of the non-null ``value`` per ``keys`` (nulls are a key), with
-    no per-group buffer.
-
-    Equal values are counted first, then value ranges of ``width``; running counts
-    of the ranges show which one or two hold the middle, and only their values are
-    put in order, a range a window partition. A group's rows are thus spread by
-    value, and a task sorts (and may spill) the distinct values of one range. NaN is
-    the largest value; a group without values has no row.
+    no per-group buffer of its values.
+
+    Equal values are counted first, then value ranges; running counts of the ranges
+    show which one or two hold the middle, and only their values are put in order, a
+    range a window partition. A group's rows are thus spread by value, and a task sorts
+    (and may spill) the distinct values of one range. The ranges are cut at each group's
+    own approximate quantiles, ``pieces`` of them, so they hold about as many rows each
+    however the values lie; with ``width`` they have that fixed width. Where the cuts fall
+    has no influence on the result. NaN is the largest value; a group without values has
+    no row.
     """
     key_cols = [col(k) for k in keys]
     v = col(value).cast("double")
-    counts = (df.select(*key_cols, v.alias("__v")).filter(col("__v").isNotNull())
-                .groupBy(*key_cols, col("__v")).agg(F.count(F.lit(1)).alias("__n"))
-                .withColumn("__range", F.when(F.isnan("__v"), F.lit((1 << 63) - 1))
-                                        .otherwise(F.floor(col("__v") / width))))
+    values = df.select(*key_cols, v.alias("__v")).filter(col("__v").isNotNull())
+    counts = values.groupBy(*key_cols, col("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    if width is None:
+        cuts = values.filter(~F.isnan("__v")).groupBy(*key_cols).agg(F.percentile_approx(
+            col("__v"), [i / pieces for i in range(1, pieces)], 20 * pieces).alias("__cuts"))
+        counts = join_on_keys(counts, cuts, keys, "left")
+        at = F.size(F.filter(col("__cuts"), lambda cut: cut < col("__v"))).cast("long")
+    else:
+        at = F.floor(col("__v") / width)
+    counts = counts.withColumn(
+        "__range", F.when(F.isnan("__v"), F.lit(NAN_RANGE)).otherwise(at)).drop("__cuts")
     ranges = counts.groupBy(*key_cols, col("__range")).agg(F.sum("__n").alias("__in"))
     group = Window.partitionBy(*key_cols)
     total = F.sum("__in").over(group)
@@ -72,25 +88,48 @@ def median_by_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str,
 
 
 def corridor_cost_trends(flagged: DataFrame, approx_median: bool = False,
-                         ranged_median: bool = False) -> DataFrame:
+                         ranged_median: bool | None = None, stored: bool = False,
+                         max_values: int = MAX_MAP_VALUES) -> DataFrame:
     """One row per corridor / period / tier / disclosure status (null groups kept).
 
-    ``ranged_median`` writes the few columns needed once to shared scratch and takes
-    the exact median by value ranges: for hot corridors with very many prices.
+    The median is exact. By default the distinct costs of each group are estimated first
+    (a fixed-size sketch a group); groups of up to ``max_values`` take their median from a
+    value -> count map, the others by ranges of values (``median_by_ranges``), so no map
+    grows with the data. ``ranged_median`` fixes one way for all groups: ranges (True) or
+    maps (False). Where rows are read more than once, the few columns needed are written
+    to shared scratch first, unless ``stored`` says that ``flagged`` is read from files.
     """
     cost = col("total_cost_pct")
-    if ranged_median:
-        if approx_median:
+    if approx_median:
+        if ranged_median:
             raise ValueError("choose one way of taking the median")
+        return _trends(flagged, F.percentile_approx(cost, 0.5, 10000))
+    if ranged_median is False:
+        return _trends(flagged, F.median(cost))
+    if not stored:
         needed = (*TREND_KEYS, "firm", "total_cost_pct", "fee_cost_pct", "fx_margin_pct",
                   "decomposed_cost_pct", "cost_mismatch_flag")
         flagged = materialized(flagged.select(*[col(c) for c in needed]), "trend_rows")
-        rest = _trends(flagged, F.lit(None))
-        name = "median_total_cost_pct"
-        medians = median_by_ranges(flagged, TREND_KEYS, "total_cost_pct", "__median")
-        return (join_on_keys(rest, medians, TREND_KEYS, "left")
-                .withColumn(name, col("__median")).drop("__median"))
-    return _trends(flagged, F.percentile_approx(cost, 0.5, 10000) if approx_median else F.median(cost))
+    if ranged_median:
+        return _with_medians(_trends(flagged, F.lit(None)), flagged)
+    many = (flagged.groupBy(*[col(k) for k in TREND_KEYS])
+                   .agg(F.approx_count_distinct(cost).alias("__values"))
+                   .filter(col("__values") > max_values)
+                   .select(*[col(k) for k in TREND_KEYS], F.lit(True).alias("__many")))
+    many = materialized(many, "trend_groups_of_many_values")
+    if many.isEmpty():
+        return _trends(flagged, F.median(cost))
+    marked = join_on_keys(flagged, many, TREND_KEYS, "left")
+    rest = _trends(marked, F.median(F.when(col("__many").isNull(), cost)))
+    return _with_medians(rest, marked.filter(col("__many")))
+
+
+def _with_medians(trends: DataFrame, rows: DataFrame) -> DataFrame:
+    """``trends`` with the medians of the groups of ``rows`` taken by ranges."""
+    name = "median_total_cost_pct"
+    medians = median_by_ranges(rows, TREND_KEYS, "total_cost_pct", "__median")
+    return (join_on_keys(trends, medians, TREND_KEYS, "left")
+            .withColumn(name, F.coalesce(col(name), col("__median"))).drop("__median"))
 
 
 def _trends(flagged: DataFrame, median) -> DataFrame:
@@ -137,6 +176,45 @@ def transparency_scorecard(flagged: DataFrame, min_sample: int = MIN_SAMPLE) ->
     )
 
 
+STATE_KEYS = ("firm", "firm_type", "corridor", "period_year", "period_quarter")
+
+
+def scorecard_state(flagged: DataFrame) -> DataFrame:
+    """Whole-number counts per firm, corridor and quarter, from which the scorecard of any
+    union of disjoint sets of rows follows exactly (the sets are kept as rows, as distinct
+    corridors and quarters cannot be added up)."""
+    flags = col("transparency_flag_count")
+    return flagged.groupBy(*[col(k) for k in STATE_KEYS]).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(col("is_disclosed_transparent")).alias("disclosed"),
+        F.count_if(col("total_cost_pct_missing")).alias("total_missing"),
+        F.count_if(col("cost_components_missing")).alias("components_missing"),
+        F.count_if(col("cost_mismatch_flag")).alias("mismatched"),
+        F.count_if(col("cost_mismatch_flag").isNotNull()).alias("evaluable"),
+        F.sum(flags).cast("long").alias("flags"),
+        F.count(flags).alias("flag_rows"),
+    )
+
+
+def scorecard_of_states(states: DataFrame, min_sample: int = MIN_SAMPLE) -> DataFrame:
+    """``transparency_scorecard`` of the rows behind ``states``, same columns and values."""
+    n, mismatched, evaluable = F.sum("n"), F.sum("mismatched"), F.sum("evaluable")
+    pct = lambda c: F.sum(c) * F.lit(100.0) / n
+    return states.groupBy(col("firm"), col("firm_type")).agg(
+        n.alias("num_observations"),
+        F.count_distinct(col("corridor")).alias("num_corridors"),
+        F.count_distinct(col("period_year"), col("period_quarter")).alias("num_periods"),
+        pct("disclosed").alias("pct_disclosed_transparent"),
+        pct("total_missing").alias("pct_total_cost_pct_missing"),
+        pct("components_missing").alias("pct_cost_components_missing"),
+        mismatched.alias("num_cost_mismatch_flagged"),
+        evaluable.alias("num_cost_mismatch_evaluable"),
+        (mismatched / F.nullif(evaluable, F.lit(0)) * F.lit(100)).alias("pct_cost_mismatch_flagged"),
+        (F.sum("flags") / F.nullif(F.sum("flag_rows"), F.lit(0))).alias("avg_transparency_flag_count"),
+        (n >= F.lit(min_sample)).alias("has_sufficient_sample"),
+    )
+
+
 def spotlight(flagged: DataFrame, country: str, role_column: str = "spotlight_role") -> DataFrame:
     """Channel rows where ``country`` sends or receives; 'sending' wins when both."""
     s, r = col("sending_country_code"), col("receiving_country_code")

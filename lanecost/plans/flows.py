@@ -52,7 +52,7 @@ class ModelConfig:
     spotlight_country: str = "KEN"
     min_sample: int = M.MIN_SAMPLE
     approx_median: bool = False   # bounded-memory sketch instead of the exact median
-    ranged_median: bool = False   # exact median by value ranges, without a per-group buffer
+    ranged_median: bool | None = None   # exact median: measured choice, by ranges (True), by maps (False)
 
 
 def curate_long(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> DataFrame:
@@ -63,9 +63,9 @@ def curate_long(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> DataFrame
     return C.unpivot_sides(df, cfg.prefixes, cfg.driving)
 
 
-class LazyReports(Mapping):
-    """Report name -> DataFrame, each built on first access (building some
-    reports runs a small sizing job, so unused ones cost nothing)."""
+class LazyFrames(Mapping):
+    """Name -> DataFrame, each built on first access (building some reports and
+    marts runs a sizing job, so unused ones cost nothing)."""
 
     def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
         self._factories = factories
@@ -95,7 +95,7 @@ def curate(raw: DataFrame, cfg: CurateConfig = CurateConfig()) -> tuple[DataFram
 def quality_reports(long: DataFrame, clean: DataFrame, cfg: CurateConfig = CurateConfig()) -> Mapping[str, DataFrame]:
     """The four reports, from the long rows and the clean ones (a plan, or the written
     rows read back)."""
-    return LazyReports({
+    return LazyFrames({
         "grain_duplicates": lambda: dedup_grain(long, cfg.grain, cfg.order_by)[1],
         "fx_margin": lambda: split_negative(clean, cfg.margin_column)[1],
         "transparency": lambda: split_nontransparent(clean, cfg.transparent_column)[1],
@@ -144,17 +144,19 @@ def build_flagged(clean: DataFrame, country_dim: DataFrame, currency_dim: DataFr
 
 
 def build_marts(flagged: DataFrame, cfg: ModelConfig = ModelConfig(),
-                reuse: bool = False) -> dict[str, DataFrame]:
-    """The four marts. With ``reuse`` the flagged rows are written once to
-    the shared scratch folder (lineage cut, survives executor loss)."""
+                reuse: bool = False, stored: bool = False) -> Mapping[str, DataFrame]:
+    """The four marts, each built when it is asked for. With ``reuse`` the flagged rows
+    are written once to the shared scratch folder (lineage cut, survives executor loss);
+    ``stored`` says that they are read from files already."""
     if reuse:
         flagged = materialized(flagged, "flagged")
-    return {
-        "corridor_cost_trends": M.corridor_cost_trends(flagged, cfg.approx_median, cfg.ranged_median),
-        "provider_comparison": M.provider_comparison(flagged),
-        "transparency_scorecard": M.transparency_scorecard(flagged, cfg.min_sample),
-        "spotlight": M.spotlight(flagged, cfg.spotlight_country),
-    }
+    return LazyFrames({
+        "corridor_cost_trends": lambda: M.corridor_cost_trends(
+            flagged, cfg.approx_median, cfg.ranged_median, reuse or stored),
+        "provider_comparison": lambda: M.provider_comparison(flagged),
+        "transparency_scorecard": lambda: M.transparency_scorecard(flagged, cfg.min_sample),
+        "spotlight": lambda: M.spotlight(flagged, cfg.spotlight_country),
+    })
 
 
 def serve_views(marts: Mapping[str, DataFrame], names: DataFrame, role: str = "both",

@@ -35,3 +35,41 @@ def test_high_cost_firms_are_ordered_rows_of_the_listing(spark):
     rows = S.high_cost_firms(firms, 9.5).collect()
     assert [(r.firm, r.avg_total_cost_pct) for r in rows] == [("A", 9.5), ("B", 9.5), ("C", 9.5)]
     assert S.top_cost_listing(firms, 9.5).first().listing == "A (n=1), B (n=2), C (n=3)"
+
+
+def test_ranges_cut_at_quantiles_follow_the_data(spark):
+    rnd = random.Random(11)
+    rows = [("tail", rnd.paretovariate(0.3)) for _ in range(901)] + [("tiny", rnd.random() * 1e-9) for _ in range(400)]
+    rows += [("ties", float(rnd.choice([1, 1, 1, 2]))) for _ in range(50)] + [("nan", float("nan"))] * 3
+    want = collections.defaultdict(list)
+    for k, v in rows:
+        want[k].append(v)
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for pieces in (2, 64):
+        got = {r.k: r.m for r in M.median_by_ranges(df, ["k"], "v", "m", pieces=pieces).collect()}
+        assert got.pop("nan") != got.get("nan")          # NaN
+        assert got == {k: statistics.median(v) for k, v in want.items() if k != "nan"}
+
+
+def test_groups_of_many_values_take_their_median_by_ranges(spark, monkeypatch):
+    rnd = random.Random(3)
+    schema = ", ".join(f"{c} string" for c in M.TREND_KEYS) + (
+        ", firm string, total_cost_pct double, fee_cost_pct double, fx_margin_pct double, "
+        "decomposed_cost_pct double, cost_mismatch_flag boolean")
+    def row(corridor, cost):
+        return (corridor, *[None] * (len(M.TREND_KEYS) - 1), "F", cost, 1.0, None, 2.0, True)
+    rows = [row("hot", rnd.gauss(5, 3)) for _ in range(500)] + [row("hot", None)]
+    rows += [row(None, rnd.gauss(9, 1)) for _ in range(300)]
+    rows += [row("few", float(rnd.randrange(5))) for _ in range(200)] + [row("none", None)]
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    want = sorted(map(repr, M.corridor_cost_trends(df, ranged_median=False).collect()))
+    asked = []
+    plain = M.median_by_ranges
+    monkeypatch.setattr(M, "median_by_ranges", lambda d, *a, **k: asked.append(d) or plain(d, *a, **k))
+    got = M.corridor_cost_trends(df, max_values=100)
+    short = lambda r: repr({k: round(v, 9) if isinstance(v, float) else v for k, v in r.asDict().items()})
+    assert sorted(map(short, got.collect())) == sorted(map(short, M.corridor_cost_trends(df, ranged_median=False).collect()))
+    assert {r[0] for r in asked[-1].select("corridor").distinct().collect()} == {"hot", None}
+    few = M.corridor_cost_trends(df)                     # nothing over the default bound
+    assert len(asked) == 1 and len(few.collect()) == len(want) == 4
+    assert M.corridor_cost_trends(df.limit(0)).collect() == []
