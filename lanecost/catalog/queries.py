@@ -92,6 +92,12 @@ def q_corridor_cost_trends_ranged(spark, d):
     return r6(M.corridor_cost_trends(flagged(spark, d), ranged_median=True), *TREND_DOUBLES)
 
 
+@register("corridor_cost_trends_mixed", ORACLE["corridor_cost_trends"])
+def q_corridor_cost_trends_mixed(spark, d):
+    """Groups of over four distinct costs by ranges, the others by maps."""
+    return r6(M.corridor_cost_trends(flagged(spark, d), max_values=4), *TREND_DOUBLES)
+
+
 @register("transparency_scorecard", O.with_ctes(_round_sql("scorecard", (
     "pct_disclosed_transparent", "pct_total_cost_pct_missing", "pct_cost_components_missing",
     "pct_cost_mismatch_flagged", "avg_transparency_flag_count"))))
@@ -434,6 +440,20 @@ def q_high_cost_firms(spark, d):
     return S.high_cost_firms(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS), FIXTURE_AT_LEAST)
 
 
+_CHUNK = 3
+
+
+@register("top_cost_listing_chunks", O.with_ctes(
+    "high AS (SELECT firm || ' (n=' || CAST(num_observations AS VARCHAR) || ')' AS entry, "
+    "row_number() OVER (ORDER BY round(avg_total_cost_pct, 6), firm, firm_type) - 1 AS rank FROM firms "
+    f"WHERE num_observations >= {FIXTURE_MIN_OBS} AND round(avg_total_cost_pct, 6) >= {FIXTURE_AT_LEAST}), "
+    "placed AS (SELECT *, CAST(sum(length(entry) + 2) OVER (ORDER BY rank) AS BIGINT) - length(entry) - 2 AS begins FROM high)",
+    f"SELECT rank // {_CHUNK} AS chunk, min(rank) AS first_rank, count(*) AS firms, min(begins) AS starts_at, "
+    f"string_agg(entry, ', ' ORDER BY rank) AS listing FROM placed GROUP BY rank // {_CHUNK}"))
+def q_top_cost_listing_chunks(spark, d):
+    return S.listing_chunks(S.firm_comparison(spot_rows(spark, d), FIXTURE_MIN_OBS), FIXTURE_AT_LEAST, _CHUNK)
+
+
 _PCT = "CASE WHEN {c} IS NULL OR isnan({c}) THEN '–' ELSE printf('%.2f%%', {c}) END"
 
 
@@ -787,6 +807,85 @@ def q_build_marts(spark, d):
                       for n, df in m.items()])
 
 
+_NEWEST = ("newest AS (SELECT DISTINCT period_year, period_quarter FROM flagged WHERE period_year IS NOT NULL "
+           "AND period_quarter IS NOT NULL ORDER BY period_year DESC, period_quarter DESC LIMIT 3)")
+_IN_NEWEST = "(period_year, period_quarter) IN (SELECT (period_year, period_quarter) FROM newest)"
+
+
+def _loaded_by_period(spark, d):
+    """The three newest quarters loaded one after another, the first of them once with half
+    of its rows and then again."""
+    from lanecost.plans.period_marts import PeriodMarts
+    rows = materialized(flagged(spark, d), "flagged")
+    quarters = [tuple(r) for r in rows.select("period_year", "period_quarter").dropna().distinct()
+                .orderBy(F.desc("period_year"), F.desc("period_quarter")).limit(3).collect()]
+    kept = PeriodMarts(spark, scratch_path(spark, "period-marts"), MODEL_CFG, buckets=4)
+
+    def of(year, quarter):
+        return rows.filter((col("period_year") == year) & (col("period_quarter") == quarter))
+
+    kept.load(of(*quarters[0]).filter(F.pmod(F.xxhash64("raw_id"), F.lit(2)) == 0), "%d_%dQ" % quarters[0])
+    for q in reversed(quarters):
+        kept.load(of(*q), "%d_%dQ" % q)
+    return kept.marts()
+
+
+@register("scorecard_by_period", O.with_ctes(
+    f"{_NEWEST}, part AS (SELECT * FROM flagged WHERE {_IN_NEWEST}), "
+    f"part_score AS ({O.SCORECARD_SQL.replace('FROM flagged', 'FROM part')})",
+    _round_sql("part_score", SCORE_DOUBLES)))
+def q_scorecard_by_period(spark, d):
+    return r6(_loaded_by_period(spark, d)["transparency_scorecard"], *SCORE_DOUBLES)
+
+
+@register("trends_by_period", O.with_ctes(_NEWEST, _round_sql("trends", TREND_DOUBLES) + f" WHERE {_IN_NEWEST}"))
+def q_trends_by_period(spark, d):
+    return r6(_loaded_by_period(spark, d)["corridor_cost_trends"], *TREND_DOUBLES)
+
+
+@register("spotlight_clustered", O.with_ctes("SELECT * FROM spot"))
+def q_spotlight_clustered(spark, d):
+    """From flagged rows laid out by both ends of the corridor inside each period."""
+    rows = materialized(flagged(spark, d), "flagged")
+    path = Wr.write_by_period(rows, scratch_path(spark, "laid"), "period_label",
+                              cluster_by=["sending_country_code", "receiving_country_code"])
+    return M.spotlight(spark.read.schema(rows.schema).parquet(path), FX.SPOTLIGHT_COUNTRY)
+
+
+@register("model_graph", O.with_ctes(_round_sql("scorecard", SCORE_DOUBLES)))
+def q_model_graph(spark, d):
+    from lanecost.plans.model_graph import corridor_models
+    graph = corridor_models({"clean": lambda: curated(spark, d)[0], "country": lambda: FX.country_dim(spark, d),
+                             "currency": lambda: FX.currency_dim(spark, d)}, MODEL_CFG)
+    built = graph.build(scratch_path(spark, "graph"), ["transparency_scorecard", "provider_comparison"])
+    return r6(built["transparency_scorecard"], *SCORE_DOUBLES)
+
+
+# whole rows of what the composed flows leave behind, beside their counts
+
+@register("write_reports_margin", O.with_ctes('SELECT * FROM clean WHERE "fx margin" < 0'))
+def q_write_reports_margin(spark, d):
+    _, reports = curated(spark, d)
+    report = reports["fx_margin"]
+    paths = Wr.write_reports({"fx_margin": report}, scratch_path(spark, "reports"))
+    return spark.read.schema(report.schema).parquet(paths["fx_margin"])
+
+
+@register("export_marts_trends", O.with_ctes(_round_sql("trends", TREND_DOUBLES)))
+def q_export_marts_trends(spark, d):
+    base = scratch_path(spark, "export")
+    Wr.export_marts({"corridor_cost_trends": marts(spark, d)["corridor_cost_trends"]}, base)
+    return r6(Sc.read_mart(spark, base, "corridor_cost_trends"), *TREND_DOUBLES)
+
+
+@register("run_pipeline_clean", O.with_ctes("SELECT * FROM clean"))
+def q_run_pipeline_clean(spark, d):
+    path, w = staged_drop(spark, d)
+    base = scratch_path(spark, "pipeline")
+    flows.run_pipeline(spark, path, base, expected_columns=len(w.columns))
+    return spark.read.schema(curated(spark, d)[0].schema).parquet(f"{base}/clean")
+
+
 @register("export_marts", O.with_ctes(_MART_COUNTS))
 def q_export_marts(spark, d):
     m = flows.build_marts(flagged(spark, d), MODEL_CFG, reuse=True)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanecost.functions.expr import (
@@ -19,6 +19,7 @@ from lanecost.functions.expr import (
     period_sort_key_col,
 )
 from lanecost.operators.util import union_all
+from lanecost.session import materialized
 
 TOP_K = 5
 MIN_FIRM_OBSERVATIONS = 10
@@ -136,7 +137,7 @@ def high_cost_firms(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST) -> D
 
 def top_cost_listing(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST) -> DataFrame:
     """``high_cost_firms`` as one line of text, ``"firm (n=12), ..."``; null when there
-    are none. One line is one row: for very many firms read the rows instead."""
+    are none. One line is one row: for very many firms read the rows or ``listing_chunks``."""
     entry = F.concat(col("firm"), F.lit(" (n="), col("num_observations").cast("string"), F.lit(")"))
     rows = high_cost_firms(firms, at_least).select(
         entry.alias("entry"), col("avg_total_cost_pct").alias("cost"), col("firm"))
@@ -144,6 +145,36 @@ def top_cost_listing(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST) ->
         "listagg(entry, ', ') WITHIN GROUP (ORDER BY cost, firm)").alias("listing"))
 
 
+def listing_chunks(firms: DataFrame, at_least: float = HIGH_COST_AT_LEAST,
+                   per_chunk: int = 10_000) -> DataFrame:
+    """The line of ``top_cost_listing`` in chunks of ``per_chunk`` firms, for any number
+    of firms: ``chunk`` (from 0), ``first_rank`` (from 0), ``firms``, ``starts_at`` (code
+    points of the line before it, separators included) and ``listing``; joined by ", " in
+    order they are the line. No rows where there are no such firms.
+
+    The ordered rows are written with the number of their range partition; one count and
+    one length a partition give where it starts, so firms are numbered in parallel.
+    """
+    order = ["avg_total_cost_pct", "firm", "firm_type"]
+    entry = F.concat(col("firm"), F.lit(" (n="), col("num_observations").cast("string"), F.lit(")"))
+    rows = (high_cost_firms(firms.filter(entry.isNotNull()), at_least).select(entry.alias("entry"), *order)
+            .withColumns({"__part": F.spark_partition_id(), "__size": F.char_length("entry") + 2}))
+    rows = materialized(rows, "listing_rows")
+    parts = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)   # a row a partition
+    starts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.sum("__size").alias("size")).select(
+        "__part", F.coalesce(F.sum("n").over(parts), F.lit(0)).alias("__n"),
+        F.coalesce(F.sum("size").over(parts), F.lit(0)).alias("__at"))
+    inside = Window.partitionBy("__part").orderBy(*order)
+    placed = rows.join(starts, "__part").select(
+        "entry", (col("__n") + F.row_number().over(inside) - 1).alias("rank"),
+        (col("__at") + F.sum("__size").over(inside) - col("__size")).alias("at"))
+    return (placed.groupBy(F.floor(col("rank") / per_chunk).alias("chunk"))
+            .agg(F.min("rank").alias("first_rank"), F.count(F.lit(1)).alias("firms"),
+                 F.min("at").alias("starts_at"),
+                 F.expr("listagg(entry, ', ') WITHIN GROUP (ORDER BY rank)").alias("listing"))
+            .orderBy("chunk"))
+
+
 def scorecard_view(scorecard: DataFrame, only_sufficient: bool = True) -> DataFrame:
     """Scorecard rows, worst mismatch rate first, with percentages as text."""
     df = scorecard.filter(col("has_sufficient_sample")) if only_sufficient else scorecard
@@ -156,19 +187,20 @@ def scorecard_view(scorecard: DataFrame, only_sufficient: bool = True) -> DataFr
 
 def kpis(trends: DataFrame, providers: DataFrame, scorecard: DataFrame,
          spot: DataFrame, role: str = "both") -> DataFrame:
-    """Headline figures as ``(kpi, value)`` rows, one small aggregate each."""
-    focus = role_filter(spot, role)
+    """Headline figures as ``(kpi, value)`` rows, one aggregate for each mart."""
+    focus = F.lit(True) if role.lower() == "both" else col("spotlight_role") == role.lower()
+    among = lambda c: F.when(focus, col(c))
 
-    def one(df: DataFrame, name: str, measure) -> DataFrame:
-        return df.agg(measure.cast("double").alias("value")).select(F.lit(name).alias("kpi"), "value")
+    def rows(df: DataFrame, **measures) -> DataFrame:
+        one = df.agg(*[m.cast("double").alias(name) for name, m in measures.items()])
+        return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("kpi"), col(n).alias("value"))
+                                             for n in measures])))
 
     return union_all([
-        one(trends, "corridors_tracked", F.count_distinct(col("corridor"))),
-        one(providers, "provider_observations", F.count(F.lit(1))),
-        one(scorecard, "firms_scored", F.count(F.lit(1))),
-        one(spot, "spotlight_observations", F.count(F.lit(1))),
-        one(focus, "focus_observations", F.count(F.lit(1))),
-        one(focus, "focus_corridors", F.count_distinct(col("corridor"))),
-        one(focus, "focus_firms", F.count_distinct(col("firm"))),
-        one(focus, "focus_avg_total_cost_pct", F.avg(col("total_cost_pct"))),
+        rows(trends, corridors_tracked=F.count_distinct(col("corridor"))),
+        rows(providers, provider_observations=F.count(F.lit(1))),
+        rows(scorecard, firms_scored=F.count(F.lit(1))),
+        rows(spot, spotlight_observations=F.count(F.lit(1)), focus_observations=F.count_if(focus),
+             focus_corridors=F.count_distinct(among("corridor")), focus_firms=F.count_distinct(among("firm")),
+             focus_avg_total_cost_pct=F.avg(among("total_cost_pct"))),
     ])

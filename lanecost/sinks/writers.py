@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from lanecost.functions.expr import col
 from lanecost.operators.model import LANDING_SCHEMA, conform_landing
 from lanecost.session import scratch_path
+from lanecost.sinks.clustering import clustered
 from lanecost.sinks.commit_log import CommitLog, HadoopFolder
 from lanecost.sinks.versioned import VersionedTable
 from lanecost.sources.scan import list_partitions
@@ -65,11 +66,19 @@ def delete_partitions(spark: SparkSession, path: str, period_col: str,
 
 
 def write_by_period(df: DataFrame, base: str, period_col: str = "period",
-                    name: str = "clean") -> str:
+                    name: str = "clean", cluster_by: Sequence[str] = (),
+                    max_rows: int | None = None) -> str:
     """Write under ``<base>/<name>/<period_col>=<p>/``; rewrites only the periods
-    in ``df``. A null period lands in the default partition, not lost."""
+    in ``df``. A null period lands in the default partition, not lost. With ``cluster_by``
+    the rows of a period are laid out along a space-filling curve through those columns
+    (``df`` is then read twice), in files of at most ``max_rows`` rows where given."""
     path = f"{base.rstrip('/')}/{name}"
-    _overwrite_partitions(df, path, period_col)
+    if not cluster_by:
+        _overwrite_partitions(df, path, period_col)
+        return path
+    writer = (clustered(df, cluster_by, [period_col]).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy(period_col))
+    (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(path)
     return path
 
 
