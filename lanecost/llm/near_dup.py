@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from lanecost.llm.graph import connected_components
+from lanecost.llm.graph import stars, with_roots
 from lanecost.llm.util import Memo, doc_key, mix64, slices, stage
 
 _MULT = np.uint64(0x9DDFEA08EB382D69)
@@ -194,46 +194,47 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int = 5, percent
     """(key, n_shingles, comp) of every row: its ``doc_key`` and the least of its component."""
     docs = docs.select(doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     sketch = stage(_sketches(docs, "key", "text", width, positions, rows), "sketch")
-    linked = stage(_components(docs, sketch, "key", "text", width, percent, pivot_rounds), "components")
-    nodes = sketch.filter(F.col("node").isNotNull()).select("node", "key")
-    least = (nodes.join(linked, "node", "left").groupBy(F.coalesce("comp", "node").alias("comp"))
-             .agg(F.min("key").alias("least")))
-    several = (nodes.join(linked, "node", "left").groupBy(F.col("node")).agg(F.first("comp").alias("comp"),
-                                                                              F.count("*").alias("rows")))
+    reps = _nodes(sketch, "key")
+    linked = stage(_components(docs, sketch, "key", "text", width, percent, pivot_rounds, reps), "components")
     # nodes of one row and no link are their own component; the others are looked up
-    named = (several.filter(F.col("comp").isNotNull() | (F.col("rows") > 1))
-             .select("node", F.coalesce("comp", "node").alias("comp")).join(least, "comp").select("node", "least"))
+    several = (reps.select("node", F.col("id").alias("key"), "rows").join(linked, "node", "left")
+               .filter(F.col("comp").isNotNull() | (F.col("rows") > 1))
+               .select("node", "key", F.coalesce("comp", "node").alias("comp")))
+    least = several.groupBy("comp").agg(F.min("key").alias("least"))
+    named = several.join(least, "comp").select("node", "least")
     return (sketch.select("key", "n_shingles", "node").join(named, "node", "left")
             .select("key", "n_shingles", F.coalesce("least", "key").alias("comp")))
 
 
-def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) -> DataFrame:
-    """(node, comp) of every node that has a link."""
+def _nodes(sketch: DataFrame, id_col: str) -> DataFrame:
+    """(node, id, n, bands, rows): one row a node, with its least id and how many rows it has."""
+    least = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("n_shingles").alias("n"), "bands"))
+    nodes = sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(least.alias("r"), F.count("*").alias("rows"))
+    return stage(nodes.select("node", "r.id", "r.n", "r.bands", "rows"), "nodes")
+
+
+def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds, reps=None) -> DataFrame:
+    """(node, comp) of every node that has a link; ``reps`` are the sketch's ``_nodes``, if at hand."""
     spark = docs.sparkSession
-    reps = (sketch.filter(F.col("node").isNotNull()).groupBy("node")
-            .agg(F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("n_shingles"),
-                                F.col("bands"))).alias("r")))
-    buckets = reps.select("node", F.col("r.n_shingles").alias("n"), F.explode("r.bands").alias("band"))
+    reps = _nodes(sketch, id_col) if reps is None else reps
+    buckets = reps.select("node", "n", F.explode("bands").alias("band"))
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     live = stage(buckets.join(sizes, "band"), "buckets")
     central = live.groupBy("node").agg(F.sum(F.log("size")).alias("central"))
     live = stage(live.join(central, "node"), "buckets")
 
     # the exact sets of candidate nodes, from the text of one row of each
-    wanted = live.select("node").distinct()
-    by_id = (sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias(id_col))
-             .join(wanted, "node", "left_semi"))
-    texts = docs.select(id_col, text_col).join(by_id.select("node", F.col(id_col).alias("__rid")),
-                                               F.col(id_col).eqNullSafe(F.col("__rid")))
+    wanted = reps.select("node", F.col("id").alias("__rid")).join(live.select("node").distinct(), "node", "left_semi")
+    texts = docs.select(id_col, text_col).join(wanted, F.col(id_col).eqNullSafe(F.col("__rid")))
     sets = stage(_sets(texts, text_col, width), "sets")
 
-    links = None
     tested = None
     comps = None
     for turn in range(pivot_rounds + 1):
-        here = live
         if comps is not None:
-            here = live.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            # a component's smallest node has no row of its own
+            known = comps.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+            here = live.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         else:
             here = live.withColumn("comp", F.col("node"))
         if turn < pivot_rounds:
@@ -242,12 +243,14 @@ def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) ->
             mixed = (here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(order).alias("p"))
                      .filter(F.col("lo") != F.col("hi")).select("band", "p"))
             pairs = here.join(mixed, "band").filter(F.col("p.comp") != F.col("comp"))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("p.node").alias("b"), F.col("p.n").alias("nb"))
+            pairs = pairs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"),
+                                 F.col("p.node").alias("b"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb"))
         else:
             pairs = _prefix_pairs(here, sets, percent)
         # |A & B| / |A | B| is at most the ratio of the sizes
         pairs = pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                             F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         sa = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -255,22 +258,26 @@ def _components(docs, sketch, id_col, text_col, width, percent, pivot_rounds) ->
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
         checked = stage(pairs.join(sa, "a").join(sb, "b")
-                        .select("a", "b", (100 * common >= percent * union).alias("link")), "links")
+                        .select("a", "b", "ca", "cb", (100 * common >= percent * union).alias("link")), "links")
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-        new = checked.filter("link").select("a", "b")
-        found = checked.agg(F.count("*"), F.sum(F.col("link").cast("int"))).first()
         # a round without new pairs ends nothing: its pivots may only have been of the wrong size
-        if found[1]:
-            links = new if links is None else links.unionByName(new)
-            comps = stage(connected_components(links, "a", "b"), "comps")
+        if not checked.agg(F.sum(F.col("link").cast("int"))).first()[0]:
+            continue
+        # links join the components known so far, so earlier links are not walked again
+        new = stars(checked.filter("link").select("ca", "cb"), "ca", "cb")
+        if comps is None:
+            comps = new
+        else:
+            moved = new.select(F.col("u").alias("v"), F.col("v").alias("to"))
+            comps = stage(comps.join(moved, "v", "left").select("u", F.coalesce("to", "v").alias("v")).unionByName(new), "comps")
     if comps is None:
         return spark.createDataFrame([], T.StructType([T.StructField("node", T.BinaryType()),
                                                        T.StructField("comp", T.BinaryType())]))
-    return comps
+    return with_roots(comps)
 
 
 def _prefix_pairs(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, na, b, nb): every pair that may be a link between two components, among the
+    """(a, na, ca, b, nb, cb): every pair that may be a link between two components, among the
     nodes of buckets that hold several components.
 
     Exact: all shingles are put in one order, those seen in a single component first,
@@ -296,7 +303,8 @@ def _prefix_pairs(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))))
         & (F.col("comp_a") != F.col("comp_b"))
         & (F.col("at_a") <= F.col("n_a") - least + 1) & (F.col("at_b") <= F.col("n_b") - least + 1))
-    return both.select(F.col("node_a").alias("a"), F.col("n_a").alias("na"), F.col("node_b").alias("b"), F.col("n_b").alias("nb"))
+    return both.select(F.col("node_a").alias("a"), F.col("n_a").alias("na"), F.col("comp_a").alias("ca"),
+                       F.col("node_b").alias("b"), F.col("n_b").alias("nb"), F.col("comp_b").alias("cb"))
 
 
 def _by_length(head: DataFrame, percent: int, classes: int = 4) -> tuple[DataFrame, DataFrame]:
