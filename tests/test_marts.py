@@ -73,3 +73,18 @@ def test_groups_of_many_values_take_their_median_by_ranges(spark, monkeypatch):
     few = M.corridor_cost_trends(df)                     # nothing over the default bound
     assert len(asked) == 1 and len(few.collect()) == len(want) == 4
     assert M.corridor_cost_trends(df.limit(0)).collect() == []
+
+
+def test_no_median_map_is_kept_beside_a_distinct_count(spark):
+    """One aggregate with both would keep a map a group and firm."""
+    schema = ", ".join(f"{c} string" for c in M.TREND_KEYS) + (
+        ", firm string, total_cost_pct double, fee_cost_pct double, fx_margin_pct double, "
+        "decomposed_cost_pct double, cost_mismatch_flag boolean")
+    rows = [("A", *[None] * (len(M.TREND_KEYS) - 1), firm, cost, 1.0, None, 2.0, None)
+            for firm, cost in [("F", 1.0), ("F", 1.0), ("G", 5.0), (None, None)]]
+    for ranged in (None, False, True):
+        trends = M.corridor_cost_trends(spark.createDataFrame(rows, schema), ranged_median=ranged)
+        r = trends.first()
+        assert (r.num_observations, r.num_providers, r.median_total_cost_pct) == (4, 2, 1.0)
+        for node in trends._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[1:]:
+            assert not ("percentile" in node.split("\n")[0] and "distinct" in node.split("\n")[0])
