@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanecost.operators.dedup import dedup_first
+from lanecost.operators.dedup import dedup_marked
 from lanecost.plans.flows import REPORT_NAMES, CurateConfig, curate_long, quality_reports
 from lanecost.plans.ledger import Ledger, content_fingerprint
 from lanecost.sinks.writers import loaded_periods, replace_partition_load, write_by_period, write_reports
@@ -43,12 +43,12 @@ def incremental_period_run(spark: SparkSession, drop: DataFrame, base: str,
         return curate_long(scan_period_slice(spark, p["raw"], label, period_col), cfg)
 
     def curate() -> None:
-        write_by_period(dedup_first(long(), cfg.grain, cfg.order_by), p["curated"], period_col)
+        write_by_period(dedup_marked(long(), cfg.grain, cfg.order_by)[0], p["curated"], period_col)
 
     def report() -> None:
         # the reports read the period just written instead of curating it again
         clean = scan_period_slice(spark, p["clean"], label, period_col)
-        write_reports(quality_reports(long(), clean, cfg), p["curated"], period_col, periods=[label])
+        write_reports(quality_reports(dedup_marked(long(), cfg.grain, cfg.order_by)[1], clean, cfg), p["curated"], period_col, periods=[label])
 
     raw = ledger.run("ingest", label, [content_fingerprint(sliced)], [folder(p["raw"])],
                      lambda: write_by_period(sliced, p["raw"].rsplit("/", 1)[0], period_col, name="raw"))

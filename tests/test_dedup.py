@@ -129,3 +129,31 @@ def test_filter_dedup_with_a_full_array(spark, monkeypatch):
     df = spark.range(1000).selectExpr("id", "id % 400 as k", "cast(id as string) as wide")
     clean, report = dedup_grain(df, ["k"], ["id"], strategy="filter")
     assert sorted(r["id"] for r in clean.collect()) == list(range(400)) and report.count() == 600
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(_row, min_size=1, max_size=12))
+def test_marked_dedup_matches_brute_force(spark, rows):
+    clean, report = dedup_grain(frame(spark, rows), strategy="marked")
+    want_clean, want_report = _brute(rows)
+    assert Counter(tuple(r) for r in clean.collect()) == want_clean
+    assert Counter(tuple(r) for r in report.collect()) == want_report
+
+
+def test_rows_of_unique_keys_are_never_shuffled(spark, monkeypatch):
+    from lanecost.operators import row_marks
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # as with many repeated keys
+    try:
+        df = spark.range(20000).selectExpr("id", "id % 19000 as k", "cast(id as string) as wide").repartition(7)
+        dedup, _ = dedup_grain(df, ["k"], ["id"], strategy="marked", with_report=False)
+        clean, flagged = flag_duplicates(df, ["k"])
+        for frame_, n in ((dedup, 19000), (clean, 18000), (flagged, 2000)):
+            assert frame_.count() == n == frame_.select("id").distinct().count()
+        for frame_ in (dedup, clean):
+            unique = frame_._jdf.queryExecution().executedPlan().toString().split("Union", 1)[1].split("FileScan", 1)[0]
+            assert "Exchange" not in unique.split("BroadcastHashJoin")[0] and "Sort" not in unique
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(row_marks, "MOST_CHUNKS", 1)                  # past the bound every row may be repeated
+    assert sorted(r["id"] for r in dedup_grain(df, ["k"], ["id"], strategy="marked")[0].collect()) == list(range(19000))
+    assert flag_duplicates(df, ["k"])[1].count() == 2000
