@@ -32,24 +32,36 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return col(name).cast("double")
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """Position of a row of ``df`` on the curve through ``columns``. Nulls come first."""
+def _cuts_below(n: Column, bounds: Sequence[float]) -> Column:
+    """How many of the ascending ``bounds`` are less than ``n``, by halving: a few generated
+    comparisons a row."""
+    def between(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(n > F.lit(bounds[mid]), between(mid + 1, hi)).otherwise(between(lo, mid))
+    return between(0, len(bounds))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS, name: str = "__z") -> DataFrame:
+    """``df`` with ``name``, the position of each row on the curve through ``columns``. Nulls come first.
+    Numbers and ranges are columns of their own, so that each is computed once a row."""
     if not columns or bits * len(columns) > 62:
         raise ValueError("between 1 and 62 bits in all")
     pieces = 2 ** bits - 1          # one range is left for nulls
-    numbers = {c: _as_number(df, c) for c in columns}
+    numbers = {f"__n{j}": _as_number(df, c) for j, c in enumerate(columns)}
     cuts = df.agg(*[F.percentile_approx(F.nanvl(n, F.lit(None)), [i / pieces for i in range(1, pieces)],
                                         20 * pieces).alias(f"c{i}")
                     for i, n in enumerate(numbers.values())]).first()
+    ranges = {f"__r{j}": F.when(col(n).isNull(), F.lit(0).cast("long"))
+                          .otherwise(_cuts_below(col(n), sorted(set(found or []))) + 1)
+              for j, (n, found) in enumerate(zip(numbers, cuts, strict=True))}
     z = F.lit(0).cast("long")
-    for j, (n, found) in enumerate(zip(numbers.values(), cuts, strict=True)):
-        bounds = sorted(set(found or []))
-        below = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < n)) if bounds else F.lit(0)
-        at = F.when(n.isNull(), F.lit(0)).otherwise(below + 1).cast("long")
+    for j, at in enumerate(ranges):
         for i in range(bits):
-            bit = F.shiftright(at, i).bitwiseAND(F.lit(1).cast("long"))
+            bit = F.shiftright(col(at), i).bitwiseAND(F.lit(1).cast("long"))
             z = z.bitwiseOR(F.shiftleft(bit, i * len(columns) + j))
-    return z
+    return df.withColumns(numbers).withColumns(ranges).withColumn(name, z).drop(*numbers, *ranges)
 
 
 def clustered(df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), bits: int = BITS) -> DataFrame:
@@ -57,6 +69,6 @@ def clustered(df: DataFrame, columns: Sequence[str], within: Sequence[str] = (),
     so inside each. Rows of one position are dealt on by their hash, so a pair of values
     that holds a third of all rows does not land in one task."""
     hashable = [col(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
-    keyed = df.withColumns({"__z": z_value(df, columns, bits), "__mix": F.xxhash64(*hashable)})
+    keyed = z_value(df, columns, bits).withColumn("__mix", F.xxhash64(*hashable))
     order = [*[col(w) for w in within], col("__z"), col("__mix")]
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("__z", "__mix")
