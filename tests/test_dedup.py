@@ -157,3 +157,53 @@ def test_rows_of_unique_keys_are_never_shuffled(spark, monkeypatch):
     monkeypatch.setattr(row_marks, "MOST_CHUNKS", 1)                  # past the bound every row may be repeated
     assert sorted(r["id"] for r in dedup_grain(df, ["k"], ["id"], strategy="marked")[0].collect()) == list(range(19000))
     assert flag_duplicates(df, ["k"])[1].count() == 2000
+
+
+@pytest.mark.parametrize("strategy", ["marked", "filter"])
+def test_of_a_repeated_key_only_the_leading_rows_are_aggregated_whole(spark, monkeypatch, strategy):
+    from lanecost.operators import dedup
+    seen, whole = [], dedup._Grouped.first_per_group
+    monkeypatch.setattr(dedup._Grouped, "first_per_group",
+                        lambda self, rows: seen.append(rows.count()) or whole(self, rows))
+    df = spark.range(1000).selectExpr("id", "if(id < 900, 0, id) as k", "cast(id as string) as wide")
+    clean, report = dedup_grain(df, ["k"], ["id"], strategy=strategy)
+    assert seen == [1]                                   # of 900 rows of the one repeated key
+    assert sorted(r["id"] for r in clean.collect()) == [0, *range(900, 1000)]
+    assert sorted((r["id"], r["duplicate_count"]) for r in report.collect()) == [(i, 900) for i in range(1, 900)]
+
+
+@pytest.mark.parametrize("strategy", ["marked", "filter"])
+def test_leading_rows_with_nulls_ties_and_keys_of_one_hash(spark, strategy):
+    # xxhash64 skips nulls, so the keys (A, null) and (null, A) share their hash
+    rows = [(5, "A", None, "x"), (2, "A", None, "y"), (7, None, "A", "z"), (7, None, "A", "w"),
+            (None, "B", "B", "v"), (1, "B", "B", "u"), (3, "C", "C", "t")]
+    df = spark.createDataFrame(rows, "id long, a string, b string, wide string")
+    clean, report = dedup_grain(df, ["a", "b"], ["id"], strategy=strategy)
+    assert {tuple(r) for r in clean.collect()} == {(2, "A", None, "y"), (7, None, "A", "w"), (None, "B", "B", "v"),
+                                                   (3, "C", "C", "t")}
+    assert {tuple(r) for r in report.collect()} == {(5, "A", None, "x", 2), (7, None, "A", "z", 2), (1, "B", "B", "u", 2)}
+
+
+def test_filter_dedup_computes_its_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    df = spark.range(100).selectExpr("id", "id % 90 as k").mapInArrow(count, "id long, k long")
+    clean, _ = dedup_grain(df, ["k"], ["id"], strategy="filter", with_report=False)
+    assert clean.count() == 90 and made.value == 100
+
+
+def test_wide_chains_run_from_small_methods_and_the_setting_is_put_back(spark, monkeypatch):
+    from lanecost import session
+    key, limit = session.HUGE_METHOD_LIMIT
+    before = spark.conf.get(key)
+    with session.small_methods(spark):                   # this session compiles huge methods
+        assert spark.conf.get(key) == before
+    monkeypatch.setattr(session, "JIT_OPTIONS", "-XX:-NotGiven")
+    with pytest.raises(KeyError), session.small_methods(spark):
+        assert spark.conf.get(key) == limit
+        raise KeyError
+    assert spark.conf.get(key) == before
