@@ -25,6 +25,10 @@ hold the anchor, so the bytes they cover are one interval.
 
 A class of over ``max_class`` members is not sent to one task: all its windows are
 hashed (128 bits) and counted by Spark instead, with the same result.
+
+Two lengths. The anchor of a window is told by its first ``reach`` positions alone, so the
+anchors of a shorter length are those of every longer one too: one sort, with the right
+contexts of the longer length, serves both, and each class is gone through once a length.
 """
 
 from __future__ import annotations
@@ -174,7 +178,8 @@ def merge_runs(runs: list[tuple[list[int], bytes, list[int]]]):
 def class_windows(keys: list[bytes], rights: list[int], shared: list[int], fewest: list[int], most: list[int],
                   length: int, pairwise: int = 40) -> list[tuple[int, int] | None]:
     """For each member of a class, in merged order, the least and greatest offset of
-    its windows that another member repeats, or None."""
+    its windows that another member repeats, or None. ``rights`` are the lengths of the
+    right contexts, which may be longer than the member's windows reach."""
     n = len(keys)
     out: list[tuple[int, int] | None] = [None] * n
     # equal contexts repeat each other entirely; one of them stands for all
@@ -188,7 +193,8 @@ def class_windows(keys: list[bytes], rights: list[int], shared: list[int], fewes
     if len(rep) == 1:
         return out
     lefts = [keys[i][rights[i] + 1:] for i in rep]
-    r_len = [rights[i] for i in rep]
+    # a window that reaches farther has another anchor
+    r_len = [min(rights[i], length - fewest[i]) for i in rep]
     near = [0] * len(rep)
     for x in range(1, len(rep)):
         near[x] = min(shared[rep[x - 1] + 1:rep[x] + 1])
@@ -208,14 +214,18 @@ def class_windows(keys: list[bytes], rights: list[int], shared: list[int], fewes
                         lo[x] = min(lo[x], length - r)
                         hi[x] = max(hi[x], d)
     else:
-        lo, hi = _by_right_match(lefts, np.array(r_len), np.array(near), length)
+        lo, hi = _by_right_match(lefts, np.array(r_len), np.array(near), length,
+                                 any(r < rights[i] for r, i in zip(r_len, rep)))
     for x, i in enumerate(rep):
         if hi[x] >= 0 and out[i] is None:
             out[i] = (max(fewest[i], int(lo[x])), min(most[i], int(hi[x])))
     return out
 
 
-def _by_right_match(lefts: list[bytes], r_len: np.ndarray, near: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _by_right_match(lefts: list[bytes], r_len: np.ndarray, near: np.ndarray, length: int,
+                    bounded: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``bounded``: contexts go on after ``r_len``, so neighbours may agree beyond it and
+    members farther apart match in a bound that no neighbours have in common."""
     k = len(lefts)
     order = sorted(range(k), key=lefts.__getitem__)
     rank = np.empty(k, dtype=np.int64)
@@ -226,7 +236,8 @@ def _by_right_match(lefts: list[bytes], r_len: np.ndarray, near: np.ndarray, len
         t, h = table[-1], 1 << (len(table) - 1)
         table.append(np.minimum(t[:-h], t[h:]))
     lo, hi = np.full(k, length), np.full(k, -1)
-    for r in np.unique(np.minimum(near[1:], np.minimum(r_len[1:], r_len[:-1]))):
+    matches = np.r_[near[1:], r_len] if bounded else np.minimum(near[1:], np.minimum(r_len[1:], r_len[:-1]))
+    for r in np.unique(matches[matches <= r_len.max()]):
         r = int(r)
         group = np.cumsum(near < r)
         who = np.flatnonzero(r_len >= r)
@@ -255,7 +266,8 @@ def _by_right_match(lefts: list[bytes], r_len: np.ndarray, near: np.ndarray, len
 
 _KEY = ["__k1", "__k2"]
 _SPAN = T.StructType([T.StructField("__k1", T.StringType()), T.StructField("__k2", T.LongType()),
-                      T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+                      T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+                      T.StructField("length", T.IntegerType())])
 
 
 def _anchor_rows(docs: DataFrame, length: int, reach: int) -> DataFrame:
@@ -321,44 +333,50 @@ def _runs(rows: DataFrame, length: int, buckets: int, most_bytes: int = 32 << 20
     return rows.mapInArrow(run, _RUN)
 
 
-def _merged(runs: DataFrame, length: int, reach: int) -> DataFrame:
-    need = length - reach + 1
+def _merged(runs: DataFrame, lengths: list[int], reach: int) -> DataFrame:
+    need = lengths[0] - reach + 1
 
     def run(table: pa.Table) -> pa.Table:
         c = {n: table.column(n).to_pylist() for n in _RUN.names}
         spans: list[tuple] = []
-        members: list[tuple] = []   # (run, position, key, right length, common prefix)
+        members: list[tuple] = []   # (run, position, key, common prefix)
 
         def close():
             if len(members) > 1:
                 fewest = [c["fewest"][m[0]][m[1]] for m in members]
                 most = [c["most"][m[0]][m[1]] for m in members]
-                found = class_windows([m[2] for m in members], [m[3] for m in members], [m[4] for m in members],
-                                      fewest, most, length)
-                for m, d in zip(members, found):
-                    if d and d[0] <= d[1]:
-                        r, i = m[:2]
-                        p = c["p"][r][i]
-                        spans.append((c["k1"][r][i], c["k2"][r][i], p - d[1], p - d[0] + length))
+                rights = [m[2].index(_END) for m in members]
+                for length in lengths:
+                    # windows of this length end where the text does
+                    ends = [max(f, length - r) for f, r in zip(fewest, rights)]
+                    found = class_windows([m[2] for m in members], rights, [m[3] for m in members], ends, most, length)
+                    before = len(spans)
+                    for m, d in zip(members, found):
+                        if d and d[0] <= d[1]:
+                            r, i = m[:2]
+                            p = c["p"][r][i]
+                            spans.append((c["k1"][r][i], c["k2"][r][i], p - d[1], p - d[0] + length, length))
+                    if len(spans) == before:    # nor does a longer window repeat
+                        break
             members.clear()
 
         for r, i, key, shared in merge_runs(list(zip(c["shared"], c["rest"], c["rest_len"]))):
             if shared < need:
                 close()
-            members.append((r, i, key, length - c["fewest"][r][i], shared))
+            members.append((r, i, key, shared))
         close()
-        cols = list(zip(*spans)) or [()] * 4
+        cols = list(zip(*spans)) or [()] * 5
         return pa.Table.from_arrays([pa.array(x, t) for x, t in
-                                     zip(cols, (pa.string(), pa.int64(), pa.int32(), pa.int32()))], names=_SPAN.names)
+                                     zip(cols, (pa.string(), pa.int64(), *[pa.int32()] * 3))], names=_SPAN.names)
 
     return runs.groupBy("bucket").applyInArrow(run, _SPAN)
 
 
-def _windows(rows: DataFrame, length: int) -> DataFrame:
+def _windows(rows: DataFrame, lengths: list[int]) -> DataFrame:
     """The hash of every window of anchors in very large classes. Equal windows of one text
     that overlap (a run of one character) are a single row."""
     schema = T.StructType([*_SPAN.fields, T.StructField("n", T.LongType()), T.StructField("window", T.BinaryType())])
-    types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    types = (pa.string(), pa.int64(), *[pa.int32()] * 3, pa.int64(), pa.binary())
 
     def run(batches):
         for k1s, k2s, texts, lists in slices(batches, 2, 1 << 18):
@@ -367,16 +385,17 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
                 raw = (text or "").encode("utf-8", "replace")
                 last: dict[bytes, list] = {}
                 for x in sorted(found, key=lambda f: f["p"]):
-                    for s in range(x["p"] - x["most"], x["p"] - x["fewest"] + 1):
-                        h = xxhash.xxh128_digest(raw[s:s + length])
-                        row = last.get(h)
-                        if row is not None and s <= row[3]:
-                            row[3] = s + length
-                            row[4] += 1
-                        else:
-                            row = last[h] = [k1, k2, s, s + length, 1, h]
-                            out.append(row)
-            cols = list(zip(*out)) or [()] * 6
+                    for length in lengths:
+                        for s in range(x["p"] - x["most"], min(x["p"] - x["fewest"], len(raw) - length) + 1):
+                            h = xxhash.xxh128_digest(raw[s:s + length])
+                            row = last.get(h)
+                            if row is not None and s <= row[3]:
+                                row[3] = s + length
+                                row[5] += 1
+                            else:
+                                row = last[h] = [k1, k2, s, s + length, length, 1, h]
+                                out.append(row)
+            cols = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -385,18 +404,23 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
 def _window_spans(windows: DataFrame) -> DataFrame:
     """Spans of the windows whose hash occurs more than once."""
     again = windows.groupBy("window").agg(F.sum("n").alias("n")).filter(F.col("n") > 1).select("window")
-    return windows.join(again, "window").select("__k1", "__k2", "start", "end")
+    return windows.join(again, "window").select(*_SPAN.names)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
-                   reach: int = 256, max_class: int = 50_000, bucket_rows: int = 8_000) -> DataFrame:
-    """(__k1, __k2, start, end): byte spans of the documents that repeat elsewhere, for
-    the rows whose ``row_key`` is (__k1, __k2). Spans may overlap and occur twice."""
-    if not 16 <= length - reach + 1:
+                   reach: int = 256, max_class: int = 50_000, bucket_rows: int = 8_000,
+                   shorter: int | None = None) -> DataFrame:
+    """(__k1, __k2, start, end, length): byte spans of the documents that repeat elsewhere,
+    for the rows whose ``row_key`` is (__k1, __k2), found by strings of ``length`` bytes and,
+    if given, by those of ``shorter`` bytes. Spans may overlap and occur twice."""
+    lengths = sorted({length, shorter or length})
+    if lengths[-1] != length:
+        raise ValueError("shorter is the longer length")
+    if not 16 <= lengths[0] - reach + 1:
         raise ValueError("reach leaves fewer than 16 bytes to compare")
     spark = docs.sparkSession
     keyed = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"))
-    found = stage(_anchor_rows(keyed, length, reach), "anchors")
+    found = stage(_anchor_rows(keyed, lengths[0], reach), "anchors")
     counts = stage(found.groupBy("cls").agg(F.count("*").alias("__n")).filter(F.col("__n") > 1), "classes")
     # an anchor of a class of one leaves before the join, by a bit array of the other classes
     some = KeyFilter.of_keys(counts, ["cls"], counts.count()).flag(found, ["cls"], "__maybe").filter("__maybe").drop("__maybe")
@@ -418,19 +442,34 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     owned = KeyFilter.of_keys(lists, _KEY, owners).flag(keyed, _KEY, "__maybe").filter("__maybe").drop("__maybe")
     rows = owned.join(lists, _KEY)
     buckets = max(1, -(-(total or 0) // bucket_rows))
-    spans = _merged(_runs(rows.select(*_KEY, "__text", "__found"), length, buckets), length, reach)
+    spans = _merged(_runs(rows.select(*_KEY, "__text", "__found"), length, buckets), lengths, reach)
     windows = None
     if hot:
         big = rows.filter(F.size("__hot") > 0).select(*_KEY, "__text", "__hot")
-        windows = stage(_windows(big, length), "windows")
+        windows = stage(_windows(big, lengths), "windows")
         spans = spans.unionByName(_window_spans(windows))
     spans = stage(spans, "spans")
     release(spark, lists, *([windows] if windows else []))
     return spans
 
 
+def _runs_of(spans) -> list[list[int]]:
+    """Maximal runs that the spans cover; spans that touch are one run."""
+    out: list[list[int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
+def _covered(runs: list[list[int]]) -> int:
+    return sum(end - start for start, end in runs)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
-                   as_text: bool = False, **options) -> DataFrame:
+                   as_text: bool = False, shorter: int | None = None, **options) -> DataFrame:
     """``carry`` columns (the id by default) with ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs) and ``kept`` (the remaining bytes concatenated: binary, or with
     ``as_text`` a string without what is left of characters that were cut).
@@ -440,10 +479,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text is empty, texts shorter than ``length`` never change, texts of any length are
     taken whole, repeated rows repeat each other and lose all windows, and an empty table
     gives no rows. Other columns are ignored, whatever their names.
+
+    With ``shorter``, a smaller number of bytes, ``n_shorter`` and ``n_shorter_spans`` follow:
+    the bytes covered by strings of that length that also start anywhere else, and their
+    maximal runs. They are counted, not removed.
     """
     carry = carry or [id_col]
-    spans = repeated_spans(docs, id_col, text_col, **options)
-    lists = stage(spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end")).alias("__spans")), "span-lists")
+    spans = repeated_spans(docs, id_col, text_col, shorter=shorter, **options)
+    lists = stage(spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end", "length")).alias("__spans")), "span-lists")
     release(docs.sparkSession, spans)
     at = len(carry)
     rows = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("__text"),
@@ -455,31 +498,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.select(*[f"__c{i}" for i in range(at)], "__text", "__spans")
     schema = T.StructType([docs.schema[c] for c in carry]
                           + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
-                          + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
+                          + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
+                          + [T.StructField(c, T.LongType()) for c in ("n_shorter", "n_shorter_spans") if shorter])
 
     def run(batches):
         for batch in batches:
-            rows = ([], [], [], [])
+            rows = ([], [], [], [], [], [])
             for texts, lists in slices([batch.select([at, at + 1])], 0):
                 for text, spans in zip(texts, lists):
                     raw = (text or "").encode("utf-8", "replace")
-                    kept, removed, runs, done = [], 0, 0, 0
-                    for x in sorted((s["start"], s["end"]) for s in spans or ()):
-                        if x[0] > done or not runs:
-                            kept.append(raw[done:x[0]])
-                            runs += 1
-                            done = max(done, x[0])
-                        if x[1] > done:
-                            removed += x[1] - done
-                            done = x[1]
-                    kept.append(raw[done:])
-                    left = b"".join(kept)
+                    short = _runs_of((x["start"], x["end"]) for x in spans or () if x["length"] == shorter)
+                    cut = _runs_of((x["start"], x["end"]) for x in spans or () if x["length"] != shorter)
+                    left = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in cut)], [*(s for s, _ in cut), len(raw)]))
                     if as_text:
                         left = left.decode("utf-8", "ignore")
-                    for c, v in zip(rows, (len(raw), removed, runs, left)):
+                    for c, v in zip(rows, (len(raw), _covered(cut), len(cut), left, _covered(short), len(short))):
                         c.append(v)
-            yield pa.RecordBatch.from_arrays(batch.columns[:at] + [pa.array(c, pa.int64()) for c in rows[:3]]
-                                             + [pa.array(rows[3], pa.string() if as_text else pa.binary())], names=schema.names)
+            types = [*[pa.int64()] * 3, pa.string() if as_text else pa.binary(), *[pa.int64()] * 2]
+            yield pa.RecordBatch.from_arrays(batch.columns[:at] + [pa.array(c, t) for c, t in zip(rows, types)][:len(schema) - at],
+                                             names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

@@ -91,6 +91,53 @@ def test_suffix_dedup_equals_brute_force(docs, length, reach, max_class):
     assert have == want
 
 
+@pytest.mark.parametrize("length,shorter,reach,max_class", [(400, 256, 160, 50_000), (400, 256, 160, 3), (60, 44, 24, 50_000), (60, 44, 24, 3)])
+def test_suffix_dedup_of_two_lengths_equals_brute_force_of_each(docs, length, shorter, reach, max_class):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    texts = [t for _, t in rows]
+    want = collections.defaultdict(set)
+    for (i, _), w, x in zip(rows, brute_removed(texts, length), brute_removed(texts, shorter)):
+        want[i].add(w + x[1:3])
+    out = suffix_dedup.remove_repeats(docs, length=length, shorter=shorter, reach=reach, max_class=max_class, bucket_rows=50)
+    have = collections.defaultdict(set)
+    for r in out.collect():
+        have[r.doc_id].add((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept), r.n_shorter, r.n_shorter_spans))
+    assert have == want
+
+
+@pytest.mark.parametrize("count", [24, 300])     # classes gone through by pairs, and in numpy
+def test_two_lengths_on_texts_of_one_word_said_again(spark, count):
+    rnd = random.Random(count)
+    texts = [words(rnd, rnd.randint(0, 4)) + rnd.choice(["Heti ", "As ", "Onorer. "]) * rnd.randint(1, 60) + words(rnd, rnd.randint(0, 12))
+             for _ in range(count)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs, length=60, shorter=44, reach=24).collect()}
+    for i, (w, x) in enumerate(zip(brute_removed(texts, 60), brute_removed(texts, 44))):
+        r = out[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept), r.n_shorter, r.n_shorter_spans) == w + x[1:3]
+
+
+@pytest.mark.parametrize("word_count", [51, 55, 60])
+def test_op1_tells_passages_of_over_fifty_words(spark, tmp_path, word_count):
+    rnd = random.Random(word_count)
+    plain = "the of and a to in is you that it he was for on are as with his they at be this have from or one had by word but".split()
+
+    def prose(n):
+        return " ".join("".join(rnd.choices(SYLLABLES, k=rnd.randint(1, 2))) + rnd.choice(plain) for _ in range(n))
+
+    passage = prose(word_count)
+    assert 256 <= len(passage.encode())
+    texts = [f"{prose(80)} {passage} {prose(60)}" if i < 6 else prose(90) for i in range(12)] + [None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in catalog.op1_suffix_dedup(spark, str(tmp_path)).collect()}
+    removed, passages = brute_removed(texts, 400), brute_removed(texts, 256)
+    for i in range(len(texts)):
+        r = out[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == removed[i][:3]
+        assert r.kept_sha256 == hashlib.sha256(removed[i][3]).hexdigest()
+        assert (r.n_passage_bytes, r.n_passages) == passages[i][1:3] and (r.n_passages > 0) == (i < 6)
+
+
 def test_class_windows_numpy_path_equals_pairs():
     rnd = random.Random(2)
     base = bytes(rnd.choices(b"ab", k=60))
