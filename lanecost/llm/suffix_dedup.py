@@ -413,9 +413,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(__k1, __k2, start, end, length): byte spans of the documents that repeat elsewhere,
     for the rows whose ``row_key`` is (__k1, __k2), found by strings of ``length`` bytes and,
     if given, by those of ``shorter`` bytes. Spans may overlap and occur twice."""
-    lengths = sorted({length, shorter or length})
-    if lengths[-1] != length:
-        raise ValueError("shorter is the longer length")
+    if shorter and shorter >= length:
+        raise ValueError("shorter is not below length")
+    lengths = [shorter, length] if shorter else [length]
     if not 16 <= lengths[0] - reach + 1:
         raise ValueError("reach leaves fewer than 16 bytes to compare")
     spark = docs.sparkSession
@@ -453,10 +453,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans
 
 
-def _runs_of(spans) -> list[list[int]]:
-    """Maximal runs that the spans cover; spans that touch are one run."""
+def _runs_of(spans: list[int]) -> list[list[int]]:
+    """Maximal runs (start, end) that the spans cover; spans that touch are one run."""
     out: list[list[int]] = []
-    for start, end in sorted(spans):
+    for x in sorted(spans):
+        start, end = x >> 32, x & 0xFFFFFFFF
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -486,16 +487,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     carry = carry or [id_col]
     spans = repeated_spans(docs, id_col, text_col, shorter=shorter, **options)
-    lists = stage(spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end", "length")).alias("__spans")), "span-lists")
+    # a span is one number: its start, then in 32 bits its end
+    span = F.col("start").cast("long") * (1 << 32) + F.col("end")
+    short = F.col("length") == shorter if shorter else F.lit(False)
+    lists = stage(spans.groupBy(*_KEY).agg(F.collect_set(F.when(~short, span)).alias("__spans"),
+                                           F.collect_set(F.when(short, span)).alias("__short")), "span-lists")
     release(docs.sparkSession, spans)
     at = len(carry)
     rows = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("__text"),
                        *row_key(id_col, text_col))
     # texts without a span need no join
     flagged = KeyFilter.of_keys(lists, _KEY, lists.count()).flag(rows, _KEY, "__maybe")
-    alone = flagged.filter("not __maybe").withColumn("__spans", F.lit(None).cast(lists.schema["__spans"].dataType))
+    alone = flagged.filter("not __maybe").withColumns({c: F.lit(None).cast("array<bigint>") for c in ("__spans", "__short")})
     rows = flagged.filter("__maybe").join(lists, _KEY, "left").unionByName(alone)
-    rows = rows.select(*[f"__c{i}" for i in range(at)], "__text", "__spans")
+    rows = rows.select(*[f"__c{i}" for i in range(at)], "__text", "__spans", "__short")
     schema = T.StructType([docs.schema[c] for c in carry]
                           + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
                           + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
@@ -504,11 +509,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches):
         for batch in batches:
             rows = ([], [], [], [], [], [])
-            for texts, lists in slices([batch.select([at, at + 1])], 0):
-                for text, spans in zip(texts, lists):
+            for columns in slices([batch.select([at, at + 1, at + 2])], 0):
+                for text, spans, short in zip(*columns):
                     raw = (text or "").encode("utf-8", "replace")
-                    short = _runs_of((x["start"], x["end"]) for x in spans or () if x["length"] == shorter)
-                    cut = _runs_of((x["start"], x["end"]) for x in spans or () if x["length"] != shorter)
+                    cut, short = _runs_of(spans or ()), _runs_of(short or ())
                     left = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in cut)], [*(s for s, _ in cut), len(raw)]))
                     if as_text:
                         left = left.decode("utf-8", "ignore")
