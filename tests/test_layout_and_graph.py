@@ -117,3 +117,22 @@ def test_kpis_of_one_role_and_of_nothing(spark):
                    "focus_observations": 1, "focus_corridors": 1, "focus_firms": 1, "focus_avg_total_cost_pct": 8.0}
     none = {r.kpi: r.value for r in S.kpis(*[df.limit(0) for df in (trends, spot, spot, spot)]).collect()}
     assert none.pop("focus_avg_total_cost_pct") is None and set(none.values()) == {0}
+
+
+def test_positions_are_found_by_compiled_halving(spark, capsys):
+    values = [None, float("nan"), -3.0, -0.5, 0.0, 0.25, 0.25, 7.0, 1e300] + [float(i) for i in range(40)]
+    df = spark.createDataFrame([(i, v, None if i % 7 == 0 else f"c{i % 11}") for i, v in enumerate(values)], "i int, v double, s string")
+    found = Z.z_value(df, ["v", "s"], bits=3)
+    at = {r.i: (sum((r["__z"] >> 2 * i & 1) << i for i in range(3)), sum((r["__z"] >> 2 * i + 1 & 1) << i for i in range(3)))
+          for r in found.collect()}
+
+    def ranges(column):
+        cuts = df.agg(F.percentile_approx(F.nanvl(column, F.lit(None)), [i / 7 for i in range(1, 7)], 140)).first()[0]
+        return {r[0]: 0 if r[1] is None else 1 + sum(c < r[1] or r[1] != r[1] for c in set(cuts))
+                for r in df.select("i", column).collect()}
+
+    v, s = ranges(F.col("v")), ranges(Z._as_number(df, "s"))
+    assert at == {i: (v[i], s[i]) for i in range(len(values))}
+    capsys.readouterr()
+    found.explain()
+    assert "lambda" not in capsys.readouterr().out
