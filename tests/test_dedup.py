@@ -207,3 +207,22 @@ def test_wide_chains_run_from_small_methods_and_the_setting_is_put_back(spark, m
         assert spark.conf.get(key) == limit
         raise KeyError
     assert spark.conf.get(key) == before
+
+
+def test_the_report_shuffles_its_rows_once_and_names_each_copy(spark, monkeypatch):
+    from lanecost.operators import row_marks
+    df = spark.createDataFrame([(1, "A", "x")] * 3 + [(2, "A", "x"), (1, "B", "y"), (1, "B", "x"), (4, "C", "z")],
+                               "id long, k string, wide string")
+    want = Counter({(1, "A", "x", 4): 2, (2, "A", "x", 4): 1, (1, "B", "y", 2): 1})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # as with many repeated keys
+    try:
+        for most in (row_marks.MOST_CHUNKS, 0):                      # past the bound the first rows leave by a join
+            monkeypatch.setattr(row_marks, "MOST_CHUNKS", most)
+            clean, report = dedup_grain(df, ["k"], ["id"], strategy="marked")
+            assert Counter(tuple(r) for r in clean.collect()) == Counter([(1, "A", "x"), (1, "B", "x"), (4, "C", "z")])
+            assert Counter(tuple(r) for r in report.collect()) == want
+            plan = report._jdf.queryExecution().optimizedPlan().toString()
+            if most:
+                assert plan.count("Join Inner") == 1 and "Aggregate" not in plan and "Generate" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

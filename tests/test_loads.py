@@ -155,3 +155,73 @@ def test_split_dedup_does_not_sort_unique_rows(spark):
     union = plan.split("Union", 1)[1]
     unique = union.split("LeftAnti", 1)[1].split("Aggregate", 1)[0]
     assert "Sort" not in unique
+
+
+def _wide_rows(spark):
+    """300 quotes of three periods, one of them null; every tenth repeats the grain of another."""
+    from lanecost.catalog import oracle as O
+    i = F.col("n")
+    known = {"id": i, "period": F.when(i % 3 > 0, F.concat(F.lit("201"), (i % 3).cast("string"), F.lit("_2Q"))),
+             "date": F.lit("2016-01-01 00:00:00"), "corridor": F.lit("KENUGA"),
+             "firm": F.concat(F.lit("f"), F.when(i % 10 == 9, i - 6).otherwise(i).cast("string")), "transparent": F.lit("no"),
+             "cc1 denomination amount": F.lit(200.0), "cc1 fx margin": F.when(i % 2 == 0, -1.0).otherwise(1.0)}
+    numbers = ("amount", "fee", "rate", "margin", "%", "fx")
+    return spark.range(300).withColumnRenamed("id", "n").select(*[
+        known.get(c, F.lit(None).cast("double" if c.endswith(numbers) else "string")).alias(c) for c in O.WIDE_COLUMNS])
+
+
+@pytest.fixture
+def rebalanced(monkeypatch, spark):
+    """The columns by which frames are dealt out again before a write."""
+    seen, frame = [], type(spark.range(1))
+    hint = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, name, *of: (
+        seen.append(len(self.columns)) if name == "rebalance" else None, hint(self, name, *of))[1])
+    return seen
+
+
+def test_a_drop_by_period_is_curated_without_shuffling_rows_by_it(spark, tmp_base, rebalanced):
+    w = _wide_rows(spark)
+    w.write.partitionBy("period").parquet(f"{tmp_base}/drop")
+    counts = flows.run_pipeline(spark, f"{tmp_base}/drop", tmp_base, expected_columns=len(w.columns))
+    assert counts == {"grain_duplicates": 30, "fx_margin": 150, "transparency": 270, "duplicate_check": 0}
+    assert len(rebalanced) == 2                          # the duplicates and the check, which come by key
+    clean = flows.curate(w)[0]
+    got = spark.read.schema(clean.schema).parquet(f"{tmp_base}/clean")
+    assert sorted(map(repr, got.select(*clean.columns).collect())) == sorted(map(repr, clean.collect()))
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_the_stream_shuffles_no_rows_by_period(spark, tmp_base, rebalanced, files):
+    from lanecost.operators.model import conform_landing
+    from lanecost.streaming.drop_watch import stream_period_loads
+    w = _wide_rows(spark)
+    w.repartition(files, "id").write.parquet(f"{tmp_base}/drop")
+    stream_period_loads(spark, f"{tmp_base}/drop", w.schema, f"{tmp_base}/out")
+    assert len(rebalanced) == 2
+    want = conform_landing(flows.curate(w)[0])
+    got = W.read_landing(spark, f"{tmp_base}/out/landing")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 270
+    assert len(os.listdir(f"{tmp_base}/out/curated/quality_reports/transparency")) >= 3
+
+
+def test_quotes_are_dealt_out_before_they_are_wide(spark, tmp_base, rebalanced, monkeypatch):
+    from lanecost.catalog import queries as Q
+    from lanecost.sources.fixtures import wide_quotes
+    made = {"lineitem": "select id l_orderkey, 1L l_partkey, 1L l_suppkey, cast(id % 7 + 1 as int) l_linenumber, double(id % 5) l_quantity, "
+                        "0.1D l_discount, 0.02D l_tax, 'R' l_returnflag, 'F' l_linestatus, timestamp'1996-02-03' l_shipdate from range(40)",
+            "orders": "select id o_orderkey, id % 3 o_custkey, 'O' o_orderstatus, timestampadd(month, cast(id as int), timestamp'1996-01-01') "
+                      "o_orderdate, '1-URGENT' o_orderpriority from range(40)",
+            "customer": "select id c_custkey, cast(id as int) c_nationkey, 'AUTO' c_mktsegment from range(3)",
+            "supplier": "select 1L s_suppkey, 's' s_name, 4 s_nationkey"}
+    for name, sql in made.items():
+        spark.sql(sql).write.parquet(f"{tmp_base}/{name}.parquet")
+    w = wide_quotes(spark, tmp_base)
+    path, _ = Q.staged_drop(spark, tmp_base)
+    assert len(rebalanced) == 1 and rebalanced[0] < len(w.columns) / 2
+    got = spark.read.schema(w.schema).parquet(path).select(*w.columns)
+    assert w.count() == 40 and sorted(map(repr, got.collect())) == sorted(map(repr, w.collect()))
+    builds = []
+    curate = flows.dedup_marked
+    monkeypatch.setattr(flows, "dedup_marked", lambda *a, **k: builds.append(1) or curate(*a, **k))
+    assert Q.QUERIES["run_pipeline_clean"](spark, tmp_base).count() > 0 and len(builds) == 1
